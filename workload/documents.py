@@ -68,6 +68,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def orders_for_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, spread over the cores where the file has fewer splits: a short row becomes a long document."""
+    orders = table(spark, sf_dir, "orders")
+    cores = spark.sparkContext.defaultParallelism
+    return orders if orders.rdd.getNumPartitions() >= cores else orders.repartition(cores, "o_orderkey")
+
+
 def nested(fields: Mapping[str, Column]) -> list[Column]:
     """Columns under dotted paths as a list of (nested) struct fields."""
     heads: dict[str, dict[str, Column] | Column] = {}
@@ -197,7 +204,7 @@ def sequence_of(family: str) -> str:
 
 def bronze(spark: SparkSession, sf_dir: str, family: str = "nfe") -> DataFrame:
     """Bronze documents of one family, one per order."""
-    base = _base(table(spark, sf_dir, "orders"))
+    base = _base(orders_for_documents(spark, sf_dir))
     return base.select(
         F.col("o_orderkey").cast("decimal(38,0)").alias(sequence_of(family)),
         _text(family).alias(XML),
@@ -222,7 +229,7 @@ def bronze_events(spark: SparkSession, sf_dir: str, family: str = "nfe") -> Data
         f"{at}.detEvento._{'versao' if family in ('nfe', 'nfce') else 'versaoEvento'}": F.lit("1.00"),
         answer: reply,
     }
-    base = _base(table(spark, sf_dir, "orders"))
+    base = _base(orders_for_documents(spark, sf_dir))
     return base.select(
         F.col("o_orderkey").cast("decimal(38,0)").alias(sequence_of(family)),
         xml(fields, f"procEvento{'NFe' if family == 'nfce' else name}").alias(XML),
