@@ -16,19 +16,61 @@ from fisclake.registry import XML, DocumentType
 IGNORED = "signature"
 
 
-def infer_schema(df: DataFrame, xml: str = XML) -> T.StructType:
-    """Schema of all documents together. Use its paths only: a 44-digit key, for one, is inferred as a number.
-
-    Every document becomes a variant and the schemas are merged as an aggregate, so the text is read once and nothing is
-    staged; what reaches the driver is one schema, however many documents there are.
+def _descend(nodes: DataFrame) -> DataFrame:
+    """One level down: children of objects under ``path.key``, elements of arrays under ``path[]``, leaves as they are."""
+    children = nodes.sparkSession.tvf.variant_explode_outer(F.col("node").outer())
+    element = F.col("key").isNull() & F.col("value").isNotNull()
+    path = (
+        F.when(element, F.concat("path", F.lit("[]")))
+        .when(F.col("key").isNull(), F.col("path"))
+        .otherwise(F.concat_ws(".", F.nullif("path", F.lit("")), "key"))
+    )
+    return nodes.lateralJoin(children).select(path.alias("path"), F.col("value").alias("node"))
+
+
+def element_paths(df: DataFrame, xml: str = XML) -> list[str]:
+    """Distinct paths of all leaves in all documents, ``[]`` after repeated elements.
+
+    Every document becomes a variant and is unfolded level by level, which needs no shuffle; only the distinct paths are
+    brought together. They grow with the number of different tags, not with the data. Inference from a sample would miss
+    the rare tags this is for, and staging the text for the XML source would write all of it again.
     """
     options = "map('singleVariantColumn', 'document')"
-    parsed = df.select(F.explode(F.array(F.expr(f"from_xml(`{xml}`, 'document variant', {options})"))).alias("parsed"))
-    merged = parsed.agg(F.schema_of_variant_agg("parsed.document").alias("schema")).first().schema
-    if merged is None or not merged.startswith("OBJECT<"):
-        return T.StructType()
-    ddl = merged.replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING").replace("VOID", "STRING")
-    return T.StructType.fromDDL(f"document {ddl}")["document"].dataType
+    parsed = F.expr(f"from_xml(`{xml}`, 'document variant', {options})")
+    roots = df.select(F.explode(F.array(parsed)).alias("parsed")).select(F.lit("").alias("path"), F.col("parsed.document").alias("node"))
+    roots = roots.filter("node IS NOT NULL")
+    depth = 14
+    while True:
+        nodes = roots
+        for _ in range(depth):
+            nodes = _descend(nodes)
+        found = nodes.select("path", F.col("node").isNotNull().alias("deeper")).distinct().collect()
+        if not any(row.deeper for row in found):
+            return sorted(row.path for row in found if row.path)
+        depth *= 2
+
+
+def merge_paths(paths: Iterable[str]) -> T.StructType:
+    """The schema that holds all ``paths``: an element repeated anywhere is an array, every leaf is text."""
+    children: dict[str, list[str]] = {}
+    repeated = set()
+    for path in paths:
+        head, _, rest = path.partition(".")
+        name = head.removesuffix("[]")
+        if head != name:
+            repeated.add(name)
+        children.setdefault(name, []).append(rest)
+    fields = []
+    for name, rests in children.items():
+        below = [rest for rest in rests if rest]
+        kind = merge_paths(below) if below else T.StringType()
+        fields.append(T.StructField(name, T.ArrayType(kind) if name in repeated else kind))
+    return T.StructType(fields)
+
+
+def infer_schema(df: DataFrame, xml: str = XML) -> T.StructType:
+    """Schema of all documents in a column together, every leaf as text: a 44-digit key is no number."""
+    return merge_paths(element_paths(df, xml))
 
 
 def official_paths(kind: DocumentType) -> set[str]:
@@ -36,7 +78,7 @@ def official_paths(kind: DocumentType) -> set[str]:
 
 
 def observed_paths(bronze: DataFrame, kind: DocumentType) -> set[str]:
-    return set(leaf_paths(infer_schema(route(bronze, kind)))) - {""}
+    return {path.replace("[]", "") for path in element_paths(route(bronze, kind))}
 
 
 def unknown_paths(observed: Iterable[str], official: Iterable[str]) -> list[str]:
