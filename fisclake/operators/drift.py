@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,12 +16,29 @@ from fisclake.registry import XML, DocumentType
 IGNORED = "signature"
 
 
+# An array in a shape is an object with this one key.
+ELEMENT = "[]"
+
+
+def _shape(node: Column) -> Column:
+    """Structure of one document as JSON, without its values: documents of the same structure become equal.
+
+    Where the elements of one array differ in kind their common structure is not known; then the document itself is kept.
+    """
+    schema = F.schema_of_variant(node)
+    untyped = F.regexp_replace(schema, r"(: |<)(?!OBJECT<|ARRAY<|VARIANT)[A-Z_]+(\(\d+,\d+\))?(?=[,>])", "$1null")
+    arrays = F.regexp_replace(untyped, "ARRAY<", f'OBJECT<{ELEMENT}: ')
+    names = F.regexp_replace(arrays, r"(<|, )`?([^`:<>, ]+)`?: ", '$1"$2": ')
+    shape = F.translate(F.replace(names, F.lit("OBJECT<"), F.lit("{")), ">", "}")
+    return F.when(schema.contains("VARIANT"), F.to_json(node)).otherwise(shape)
+
+
 def _descend(nodes: DataFrame) -> DataFrame:
     """One level down: children of objects under ``path.key``, elements of arrays under ``path[]``, leaves as they are."""
     children = nodes.sparkSession.tvf.variant_explode_outer(F.col("node").outer())
-    element = F.col("key").isNull() & F.col("value").isNotNull()
+    element = (F.col("key") == ELEMENT) | (F.col("key").isNull() & F.col("value").isNotNull())
     path = (
-        F.when(element, F.concat("path", F.lit("[]")))
+        F.when(element, F.concat("path", F.lit(ELEMENT)))
         .when(F.col("key").isNull(), F.col("path"))
         .otherwise(F.concat_ws(".", F.nullif("path", F.lit("")), "key"))
     )
@@ -31,17 +48,17 @@ def _descend(nodes: DataFrame) -> DataFrame:
 def element_paths(df: DataFrame, xml: str = XML) -> list[str]:
     """Distinct paths of all leaves in all documents, ``[]`` after repeated elements.
 
-    Every document becomes a variant and is unfolded level by level, which needs no shuffle; only the distinct paths are
-    brought together. They grow with the number of different tags, not with the data. Inference from a sample would miss
-    the rare tags this is for, and staging the text for the XML source would write all of it again.
+    Every document is reduced to its structure, equal structures are merged before the shuffle, and only what is left is
+    unfolded, level by level. What reaches the driver grows with the number of different tags, not with the data. A sample
+    would miss the rare tags this is for, and staging the text for the XML source would write all of it again.
     """
     options = "map('singleVariantColumn', 'document')"
     parsed = F.expr(f"from_xml(`{xml}`, 'document variant', {options})")
-    roots = df.select(F.explode(F.array(parsed)).alias("parsed")).select(F.lit("").alias("path"), F.col("parsed.document").alias("node"))
-    roots = roots.filter("node IS NOT NULL")
+    documents = df.select(F.explode(F.array(parsed)).alias("parsed")).filter("parsed.document IS NOT NULL")
+    shapes = documents.select(_shape(F.col("parsed.document")).alias("shape")).distinct()
     depth = 14
     while True:
-        nodes = roots
+        nodes = shapes.select(F.lit("").alias("path"), F.parse_json("shape").alias("node"))
         for _ in range(depth):
             nodes = _descend(nodes)
         found = nodes.select("path", F.col("node").isNotNull().alias("deeper")).distinct().collect()
