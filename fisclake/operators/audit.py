@@ -21,9 +21,9 @@ def missing_rows(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> D
 
 def missing_in_silver(bronze: DataFrame, silver: DataFrame, bronze_key: str = "CHAVE", silver_key: str = "chave") -> DataFrame:
     """Bronze rows that never reached silver; keys compare without regard to case."""
-    keyed = bronze.withColumn("chave_lower", F.lower(bronze_key))
-    loaded = silver.select(F.lower(silver_key).alias("chave_lower"))
-    return missing_rows(keyed, loaded, ["chave_lower"]).drop("chave_lower")
+    keyed = bronze.withColumn("__key", F.lower(bronze_key))
+    loaded = silver.select(F.lower(silver_key).alias("__key"))
+    return missing_rows(keyed, loaded, ["__key"]).drop("__key")
 
 
 def distinct_keys_except(left: DataFrame, right: DataFrame, left_key: str, right_key: str, name: str = "chave") -> DataFrame:
@@ -35,23 +35,23 @@ def distinct_keys_except(left: DataFrame, right: DataFrame, left_key: str, right
     )
 
 
-def compare_key_lists(expected: DataFrame, table: DataFrame, key: str = "chave") -> DataFrame:
-    """Missing and extra keys in one pass: one row per key that only one side has, with ``side``."""
+def _key_sides(expected: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """One row per key with 1 or 0 for ``listed`` and ``found``: both lists meet in a single shuffle."""
     sides = expected.select(key, F.lit(1).alias("listed"), F.lit(0).alias("found")).unionByName(
         table.select(key, F.lit(0).alias("listed"), F.lit(1).alias("found"))
     )
-    merged = sides.groupBy(key).agg(F.max("listed").alias("listed"), F.max("found").alias("found"))
+    return sides.groupBy(key).agg(F.max("listed").alias("listed"), F.max("found").alias("found"))
+
+
+def compare_key_lists(expected: DataFrame, table: DataFrame, key: str = "chave") -> DataFrame:
+    """Missing and extra keys: one row per key that only one side has, with ``side``."""
     side = F.when(F.col("found") == 0, "missing").otherwise("extra").alias("side")
-    return merged.filter("listed <> found").select(key, side)
+    return _key_sides(expected, table, key).filter("listed <> found").select(key, side)
 
 
 def key_list_totals(expected: DataFrame, table: DataFrame, key: str = "chave") -> DataFrame:
     """One row: keys listed, keys found in the table, missing, extra."""
-    sides = expected.select(key, F.lit(1).alias("listed"), F.lit(0).alias("found")).unionByName(
-        table.select(key, F.lit(0).alias("listed"), F.lit(1).alias("found"))
-    )
-    merged = sides.groupBy(key).agg(F.max("listed").alias("listed"), F.max("found").alias("found"))
-    return merged.agg(
+    return _key_sides(expected, table, key).agg(
         F.sum("listed").cast("bigint").alias("listed"),
         F.sum("found").cast("bigint").alias("found"),
         F.count_if(F.expr("listed > found")).alias("missing"),
@@ -96,8 +96,8 @@ def differing_partitions(reconciled: DataFrame, partition: str = PARTITION) -> D
 
 def daily_totals(df: DataFrame, day: Column, key: str) -> DataFrame:
     """Per day: rows, distinct keys, repeated rows."""
-    per_key = df.groupBy(day.alias("day"), key).agg(F.count("*").alias("n"))
-    totals = per_key.groupBy("day").agg(F.sum("n").alias("total"), F.count(key).alias("distinct_keys"))
+    per_key = df.groupBy(day.alias("day"), key).agg(F.count("*").alias("__rows"))
+    totals = per_key.groupBy("day").agg(F.sum("__rows").alias("total"), F.count(key).alias("distinct_keys"))
     return totals.withColumn("repeated", F.col("total") - F.col("distinct_keys"))
 
 

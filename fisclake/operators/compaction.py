@@ -56,16 +56,16 @@ def archive_files(size: str | Column = "bytes") -> Column:
     return F.greatest(F.ceil(_megabytes(size) / ARCHIVE_MB).cast("int"), F.lit(ARCHIVE_FILES))
 
 
-def spread(df: DataFrame, sizes: DataFrame, key: str, partition: str = PARTITION) -> DataFrame:
+def spread(df: DataFrame, sizes: DataFrame, tasks: int, key: str, partition: str = PARTITION) -> DataFrame:
     """Distribute each partition over its number of files (``sizes``: partition, ``ideal_files``) by the hash of ``key``.
 
-    All partitions are rewritten by one job. A big month gets as many tasks as it gets files.
+    All partitions are rewritten by one job of ``tasks`` tasks; a big month gets as many of them as it gets files.
     """
     column = next((name for name in df.columns if name.lower() == key.lower()), None)
-    salted = df.join(sizes.select(partition, "ideal_files"), partition, "left")
     hashed = F.xxhash64(column) if column else F.xxhash64(*df.columns)
-    bucket = F.pmod(hashed, F.coalesce("ideal_files", F.lit(1)))
-    return salted.withColumn("bucket", bucket).repartition(partition, "bucket").drop("bucket", "ideal_files")
+    salted = df.join(sizes.select(partition, F.col("ideal_files").alias("__files")), partition, "left")
+    salted = salted.withColumn("__bucket", F.pmod(hashed, F.coalesce("__files", F.lit(1))))
+    return salted.repartition(tasks, partition, "__bucket").select(*df.columns)
 
 
 def compact(spark: SparkSession, path: str, key: str = "chave", partition: str = PARTITION,
@@ -75,13 +75,15 @@ def compact(spark: SparkSession, path: str, key: str = "chave", partition: str =
     Healthy partitions are not read. Returns the plan.
     """
     sizes = plan(inventory if inventory is not None else partition_inventory(spark, path, [partition]))
-    unhealthy = [row[partition] for row in sizes.filter("NOT healthy").select(partition).collect()]
-    if unhealthy:
+    planned = sizes.filter("NOT healthy").select(partition, "ideal_files").collect()  # one row per partition
+    if planned:
+        unhealthy = [row[partition] for row in planned]
         folders = [f"{path}/{partition}={value}" for value in unhealthy]
         table = spark.read.option("basePath", path).parquet(*folders)
         table = table.withColumn(partition, F.col(partition).cast("string"))
         staging = f"{path}_compacted"
-        compacted = spread(table, sizes, key, partition).write.mode("overwrite").option("compression", "lz4")
+        tasks = sum(row.ideal_files for row in planned)
+        compacted = spread(table, sizes, tasks, key, partition).write.mode("overwrite").option("compression", "lz4")
         compacted.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(partition).parquet(staging)
         require_same_partition_rows(table, spark.read.parquet(staging), partition)
         for value, folder in zip(unhealthy, folders, strict=True):

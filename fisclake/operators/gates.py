@@ -19,12 +19,12 @@ def uniqueness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     merged before the shuffle, and NULL counts as one value.
     """
     if columns is None:
-        keyed = df.select(F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256).alias("key"))
-        columns = ["key"]
+        keyed = df.select(F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256).alias("__row"))
+        columns = ["__row"]
     else:
         keyed = df.select(*columns)
-    counted = keyed.groupBy(*columns).agg(F.count("*").alias("n"))
-    totals = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct_total"))
+    counted = keyed.groupBy(*columns).agg(F.count("*").alias("__rows"))
+    totals = counted.agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("total"), F.count("*").alias("distinct_total"))
     return totals.withColumn("is_unique", F.col("total") == F.col("distinct_total"))
 
 

@@ -17,16 +17,16 @@ def deduplicate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     others = [name for name in df.columns if name not in keys]
     if not others:
         return df.distinct()
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("kept"))
-    return kept.select(*keys, "kept.*").select(*df.columns)
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("__kept"))
+    return kept.select(*keys, "__kept.*").select(*df.columns)
 
 
 def deduplication_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: rows before, rows after, rows removed, repeated keys."""
-    counted = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    counted = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
     return counted.agg(
-        F.sum("n").alias("before"),
+        F.sum("__rows").alias("before"),
         F.count("*").alias("after"),
-        F.sum(F.col("n") - 1).alias("removed"),
-        F.count_if(F.col("n") > 1).alias("repeated_keys"),
+        F.sum(F.col("__rows") - 1).alias("removed"),
+        F.count_if(F.col("__rows") > 1).alias("repeated_keys"),
     )

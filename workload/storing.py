@@ -96,7 +96,7 @@ def document_load_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT (SELECT count(*) FROM orders_x) AS documentos, count(*) AS itens, round(sum(vprod), 0) AS valor FROM items_x"""
 )
 def document_load_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headers and items from one parse of the XML."""
+    """Headers and items of one batch."""
     folder = shared_folder(spark, "nfe")
     header, detail = Target(f"{folder}/infNFe"), Target(f"{folder}/det")
     load_with_items(bronze(spark, sf_dir, "nfe"), DOCUMENTS["NFe"], ITEMS["NFe"], header, detail)
