@@ -18,6 +18,10 @@ ROW_GROUP_BYTES = 500 * 1024 * 1024
 ROWS_PER_FILE = 4_200_000
 
 
+# Numbers of the source that are text in the lake. A family has some of them.
+TEXT_COLUMNS = ("NSU", "NSUDF", "NSUSVD", "NSUAUT", "NSUAN", "CSTAT", "MODELO", "TPEMIS")
+
+
 class VerificationError(RuntimeError):
     """A rewritten table is not what it should be; the original is untouched."""
 
@@ -46,14 +50,15 @@ def archive_new_days(df: DataFrame, path: str, stamp: str = "DHPROC") -> None:
     """Append the days the archive lacks, under ``year=/month=/day=``; days it has are left alone."""
     dated = with_parsed_day(df, stamp)
     present = existing_partitions(df.sparkSession, path, DAY)
-    if present is not None:
-        dated = dated.join(present, list(DAY), "left_anti")
+    if present is not None:  # older folders are called month=4, newer ones month=04
+        padded = present.select("year", *(F.lpad(name, 2, "0").alias(name) for name in ("month", "day")))
+        dated = dated.join(padded, list(DAY), "left_anti")
     write_partitioned(dated, path, DAY)
 
 
-def hand_over(df: DataFrame, path: str, text_columns: Sequence[str], rename: dict[str, str] | None = None,
+def hand_over(df: DataFrame, path: str, text_columns: Sequence[str] = TEXT_COLUMNS, rename: dict[str, str] | None = None,
               stamp: str = "DHPROC") -> None:
-    """Give a family's documents to the older day layout: keys as text, one write for all days."""
+    """Give a family's documents or events to the older day layout: keys as text, one write for all days."""
     write_partitioned(with_parsed_day(harmonise(df, text_columns, rename), stamp), path, DAY)
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fisclake.operators.audit import distinct_keys_except, duplicate_keys, missing_in_silver
 from fisclake.operators.parse import route
-from fisclake.registry import DocumentType
+from fisclake.registry import AUDITED, DocumentType
+from fisclake.sources.scans import in_month
 
 
 def item_audit(bronze: DataFrame, header: DataFrame, items: DataFrame, item_key: Sequence[str] = ("chave", "nItem")) -> DataFrame:
@@ -26,20 +27,29 @@ def item_audit(bronze: DataFrame, header: DataFrame, items: DataFrame, item_key:
     return result
 
 
-def bronze_silver_audit(pairs: Mapping[str, tuple[DocumentType, DataFrame, DataFrame]], by_sequence: bool = True) -> DataFrame:
-    """Per document type: bronze keys that silver lacks.
+def bronze_silver_audit(pairs: Iterable[tuple[DocumentType, DataFrame, DataFrame]]) -> DataFrame:
+    """Bronze keys that silver lacks, for each (type, bronze, silver): table, key.
 
-    ``pairs``: name → (type, bronze, silver). Keys are compared as text, by sequence number or by access key.
+    Documents are compared by access key, events and cancellations by sequence number, both as text.
     """
     result = None
-    for name, (kind, bronze, silver) in pairs.items():
-        bronze_key, silver_key = (kind.sequence, kind.sequence) if by_sequence else ("CHAVE", "chave")
-        missing = distinct_keys_except(route(bronze, kind), silver, bronze_key, silver_key, name="key")
-        rows = missing.select(F.lit(name).alias("document"), "key")
+    for kind, bronze, silver in pairs:
+        missing = distinct_keys_except(route(bronze, kind), silver, *kind.audit_keys, name="key")
+        rows = missing.select(F.lit(kind.silver).alias("table"), "key")
         result = rows if result is None else result.unionByName(rows)
     return result
 
 
+def full_audit(spark: SparkSession, bronze_root: str, silver_root: str, year: int, month: int,
+               kinds: Sequence[DocumentType] = AUDITED) -> DataFrame:
+    """The audit of one month over all tables, from the day archive and the silver folders."""
+    pairs = []
+    for kind in kinds:
+        bronze = in_month(spark.read.parquet(f"{bronze_root}/{kind.bronze}"), year, month)
+        pairs.append((kind, bronze, spark.read.parquet(f"{silver_root}/{kind.silver}")))
+    return bronze_silver_audit(pairs)
+
+
 # The two outcomes of an audit.
 SUCCESS = "SUCESSO"
 ATTENTION = "ATENÇÃO"
@@ -49,10 +59,10 @@ def outcome(problems: Column) -> Column:
     return F.when(problems == 0, SUCCESS).otherwise(ATTENTION)
 
 
-def audit_status(audit: DataFrame, documents: Sequence[str]) -> DataFrame:
-    """Per document type the number of missing keys and the outcome; types without findings are listed too."""
-    names = audit.sparkSession.createDataFrame([(name,) for name in documents], "document string")
-    counted = names.join(audit.groupBy("document").agg(F.count("*").alias("missing")), "document", "left")
+def audit_status(audit: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """Per table the number of missing keys and the outcome; tables without findings are listed too."""
+    names = audit.sparkSession.createDataFrame([(name,) for name in tables], "table string")
+    counted = names.join(audit.groupBy("table").agg(F.count("*").alias("missing")), "table", "left")
     return counted.na.fill(0, ["missing"]).withColumn("status", outcome(F.col("missing")))
 
 

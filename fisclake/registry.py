@@ -31,6 +31,22 @@ class DocumentType:
     layout: Layout
     route: str | None = None
     metadata: tuple[str, ...] = HEADER_METADATA
+    group: str = ""
+
+    @property
+    def bronze(self) -> str:
+        """Folder of the source rows: documents lie under their family, events and cancellations beside it."""
+        return f"{self.family}_{self.group}" if self.group in ("evento", "cancelamento") else self.family
+
+    @property
+    def silver(self) -> str:
+        """Folder of the table."""
+        return f"{self.family}/{self.group or self.name}"
+
+    @property
+    def audit_keys(self) -> tuple[str, str]:
+        """Columns by which bronze and silver are compared; an event need not have an access key."""
+        return (self.sequence, self.sequence) if self.metadata == EVENT_METADATA else ("CHAVE", "chave")
 
 
 def _tagged(tag: str) -> str:
@@ -44,8 +60,8 @@ def _freight(name: str, root: str, layout: Layout, route: str) -> DocumentType:
 DOCUMENTS = {
     entry.name: entry
     for entry in (
-        DocumentType("NFe", "nfe", "NSUDF", "nfeProc", goods.NFE),
-        DocumentType("NFCe", "nfce", "NSU", "nfeProc", goods.NFCE),
+        DocumentType("NFe", "nfe", "NSUDF", "nfeProc", goods.NFE, group="infNFe"),
+        DocumentType("NFCe", "nfce", "NSU", "nfeProc", goods.NFCE, group="infNFCe"),
         _freight("CTe", "cteProc", freight.CTE, f"MODELO = 57 AND {XML} RLIKE '<cteProc'"),
         _freight("CTeSimp", "cteSimpProc", freight.CTE_SIMPLIFIED, f"MODELO = 57 AND {XML} RLIKE '<cteSimpProc'"),
         _freight("CTeOS", "cteOSProc", freight.CTE_OS, "MODELO = 67"),
@@ -59,27 +75,32 @@ DOCUMENTS = {
 }
 
 ITEMS = {
-    "NFe": DocumentType("NFeDet", "nfe", "NSUDF", "nfeProc", goods.ITEMS, metadata=ITEM_METADATA),
-    "NFCe": DocumentType("NFCeDet", "nfce", "NSU", "nfeProc", goods.ITEMS, metadata=ITEM_METADATA),
+    "NFe": DocumentType("NFeDet", "nfe", "NSUDF", "nfeProc", goods.ITEMS, metadata=ITEM_METADATA, group="det"),
+    "NFCe": DocumentType("NFCeDet", "nfce", "NSU", "nfeProc", goods.ITEMS, metadata=ITEM_METADATA, group="det"),
 }
 
 
-def _event(name: str, family: str, sequence: str, root: str, layout: Layout) -> DocumentType:
-    return DocumentType(name, family, sequence, root, layout, metadata=EVENT_METADATA)
+# Layout and reply of events and cancellations per family (fixed values: sequence column and root element).
+_EVENT_FAMILIES = {
+    "NFe": ("nfe", "NSUDF", "procEventoNFe", events.NFE),
+    "NFCe": ("nfce", "NSU", "procEventoNFe", events.NFCE),
+    "CTe": ("cte", "NSUSVD", "procEventoCTe", events.CTE),
+    "MDFe": ("mdfe", "NSU", "procEventoMDFe", events.MDFE),
+    "BPe": ("bpe", "NSU", "procEventoBPe", events.BPE),
+    "NF3e": ("nf3e", "NSU", "procEventoNF3e", events.NF3E),
+    "NFCom": ("nfcom", "NSU", "procEventoNFCom", events.NFCOM),
+}
 
 
-CANCELLATIONS = {
-    entry.name: entry
-    for entry in (
-        _event("NFe", "nfe", "NSUDF", "procEventoNFe", events.NFE),
-        _event("NFCe", "nfce", "NSU", "procEventoNFe", events.NFCE),
-        _event("CTe", "cte", "NSUSVD", "procEventoCTe", events.CTE),
-        _event("MDFe", "mdfe", "NSU", "procEventoMDFe", events.MDFE),
-        _event("BPe", "bpe", "NSU", "procEventoBPe", events.BPE),
-        _event("NF3e", "nf3e", "NSU", "procEventoNF3e", events.NF3E),
-        _event("NFCom", "nfcom", "NSU", "procEventoNFCom", events.NFCOM),
-    )
-}
+def _events(group: str, names: tuple[str, ...]) -> dict[str, DocumentType]:
+    return {
+        name: DocumentType(name, *_EVENT_FAMILIES[name], metadata=EVENT_METADATA, group=group) for name in names
+    }
+
+
+CANCELLATIONS = _events("cancelamento", tuple(_EVENT_FAMILIES))
+# NFC-e has cancellations but no other events.
+EVENTS = _events("evento", tuple(name for name in _EVENT_FAMILIES if name != "NFCe"))
 
-# Events have the layout of cancellations; NFC-e has none.
-EVENTS = {name: entry for name, entry in CANCELLATIONS.items() if name != "NFCe"}
+# What the full audit compares: every kind of document, cancellation and event.
+AUDITED = (*DOCUMENTS.values(), *CANCELLATIONS.values(), *EVENTS.values())

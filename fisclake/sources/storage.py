@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _filesystem(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path holds anything Spark can list."""
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).schema
-    except AnalysisException:
-        return False
-    return True
+    """Whether there is such a file or folder; asks the name node, lists nothing."""
+    filesystem, hadoop_path = _filesystem(spark, path)
+    return filesystem.exists(hadoop_path)
 
 
 def files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
@@ -52,11 +53,6 @@ def newest_folder(listing: DataFrame, depth: int = 1) -> DataFrame:
     return listing.groupBy(directory.alias("directory")).agg(F.max(folder).alias("newest"))
 
 
-def _filesystem(spark: SparkSession, path: str):
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
-
-
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder; a rename touches no data."""
     filesystem, source_path = _filesystem(spark, source)

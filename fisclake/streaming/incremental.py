@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,19 +49,13 @@ def write_batch(df: DataFrame, batch: int, path: str, partitions: Sequence[str]
 def load_documents(inbox: DataFrame, targets: Sequence[tuple[DocumentType, str]], checkpoint: str) -> None:
     """Load new files of a family: every kind found in a batch goes to its own table.
 
-    Each kind takes its own rows out of the batch, so no chain of folders is needed; the batch is kept for the duration
-    because several kinds read it.
+    Each kind takes its own rows out of the batch, so no chain of folders is needed. The batch is read once per kind; its
+    text kept on local disks would have to be written and read as well, and be lost with an executor.
     """
 
     def process(batch: DataFrame, number: int) -> None:
-        if len(targets) > 1:
-            batch = batch.persist(StorageLevel.DISK_ONLY)
-        try:
-            for kind, path in targets:
-                write_batch(documents(batch, kind).filter("chave IS NOT NULL"), number, path)
-        finally:
-            if len(targets) > 1:
-                batch.unpersist()
+        for kind, path in targets:
+            write_batch(documents(batch, kind).filter("chave IS NOT NULL"), number, path)
 
     run_available(inbox, process, checkpoint)
 

@@ -132,8 +132,8 @@ def test_item_audit_and_status(spark):
     header = spark.createDataFrame([("A",)], "chave string")
     items = spark.createDataFrame([("A", 1), ("A", 1)], "chave string, nItem int")
     assert rows(item_audit(bronze, header, items)) == [("headers_without_items", 0), ("missing_keys", 1), ("repeated_items", 1)]
-    found = spark.createDataFrame([("NFe", "1")], "document string, key string")
-    assert rows(audit_status(found, ["NFe", "CTe"])) == [("CTe", 0, "SUCESSO"), ("NFe", 1, "ATENÇÃO")]
+    found = spark.createDataFrame([("nfe/det", "1")], "table string, key string")
+    assert rows(audit_status(found, ["nfe/det", "cte/CTe"])) == [("cte/CTe", 0, "SUCESSO"), ("nfe/det", 1, "ATENÇÃO")]
 
 
 def test_log(spark):

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from fisclake.operators import catalog, compaction, drift, sinks
 from fisclake.operators.gates import DuplicateBatchError
 from fisclake.operators.mirror import mirror, verify_mirror
+from fisclake.plans.audits import full_audit
+from fisclake.plans.batches import Batch, load_batches
 from fisclake.plans.load import Target, load
-from fisclake.registry import DOCUMENTS, XML
+from fisclake.registry import AUDITED, DOCUMENTS, XML
 from fisclake.session import shared_folder
 from fisclake.sources import scans
 from fisclake.sources.storage import exists, files, partition_inventory
@@ -151,3 +153,32 @@ def test_paths_of_elements_that_are_sometimes_repeated(spark):
 
 def test_events_of_every_family_have_a_request(spark, sf_dir):
     assert bronze_events(spark, sf_dir, "nfce").filter(F.col(XML).contains("<infEvento")).count() == 1500
+
+
+def test_one_bad_batch_does_not_stop_the_others(spark, folder, sf_dir):
+    batch = bronze(spark, sf_dir, "nfcom")
+    batch.write.parquet(f"{folder}/good")
+    batch.unionByName(batch.limit(5)).write.parquet(f"{folder}/twice")
+    kind, target = DOCUMENTS["NFCom"], Target(f"{folder}/silver")
+    report = load_batches(spark, [Batch(kind, f"{folder}/{name}", target) for name in ("twice", "missing", "good")])
+    assert [row.outcome for row in report.collect()] == ["failed", "absent", "loaded"]
+    assert "1505 rows but 1500 distinct" in report.first().reason
+    assert spark.read.parquet(target.path).count() == 1500
+
+
+def test_full_audit_reads_the_archive(spark, folder, sf_dir):
+    batch = bronze(spark, sf_dir, "mdfe").filter("substring(DHPROC, 4, 7) = '03/1997'")
+    kind = DOCUMENTS["MDFe"]
+    sinks.archive_new_days(batch, f"{folder}/bronze/{kind.bronze}")
+    loaded = batch.filter("NSU % 2 = 0")
+    load(loaded, kind, Target(f"{folder}/silver/{kind.silver}"))
+    found = full_audit(spark, f"{folder}/bronze", f"{folder}/silver", 1997, 3, [kind])
+    assert found.count() == batch.count() - loaded.count() > 0
+    assert {row.table for row in found.collect()} == {"mdfe/MDFe"}
+    assert full_audit(spark, f"{folder}/bronze", f"{folder}/silver", 1997, 4, [kind]).count() == 0
+
+
+def test_registry_folders():
+    assert len(AUDITED) == 24
+    assert DOCUMENTS["NFe"].silver == "nfe/infNFe" and DOCUMENTS["BPeTA"].silver == "bpe/BPeTA"
+    assert {kind.bronze for kind in AUDITED} >= {"nfe", "cte_evento", "nfce_cancelamento"}

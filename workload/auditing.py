@@ -15,10 +15,10 @@ from fisclake.operators.parse import documents
 from fisclake.operators.profile import empty_columns, mostly_null, null_profile
 from fisclake.operators.repair import deduplicate, deduplication_report
 from fisclake.plans.audits import audit_status, bronze_silver_audit, item_audit
-from fisclake.registry import DOCUMENTS
+from fisclake.registry import CANCELLATIONS, DOCUMENTS, EVENTS, DocumentType
 from fisclake.sources.jdbc import range_bounds
 from fisclake.sources.storage import newest_folder
-from workload.documents import ORDERS_SQL, bronze, sequence_of, table
+from workload.documents import ORDERS_SQL, bronze, bronze_events, sequence_of, table
 from workload.register import Register
 
 query = Register()
@@ -177,38 +177,43 @@ def inf_without_det(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.distinct_keys_except(header_keys(spark, sf_dir), item_keys(spark, sf_dir), "chave", "chave")
 
 
-@query(
-    f"""WITH {ORDERS_SQL}
-    SELECT cte_kind AS document, CAST(o_orderkey AS VARCHAR) AS "key" FROM orders_x WHERE o_orderstatus = 'P'
-    UNION ALL SELECT bpe_kind, CAST(o_orderkey AS VARCHAR) FROM orders_x WHERE o_orderstatus = 'P'"""
-)
+_LOST = f"""{ORDERS_SQL},
+  lost AS (SELECT 'cte/' || cte_kind AS "table", chave AS "key" FROM orders_x WHERE o_orderstatus = 'P'
+           UNION ALL SELECT 'bpe/' || bpe_kind, chave FROM orders_x WHERE o_orderstatus = 'P'
+           UNION ALL SELECT t, CAST(o_orderkey AS VARCHAR) FROM orders_x, (VALUES ('cte/evento'), ('mdfe/cancelamento')) v(t)
+                     WHERE o_orderstatus = 'P')"""
+
+
+@query(f"""WITH {_LOST} SELECT "table", "key" FROM lost""")
 def audit_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver lacks the documents of pending orders; the audit must find each of them under its own type."""
+    """Silver lacks what belongs to pending orders; the audit must find each of them in its own table."""
     return bronze_silver_audit(_audit_pairs(spark, sf_dir))
 
 
-def _audit_pairs(spark: SparkSession, sf_dir: str) -> dict:
+def _audit_pairs(spark: SparkSession, sf_dir: str) -> list[tuple[DocumentType, DataFrame, DataFrame]]:
     status = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
-    pairs = {}
-    for name in ("CTe", "CTeSimp", "CTeOS", "GVTe", "BPe", "BPeTA"):
-        kind = DOCUMENTS[name]
-        batch = bronze(spark, sf_dir, kind.family)
+    kinds = [DOCUMENTS[name] for name in ("CTe", "CTeSimp", "CTeOS", "GVTe", "BPe", "BPeTA")]
+    pairs = []
+    for kind in (*kinds, EVENTS["CTe"], CANCELLATIONS["MDFe"]):
+        source = bronze_events if kind.group else bronze
+        batch = source(spark, sf_dir, kind.family)
         loaded = status.select(F.col("o_orderkey").cast("decimal(38,0)").alias(kind.sequence))
         silver = documents(batch.join(loaded, kind.sequence, "left_semi"), kind, ["chave"])
-        pairs[name] = (kind, batch, silver)
+        pairs.append((kind, batch, silver))
     return pairs
 
 
 @query(
-    f"""WITH {ORDERS_SQL}, p AS (SELECT cte_kind AS document FROM orders_x WHERE o_orderstatus = 'P'
-              UNION ALL SELECT bpe_kind FROM orders_x WHERE o_orderstatus = 'P')
-    SELECT n.document, count(p.document) AS missing, CASE WHEN count(p.document) = 0 THEN 'SUCESSO' ELSE 'ATENÇÃO' END AS status
-    FROM (VALUES ('CTe'), ('CTeSimp'), ('CTeOS'), ('GVTe'), ('BPe'), ('BPeTA'), ('MDFe')) n(document) LEFT JOIN p USING (document)
-    GROUP BY 1"""
+    f"""WITH {_LOST},
+    names AS (SELECT * FROM (VALUES ('cte/CTe'), ('cte/CTeSimp'), ('cte/CTeOS'), ('cte/GVTe'), ('bpe/BPe'), ('bpe/BPeTA'),
+                                    ('cte/evento'), ('mdfe/cancelamento'), ('nfe/infNFe')) v("table"))
+    SELECT "table", count("key") AS missing, CASE WHEN count("key") = 0 THEN 'SUCESSO' ELSE 'ATENÇÃO' END AS status
+    FROM names LEFT JOIN lost USING ("table") GROUP BY 1"""
 )
-def audit_status_by_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+def audit_status_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _audit_pairs(spark, sf_dir)
-    return audit_status(bronze_silver_audit(pairs), [*pairs, "MDFe"])
+    tables = [kind.silver for kind, *_ in pairs] + [DOCUMENTS["NFe"].silver]
+    return audit_status(bronze_silver_audit(pairs), tables)
 
 
 @query(
@@ -334,7 +339,7 @@ def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_profile(documents(bronze(spark, sf_dir, "nfe"), DOCUMENTS["NFe"], PROFILED), PROFILED)
 
 
-@query(_PROFILE_SQL)
+@query(_PROFILE_SQL, name="null_profile")
 def null_profile_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile(spark, sf_dir)
 
@@ -376,7 +381,8 @@ def _rare_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""SELECT CAST(day AS DATE) AS day FROM (
           SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS day FROM {_PRESENT})
-        WHERE CAST(day AS DATE) NOT IN (SELECT d FROM {_PRESENT})"""
+        WHERE CAST(day AS DATE) NOT IN (SELECT d FROM {_PRESENT})""",
+    name="missing_days",
 )
 def missing_days_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_days(_rare_lines(spark, sf_dir), F.col("l_shipdate"))
@@ -385,7 +391,8 @@ def missing_days_between(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""SELECT CAST(day AS DATE) AS day FROM (
           SELECT unnest(generate_series(DATE '1998-06-20', DATE '1998-06-29', INTERVAL 1 DAY)) AS day)
-        WHERE CAST(day AS DATE) NOT IN (SELECT d FROM {_PRESENT})"""
+        WHERE CAST(day AS DATE) NOT IN (SELECT d FROM {_PRESENT})""",
+    name="missing_recent_days",
 )
 def missing_days_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_recent_days(_rare_lines(spark, sf_dir), F.col("l_shipdate"), today="1998-06-30")
@@ -393,7 +400,8 @@ def missing_days_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT hour FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-11 23:00:00', INTERVAL 1 HOUR)) AS hour)
-       WHERE hour NOT IN (SELECT date_trunc('hour', ts) FROM events WHERE event_type = 'error')"""
+       WHERE hour NOT IN (SELECT date_trunc('hour', ts) FROM events WHERE event_type = 'error')""",
+    name="missing_hours",
 )
 def missing_hours_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours of two days in which no such event was loaded."""
@@ -404,7 +412,8 @@ def missing_hours_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """SELECT '2001' || lpad(CAST(m AS VARCHAR), 2, '0') AS month,
               EXISTS (SELECT 1 FROM orders WHERE year(o_orderdate) = 2001 AND month(o_orderdate) = m) AS present
-       FROM (SELECT unnest(generate_series(1, 12)) AS m)"""
+       FROM (SELECT unnest(generate_series(1, 12)) AS m)""",
+    name="months_present",
 )
 def months_of_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return months_present(table(spark, sf_dir, "orders"), F.date_format("o_orderdate", "yyyyMM"), 2001)
@@ -422,6 +431,15 @@ def folder_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late_folders(newest_folder(listing), datetime.date(2024, 1, 31))
 
 
+@query(
+    """WITH n AS (SELECT event_type, max(strftime(ts, '%Y%m%d')) AS newest FROM events WHERE event_type <> 'error' OR day(ts) < 20 GROUP BY 1)
+       SELECT newest, count(*) AS count FROM n GROUP BY 1"""
+)
+def folder_freshness_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many directories end at which day."""
+    return audit.count_by(folder_freshness(spark, sf_dir), "newest")
+
+
 @query(
     """SELECT CAST(min(o_orderkey) AS BIGINT) AS lower, CAST(max(o_orderkey) AS BIGINT) AS upper, CAST(20 AS BIGINT) AS partitions,
               CAST((max(o_orderkey) - min(o_orderkey)) // 20 AS BIGINT) AS stride FROM orders"""

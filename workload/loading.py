@@ -197,7 +197,7 @@ def dhproc_formatado(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped.withColumn("ano", F.substring("dhproc_formatado", 1, 4))
 
 
-@query(f"""WITH {ORDERS_SQL} SELECT substr(chave, 3, 4) AS chave_particao, count(*) AS documentos FROM orders_x GROUP BY 1""")
+@query(f"""WITH {ORDERS_SQL} SELECT substr(chave, 3, 4) AS chave_particao, count(*) AS documentos FROM orders_x GROUP BY 1""", name="partition_key")
 def partition_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = bronze(spark, sf_dir, "nfe").select(partition_key("CHAVE").alias("chave_particao"))
     return keyed.groupBy("chave_particao").agg(F.count("*").alias("documentos"))

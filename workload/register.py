@@ -10,17 +10,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Register:
-    """Collects functions under their own names, each with the SQL that gives the same rows."""
+    """Collects functions under their own or a given name, each with the SQL that gives the same rows."""
 
     def __init__(self) -> None:
         self.queries: dict[str, Query] = {}
         self.sql: dict[str, str] = {}
 
-    def __call__(self, sql: str | None = None) -> Callable[[Query], Query]:
+    def __call__(self, sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
         def register(function: Query) -> Query:
-            self.queries[function.__name__] = function
+            key = name or function.__name__
+            self.queries[key] = function
             if sql is not None:
-                self.sql[function.__name__] = sql
+                self.sql[key] = sql
             return function
 
         return register

@@ -153,7 +153,7 @@ def by_day(df: DataFrame) -> DataFrame:
     return df.groupBy(*padded).agg(F.count("*").alias("documentos"))
 
 
-@query(BY_DAY)
+@query(BY_DAY, name="archive_new_days")
 def archive_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First ten days, then the whole month: only the days the archive lacks are added."""
     path = shared_folder(spark, "archive")
@@ -182,7 +182,7 @@ def month_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def legacy_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys become text, days zero-padded folders. The largest key is the largest as text."""
     path = shared_folder(spark, "legacy")
-    hand_over(event_documents(spark, sf_dir), path, ["NSUSVD", "CSTAT", "MODELO", "TPEMIS"])
+    hand_over(event_documents(spark, sf_dir), path)
     schema = T.StructType(
         [T.StructField(name, T.StringType()) for name in ("NSUSVD", "DHPROC", "MODELO", "TPEMIS", "year", "month", "day")]
     )
@@ -219,7 +219,7 @@ def union_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- rewrites ---------------------------------------------------------------------------------------------------
 
 
-@query("SELECT o_orderstatus, count(*) AS documentos FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1")
+@query("SELECT o_orderstatus, count(*) AS documentos FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1", name="staged_swap")
 def staged_swap_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table is replaced by its corrected copy after the copy was checked."""
     path = shared_folder(spark, "swap")
@@ -254,7 +254,7 @@ def mirror_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- inventory and compaction -----------------------------------------------------------------------------------
 
 
-@query(BY_MONTH.replace("count(*) AS documentos", "true AS tem_arquivos, true AS tem_bytes"))
+@query(BY_MONTH.replace("count(*) AS documentos", "true AS tem_arquivos, true AS tem_bytes"), name="partition_inventory")
 def partition_inventory_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     inventory = partition_inventory(spark, stored_silver(spark, sf_dir, "inventory"), ["chave_particao"])
     return inventory.select("chave_particao", (F.col("files") > 0).alias("tem_arquivos"), (F.col("bytes") > 0).alias("tem_bytes"))
