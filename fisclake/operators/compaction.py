@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fisclake.functions.keys import PARTITION
 from fisclake.operators.sinks import ROWS_PER_FILE, VerificationError, swap_folders
+from fisclake.sources.scans import read_table
 from fisclake.sources.storage import files, partition_inventory
 
 # Fixed values of the health test: megabytes per file, and how far the number of files may be off.
@@ -79,13 +80,12 @@ def compact(spark: SparkSession, path: str, key: str = "chave", partition: str =
     if planned:
         unhealthy = [row[partition] for row in planned]
         folders = [f"{path}/{partition}={value}" for value in unhealthy]
-        table = spark.read.option("basePath", path).parquet(*folders)
-        table = table.withColumn(partition, F.col(partition).cast("string"))
+        table = read_table(spark, path, [partition], [f"{partition}={value}" for value in unhealthy])
         staging = f"{path}_compacted"
         tasks = sum(row.ideal_files for row in planned)
         compacted = spread(table, sizes, tasks, key, partition).write.mode("overwrite").option("compression", "lz4")
         compacted.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(partition).parquet(staging)
-        require_same_partition_rows(table, spark.read.parquet(staging), partition)
+        require_same_partition_rows(table, read_table(spark, staging, [partition]), partition)
         for value, folder in zip(unhealthy, folders, strict=True):
             swap_folders(spark, f"{staging}/{partition}={value}", folder)
     return sizes
@@ -94,7 +94,7 @@ def compact(spark: SparkSession, path: str, key: str = "chave", partition: str =
 def require_same_partition_rows(table: DataFrame, copy: DataFrame, partition: str) -> None:
     """Raise if any partition has another number of rows in the copy."""
     def rows(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(F.col(partition).cast("string").alias(partition)).agg(F.count("*").alias(name))
+        return df.groupBy(partition).agg(F.count("*").alias(name))
 
     joined = rows(table, "before").join(rows(copy, "after"), partition, "full")
     differing = joined.filter("NOT before <=> after").select(partition).take(5)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fisclake.functions.keys import PARTITION
 from fisclake.operators.sinks import write_partitioned
+from fisclake.sources.scans import read_table
 from fisclake.sources.storage import partition_inventory
 
 
@@ -20,7 +21,7 @@ def mirror(spark: SparkSession, source: str, target: str, since: str | None = No
     """Copy the changed partitions over those of the target; returns their number."""
     changed = [row[partition] for row in changed_partitions(spark, source, since, partition).select(partition).collect()]
     if changed:
-        table = spark.read.option("basePath", source).parquet(*(f"{source}/{partition}={value}" for value in changed))
+        table = read_table(spark, source, [partition], [f"{partition}={value}" for value in changed])
         write_partitioned(table, target, [partition], mode="overwrite", partitionOverwriteMode="dynamic")
     return len(changed)
 
@@ -28,8 +29,7 @@ def mirror(spark: SparkSession, source: str, target: str, since: str | None = No
 def verify_mirror(spark: SparkSession, source: str, target: str, partition: str = PARTITION) -> DataFrame:
     """Rows per partition on both sides."""
     def rows(path: str, name: str) -> DataFrame:
-        table = spark.read.parquet(path)
-        return table.groupBy(F.col(partition).cast("string").alias(partition)).agg(F.count("*").alias(name))
+        return read_table(spark, path, [partition]).groupBy(partition).agg(F.count("*").alias(name))
 
     joined = rows(source, "source_rows").join(rows(target, "target_rows"), partition, "full")
     filled = joined.na.fill(0, ["source_rows", "target_rows"])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fisclake.functions.dates import with_parsed_day
 from fisclake.functions.keys import PARTITION
+from fisclake.sources.scans import read_table
 from fisclake.sources.storage import existing_partitions, exists, move, remove
 
 DAY = ("year", "month", "day")
@@ -104,7 +105,7 @@ def require_same_rows(spark: SparkSession, path: str, copy: str) -> int:
 
 def rewrite_without(spark: SparkSession, path: str, column: str, partition: str = PARTITION) -> None:
     """Rewrite a table without one column; columns, rows and partitions are verified before the swap."""
-    table = spark.read.parquet(path)
+    table = read_table(spark, path, [partition])
     if column.lower() not in (name.lower() for name in table.columns):
         return
 

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fisclake.functions.keys import PARTITION
 from fisclake.operators.audit import count_by
@@ -14,6 +13,7 @@ from fisclake.operators.gates import require_unique
 from fisclake.operators.parse import documents, items, rejected
 from fisclake.operators.sinks import write_partitioned
 from fisclake.registry import DocumentType
+from fisclake.sources.scans import read_table
 
 
 @dataclass(frozen=True)
@@ -37,7 +37,7 @@ def load(bronze: DataFrame, kind: DocumentType, target: Target, gate: Sequence[s
     write_partitioned(silver, target.path)
     if target.rejected_path:
         rejected(batch, kind).write.mode("append").option("compression", "lz4").parquet(target.rejected_path)
-    return count_by(silver.sparkSession.read.parquet(target.path), F.col(PARTITION).cast("string").alias(PARTITION), name="documents")
+    return count_by(read_table(silver.sparkSession, target.path), PARTITION, name="documents")
 
 
 def load_with_items(bronze: DataFrame, header: DocumentType, detail: DocumentType, header_target: Target,

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameReader
 
+from fisclake.functions.keys import PARTITION
+
 KEY_LIST = T.StructType([T.StructField("chave", T.StringType())])
 
 
@@ -20,6 +22,20 @@ def read_folder(spark: SparkSession, path: str, schema: T.StructType | None = No
     return _reader(spark, schema).parquet(path)
 
 
+def read_table(spark: SparkSession, path: str, partitions: Sequence[str] = (PARTITION,), folders: Sequence[str] | None = None) -> DataFrame:
+    """A partitioned table, or some of its partition folders, with the partition columns as text.
+
+    Left to infer, Spark reads `0512` as the number 512, and a rewrite would then rename the partition.
+    """
+    reader = spark.read.option("basePath", path)
+    paths = [f"{path}/{folder}" for folder in folders] if folders else [path]
+    if spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "false":
+        return reader.parquet(*paths)
+    text = {name.lower() for name in partitions}
+    fields = [T.StructField(f.name, T.StringType()) if f.name.lower() in text else f for f in reader.parquet(*paths).schema.fields]
+    return reader.schema(T.StructType(fields)).parquet(*paths)
+
+
 def read_files(spark: SparkSession, files: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
     """Exactly the listed files."""
     return _reader(spark, schema).parquet(*files)
@@ -36,11 +52,6 @@ def read_glob(spark: SparkSession, pattern: str, base: str | None = None, schema
     return (reader.option("basePath", base) if base else reader).parquet(pattern)
 
 
-def read_partitions(spark: SparkSession, base: str, folders: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
-    """Several partition folders of one table, with their partition columns."""
-    return _reader(spark, schema).option("basePath", base).parquet(*(f"{base}/{folder}" for folder in folders))
-
-
 def in_month(df: DataFrame, year: int, month: int) -> DataFrame:
     """Only the partitions of one month, whether they are called ``month=4`` or ``month=04``."""
     same_month = F.col("month").cast("string").isin(str(month), f"{month:02d}")

@@ -53,6 +53,12 @@ def newest_folder(listing: DataFrame, depth: int = 1) -> DataFrame:
     return listing.groupBy(directory.alias("directory")).agg(F.max(folder).alias("newest"))
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Make an empty folder: a durable sign that something happened."""
+    filesystem, hadoop_path = _filesystem(spark, path)
+    filesystem.mkdirs(hadoop_path)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder; a rename touches no data."""
     filesystem, source_path = _filesystem(spark, source)

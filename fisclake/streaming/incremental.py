@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fisclake.functions.keys import PARTITION
+from fisclake.operators.audit import missing_rows
 from fisclake.operators.parse import documents
 from fisclake.operators.sinks import write_partitioned
 from fisclake.registry import DocumentType
+from fisclake.sources.scans import read_table
+from fisclake.sources.storage import exists, mark
 
 BATCH = "lote"
 
@@ -36,14 +39,25 @@ def run_available(stream: DataFrame, process: Callable[[DataFrame, int], None],
     query.awaitTermination()
 
 
-def write_batch(df: DataFrame, batch: int, path: str, partitions: Sequence[str] = (PARTITION,)) -> None:
-    """Write one micro-batch so that a repeated one replaces itself instead of adding its rows again.
+def append_batch(df: DataFrame, batch: int, path: str, keys: Sequence[str], signs: str,
+                 partitions: Sequence[str] = (PARTITION,)) -> None:
+    """Append one micro-batch so that its rows arrive once even if Spark runs the batch again after a failure.
 
-    Spark may run a batch twice after a failure. The batch number is the innermost partition, and only the partitions the
-    batch touches are overwritten. Compaction later merges the batches of a month.
+    Two signs per batch, kept with the checkpoint: *started* and *done*. A done batch is skipped. A batch that was started
+    but not done may have been written, so only rows whose ``keys`` the table lacks are added; this is the only case that
+    has to look into the table.
     """
-    numbered = df.withColumn(BATCH, F.lit(f"{batch:08d}"))
-    write_partitioned(numbered, path, [*partitions, BATCH], mode="overwrite", partitionOverwriteMode="dynamic")
+    spark = df.sparkSession
+    started, done = f"{signs}/{batch}-started", f"{signs}/{batch}-done"
+    if exists(spark, done):
+        return
+    if exists(spark, started):
+        if exists(spark, path):
+            df = missing_rows(df, read_table(spark, path, partitions), keys)
+    else:
+        mark(spark, started)
+    write_partitioned(df, path, partitions)
+    mark(spark, done)
 
 
 def load_documents(inbox: DataFrame, targets: Sequence[tuple[DocumentType, str]], checkpoint: str) -> None:
@@ -55,11 +69,21 @@ def load_documents(inbox: DataFrame, targets: Sequence[tuple[DocumentType, str]]
 
     def process(batch: DataFrame, number: int) -> None:
         for kind, path in targets:
-            write_batch(documents(batch, kind).filter("chave IS NOT NULL"), number, path)
+            silver = documents(batch, kind).filter("chave IS NOT NULL")
+            append_batch(silver, number, path, [kind.sequence], f"{checkpoint}/written/{kind.silver}")
 
     run_available(inbox, process, checkpoint)
 
 
+def load_rows(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], partitions: Sequence[str]) -> None:
+    """Load the rows of a stream into one table."""
+
+    def process(batch: DataFrame, number: int) -> None:
+        append_batch(batch, number, path, keys, f"{checkpoint}/written", partitions)
+
+    run_available(stream, process, checkpoint)
+
+
 def hour_counts(stream: DataFrame, time: str, lateness: str = "2 days") -> DataFrame:
     """Rows per hour; rows later than ``lateness`` behind the newest one no longer count."""
     hours = stream.withWatermark(time, lateness).groupBy(F.window(time, "1 hour"))

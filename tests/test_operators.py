@@ -78,6 +78,9 @@ def test_deduplicate_keeps_the_smallest_and_all_columns(spark):
     df = spark.createDataFrame([("x", "a", 2), ("y", "a", 1), ("x", "b", 9), ("x", "a", None)], "v string, k string, n int")
     assert rows(deduplicate(df, ["k"])) == [("x", "a", None), ("x", "b", 9)]
     assert deduplicate(df, ["k"]).columns == df.columns
+    nulls = spark.createDataFrame([(None, 2), (None, 1), ("a", 5)], "k string, n int")
+    assert rows(deduplicate(nulls, ["k"])) == [("a", 5), (None, 1)]
+    assert rows(deduplicate(nulls.select("k"), ["k"])) == [("a",), (None,)]
     assert rows(deduplication_report(df, ["k"])) == [(4, 2, 2, 1)]
 
 

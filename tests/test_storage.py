@@ -182,3 +182,21 @@ def test_registry_folders():
     assert len(AUDITED) == 24
     assert DOCUMENTS["NFe"].silver == "nfe/infNFe" and DOCUMENTS["BPeTA"].silver == "bpe/BPeTA"
     assert {kind.bronze for kind in AUDITED} >= {"nfe", "cte_evento", "nfce_cancelamento"}
+
+
+def test_rewrites_keep_partition_names_where_the_session_infers_types(spark, folder, silver):
+    """In a session that reads `0512` as a number the folders must keep their names all the same."""
+    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    spark.conf.set(setting, "true")
+    try:
+        sinks.write_partitioned(silver, folder)
+        sinks.rewrite_without(spark, folder, "n")
+        mirror(spark, folder, f"{folder}_copy")
+        silver.repartition(4).write.partitionBy("chave_particao").parquet(f"{folder}_many")
+        compaction.compact(spark, f"{folder}_many")
+    finally:
+        spark.conf.set(setting, "false")
+    for path in (folder, f"{folder}_copy", f"{folder}_many"):
+        found = {row.chave_particao for row in partition_inventory(spark, path, ["chave_particao"]).collect()}
+        assert found == {"0512", "2401", "2402"}
+        assert spark.read.parquet(path).count() == 60

@@ -97,6 +97,11 @@ def money(value: Column) -> Column:
     return F.format_string("%.2f", value)
 
 
+def exact_sum(column: str) -> Column:
+    """Sum of amounts in cents: the order of addition does not show in the result."""
+    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
+
+
 def access_key() -> Column:
     return F.concat(F.lit("53"), F.date_format("o_orderdate", "yyMM"), F.lpad(F.col("o_orderkey").cast("string"), 38, "0"))
 

@@ -125,15 +125,15 @@ for _name in ITEMS:
 @query(
     f"""WITH {ITEMS_SQL}
     SELECT substr(chave, 3, 4) AS chave_particao, count(DISTINCT o_orderkey) AS documentos, count(*) AS itens,
-           round(sum(vprod), 2) AS valor
+           CAST(sum(CAST(vprod AS DECIMAL(18, 2))) AS DOUBLE) AS valor
     FROM items_x GROUP BY 1"""
 )
 def items_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: XML to items, parsed for just the columns needed, per year-month."""
     silver = items(bronze(spark, sf_dir, "nfe"), ITEMS["NFe"], columns=["nItem", "vProd"])
-    per_document = silver.groupBy("chave_particao", "chave").agg(F.count("*").alias("n"), F.sum("vProd").alias("v"))
+    per_document = silver.groupBy("chave_particao", "chave").agg(F.count("*").alias("n"), F.sum(F.col("vProd").cast("decimal(18,2)")).alias("v"))
     return per_document.groupBy("chave_particao").agg(
-        F.count("*").alias("documentos"), F.sum("n").alias("itens"), F.round(F.sum("v"), 2).alias("valor")
+        F.count("*").alias("documentos"), F.sum("n").alias("itens"), F.sum("v").cast("double").alias("valor")
     )
 
 

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from fisclake.functions.dates import hour_parts
 from fisclake.registry import DOCUMENTS
 from fisclake.session import shared_folder
+from fisclake.sources import scans
 from fisclake.streaming.incremental import (
-    BATCH,
     file_stream,
     hour_counts,
     latest_counts,
     load_documents,
-    run_available,
+    load_rows,
     unique_within,
-    write_batch,
     write_counts,
 )
 from workload.documents import ORDERS_SQL, bronze, table
@@ -40,14 +39,11 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_hourly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New files land in hour folders; the second run finds nothing new."""
     folder = shared_folder(spark, "hourly")
-
-    def process(batch: DataFrame, number: int) -> None:
-        placed = batch.withColumns(hour_parts("ts")).select("event_id", *HOURS)
-        write_batch(placed, number, f"{folder}/table", HOURS)
-
+    path, checkpoint = f"{folder}/table", f"{folder}/checkpoint"
     for _ in range(2):
-        run_available(event_stream(spark, sf_dir), process, f"{folder}/checkpoint")
-    stored = spark.read.schema("event_id bigint, ano string, mes string, dia string, hora string, lote string").parquet(f"{folder}/table")
+        placed = event_stream(spark, sf_dir).withColumns(hour_parts("ts")).select("event_id", *HOURS)
+        load_rows(placed, path, checkpoint, ["event_id"], HOURS)
+    stored = scans.read_table(spark, path, HOURS)
     return stored.groupBy(*HOURS).agg(F.count("*").alias("documentos"), F.max("event_id").alias("maior_nsu"))
 
 
@@ -66,7 +62,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.unionByName(events).write.parquet(f"{folder}/inbox")
     stream = file_stream(spark, f"{folder}/inbox", events.schema).withColumn("at", F.col("ts").cast("timestamp"))
     unique = unique_within(stream, "event_id", "at").select("event_id", "event_type")
-    run_available(unique, lambda batch, number: write_batch(batch, number, f"{folder}/table", ["event_type"]), f"{folder}/checkpoint")
+    load_rows(unique, f"{folder}/table", f"{folder}/checkpoint", ["event_id"], ["event_type"])
     stored = spark.read.parquet(f"{folder}/table")
     return stored.groupBy("event_type").agg(F.count("*").alias("documentos"), F.count_distinct("event_id").alias("nsus"))
 
@@ -102,8 +98,8 @@ def stream_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     for late in (False, True):
         events.filter((F.col("event_type") == "error") == late).write.mode("append").parquet(f"{folder}/inbox")
         stream = file_stream(spark, f"{folder}/inbox", events.schema)
-        run_available(stream, lambda batch, number: write_batch(batch, number, f"{folder}/table", ["dia"]), f"{folder}/checkpoint")
-    stored = spark.read.schema(events.drop("dia").schema.add("dia", "string").add(BATCH, "string")).parquet(f"{folder}/table")
+        load_rows(stream, f"{folder}/table", f"{folder}/checkpoint", ["event_id"], ["dia"])
+    stored = scans.read_table(spark, f"{folder}/table", ["dia"])
     return stored.groupBy("dia").agg(
         F.count("*").alias("documentos"), F.count_if(F.col("event_type") == "error").alias("atrasados")
     )
