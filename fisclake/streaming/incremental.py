@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from fisclake.functions.keys import PARTITION
 from fisclake.operators.audit import missing_rows
 from fisclake.operators.parse import documents
+from fisclake.operators.repair import deduplicate
 from fisclake.operators.sinks import write_partitioned
 from fisclake.registry import DocumentType
 from fisclake.sources.scans import read_table
@@ -84,6 +85,22 @@ def load_rows(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str]
     run_available(stream, process, checkpoint)
 
 
+def load_new_keys(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], partitions: Sequence[str]) -> None:
+    """Load only rows whose ``keys`` the table does not have yet, however late they come; the table is the memory.
+
+    Rows with equal keys within one batch are reduced to the smallest.
+    """
+
+    def process(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = deduplicate(batch, keys)
+        if exists(spark, path):
+            fresh = missing_rows(fresh, read_table(spark, path, partitions), keys)
+        write_partitioned(fresh, path, partitions)
+
+    run_available(stream, process, checkpoint)
+
+
 def hour_counts(stream: DataFrame, time: str, lateness: str = "2 days") -> DataFrame:
     """Rows per hour; rows later than ``lateness`` behind the newest one no longer count."""
     hours = stream.withWatermark(time, lateness).groupBy(F.window(time, "1 hour"))
@@ -107,5 +124,8 @@ def latest_counts(spark: SparkSession, path: str, key: str = "hour") -> DataFram
 
 
 def unique_within(stream: DataFrame, key: str, time: str, lateness: str = "2 days") -> DataFrame:
-    """The first row of every key; a repeat within ``lateness`` is dropped. The state holds no more than that."""
+    """The first row of every key; a repeat within ``lateness`` is dropped, and the state holds no more than that.
+
+    So are rows older than that behind the newest one: where such rows may come, use :func:`load_new_keys`.
+    """
     return stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark([key])

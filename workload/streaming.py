@@ -14,6 +14,7 @@ from fisclake.streaming.incremental import (
     hour_counts,
     latest_counts,
     load_documents,
+    load_new_keys,
     load_rows,
     unique_within,
     write_counts,
@@ -103,3 +104,16 @@ def stream_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("dia").agg(
         F.count("*").alias("documentos"), F.count_if(F.col("event_type") == "error").alias("atrasados")
     )
+
+
+@query("SELECT strftime(ts, '%d') AS dia, count(*) AS documentos, count(DISTINCT event_id) AS nsus FROM events GROUP BY 1")
+def stream_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest days come first; then everything comes twice, most of it weeks late. Each event is stored once."""
+    folder = shared_folder(spark, "keys")
+    path, checkpoint = f"{folder}/table", f"{folder}/checkpoint"
+    events = table(spark, sf_dir, "events").withColumn("dia", F.date_format("ts", "dd"))
+    for wave in (events.filter("dia > '20'"), events.unionByName(events)):
+        wave.write.mode("append").parquet(f"{folder}/inbox")
+        load_new_keys(file_stream(spark, f"{folder}/inbox", events.schema), path, checkpoint, ["event_id"], ["dia"])
+    stored = scans.read_table(spark, path, ["dia"])
+    return stored.groupBy("dia").agg(F.count("*").alias("documentos"), F.count_distinct("event_id").alias("nsus"))
