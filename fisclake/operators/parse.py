@@ -73,24 +73,40 @@ def item_rows(parsed: DataFrame, kind: DocumentType, layout: Layout | None = Non
     return with_partition_key(project(exploded, layout.item_columns(), *names, root="item"))
 
 
+def _parsed(bronze: DataFrame, kind: DocumentType, columns: Iterable[str] | None) -> tuple[DataFrame, Layout]:
+    layout = kind.layout.select({*columns, "chave"}) if columns is not None else kind.layout
+    return parse(select_bronze(route(bronze, kind), kind), layout), layout
+
+
 def documents(bronze: DataFrame, kind: DocumentType, columns: Iterable[str] | None = None) -> DataFrame:
     """Silver header, event or cancellation rows; ``columns`` parses only what those need."""
-    layout = kind.layout.select({*columns, "chave"}) if columns is not None else kind.layout
-    return header_rows(parse(select_bronze(route(bronze, kind), kind), layout), kind, layout)
+    parsed, layout = _parsed(bronze, kind, columns)
+    return header_rows(parsed, kind, layout)
 
 
 def items(bronze: DataFrame, kind: DocumentType, columns: Iterable[str] | None = None) -> DataFrame:
     """Silver item rows."""
-    layout = kind.layout.select({*columns, "chave"}) if columns is not None else kind.layout
-    return item_rows(parse(select_bronze(route(bronze, kind), kind), layout), kind, layout)
+    parsed, layout = _parsed(bronze, kind, columns)
+    return item_rows(parsed, kind, layout)
+
+
+WELL_FORMED = f"parsed IS NOT NULL AND parsed.{CORRUPT} IS NULL"
+
+
+def accepted(bronze: DataFrame, kind: DocumentType, columns: Iterable[str] | None = None) -> DataFrame:
+    """The rows of :func:`documents` that can be filed: well-formed and, unless an event that was not answered yet, with key."""
+    parsed, layout = _parsed(bronze, kind, columns)
+    rows = header_rows(parsed.filter(WELL_FORMED), kind, layout)
+    return rows if kind.is_event else rows.filter("chave IS NOT NULL")
 
 
 def rejected(bronze: DataFrame, kind: DocumentType) -> DataFrame:
-    """Documents that cannot be filed: malformed XML, or no access key. They stay available with their text."""
+    """The others, with the reason and their text: together with :func:`accepted` every row once."""
     layout = kind.layout.select({"chave"})
-    narrow = select_bronze(route(bronze, kind), kind).withColumn("text", F.col("xml"))
-    keys = project(parse(narrow, layout), layout.columns(), kind.sequence, "DHPROC_FORMATADO", "text", f"parsed.{CORRUPT} AS corrupt")
-    reason = F.when(F.col("corrupt").isNotNull() | F.col("text").isNull(), "malformed").otherwise("no key")
-    return keys.filter("corrupt IS NOT NULL OR chave IS NULL").select(
-        kind.sequence, "DHPROC_FORMATADO", reason.alias("reason"), F.col("text").alias(XML)
+    narrow = select_bronze(route(bronze, kind), kind).withColumn(XML, F.col("xml"))
+    well_formed = f"({WELL_FORMED}) AS well_formed"
+    rows = project(parse(narrow, layout), layout.columns(), kind.sequence, "DHPROC_FORMATADO", XML, well_formed)
+    reason = F.when(~F.col("well_formed"), "malformed").when(F.col("chave").isNull() & F.lit(not kind.is_event), "no key")
+    return rows.withColumn("reason", reason).filter("reason IS NOT NULL").select(
+        kind.sequence, "DHPROC_FORMATADO", "reason", XML
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from fisclake.functions.keys import PARTITION
 from fisclake.operators.audit import count_by
 from fisclake.operators.gates import require_unique
-from fisclake.operators.parse import documents, items, rejected
+from fisclake.operators.parse import accepted, items, rejected
 from fisclake.operators.sinks import write_partitioned
 from fisclake.registry import DocumentType
 from fisclake.sources.scans import read_table
@@ -18,26 +18,30 @@ from fisclake.sources.scans import read_table
 
 @dataclass(frozen=True)
 class Target:
-    """Where one document type goes."""
+    """Where one document type goes, and where what cannot be filed is kept."""
 
     path: str
-    rejected_path: str | None = None
+
+    @property
+    def rejected(self) -> str:
+        return f"{self.path}_rejected"
+
+
+def write_documents(batch: DataFrame, kind: DocumentType, target: Target) -> None:
+    """File every document of a batch: in its table or, if it cannot be, with its text beside it."""
+    write_partitioned(accepted(batch, kind), target.path)
+    write_partitioned(rejected(batch, kind), target.rejected, ())
 
 
 def load(bronze: DataFrame, kind: DocumentType, target: Target, gate: Sequence[str] | None = (),
          where: str | None = None) -> DataFrame:
-    """Load one batch of one type and return its documents per partition.
+    """Load one batch of one type and return the documents per partition of the table.
 
     ``gate``: columns that must be unique; None means whole rows, an empty list the sequence number.
-    Rows without a usable key are kept apart, so that no ``__HIVE_DEFAULT_PARTITION__`` appears.
     """
     require_unique(bronze, [kind.sequence] if gate is not None and not gate else gate)
-    batch = bronze.filter(where) if where else bronze
-    silver = documents(batch, kind).filter("chave IS NOT NULL")
-    write_partitioned(silver, target.path)
-    if target.rejected_path:
-        rejected(batch, kind).write.mode("append").option("compression", "lz4").parquet(target.rejected_path)
-    return count_by(read_table(silver.sparkSession, target.path), PARTITION, name="documents")
+    write_documents(bronze.filter(where) if where else bronze, kind, target)
+    return count_by(read_table(bronze.sparkSession, target.path), PARTITION, name="documents")
 
 
 def load_with_items(bronze: DataFrame, header: DocumentType, detail: DocumentType, header_target: Target,
@@ -48,5 +52,5 @@ def load_with_items(bronze: DataFrame, header: DocumentType, detail: DocumentTyp
     was slower: the parsed struct is far larger than the text, and both have to be read again.
     """
     require_unique(bronze, gate)
-    write_partitioned(documents(bronze, header).filter("chave IS NOT NULL"), header_target.path)
+    write_documents(bronze, header, header_target)
     write_partitioned(items(bronze, detail).filter("chave IS NOT NULL"), item_target.path)

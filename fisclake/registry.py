@@ -43,10 +43,14 @@ class DocumentType:
         """Folder of the table."""
         return f"{self.family}/{self.group or self.name}"
 
+    @property
+    def is_event(self) -> bool:
+        return self.metadata == EVENT_METADATA
+
     @property
     def audit_keys(self) -> tuple[str, str]:
         """Columns by which bronze and silver are compared; an event need not have an access key."""
-        return (self.sequence, self.sequence) if self.metadata == EVENT_METADATA else ("CHAVE", "chave")
+        return (self.sequence, self.sequence) if self.is_event else ("CHAVE", "chave")
 
 
 def _tagged(tag: str) -> str:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from fisclake.functions.keys import PARTITION
 from fisclake.operators.audit import missing_rows
-from fisclake.operators.parse import documents
+from fisclake.operators.parse import accepted, rejected
 from fisclake.operators.repair import deduplicate
 from fisclake.operators.sinks import write_partitioned
 from fisclake.registry import DocumentType
@@ -62,7 +62,7 @@ def append_batch(df: DataFrame, batch: int, path: str, keys: Sequence[str], sign
 
 
 def load_documents(inbox: DataFrame, targets: Sequence[tuple[DocumentType, str]], checkpoint: str) -> None:
-    """Load new files of a family: every kind found in a batch goes to its own table.
+    """Load new files of a family: every kind found in a batch goes to its own table, what cannot be filed beside it.
 
     Each kind takes its own rows out of the batch, so no chain of folders is needed. The batch is read once per kind; its
     text kept on local disks would have to be written and read as well, and be lost with an executor.
@@ -70,8 +70,9 @@ def load_documents(inbox: DataFrame, targets: Sequence[tuple[DocumentType, str]]
 
     def process(batch: DataFrame, number: int) -> None:
         for kind, path in targets:
-            silver = documents(batch, kind).filter("chave IS NOT NULL")
-            append_batch(silver, number, path, [kind.sequence], f"{checkpoint}/written/{kind.silver}")
+            signs = f"{checkpoint}/written/{kind.silver}"
+            append_batch(accepted(batch, kind), number, path, [kind.sequence], signs)
+            append_batch(rejected(batch, kind), number, f"{path}_rejected", [kind.sequence], f"{signs}_rejected", ())
 
     run_available(inbox, process, checkpoint)
 

@@ -9,7 +9,7 @@ from fisclake.operators.mirror import mirror, verify_mirror
 from fisclake.plans.audits import full_audit
 from fisclake.plans.batches import Batch, load_batches
 from fisclake.plans.load import Target, load
-from fisclake.registry import AUDITED, DOCUMENTS, XML
+from fisclake.registry import AUDITED, CANCELLATIONS, DOCUMENTS, XML
 from fisclake.session import shared_folder
 from fisclake.sources import scans
 from fisclake.sources.storage import exists, files, partition_inventory
@@ -126,10 +126,10 @@ def test_idempotent_load(spark, silver):
 
 def test_batch_load_and_gate(spark, folder, sf_dir):
     batch = bronze(spark, sf_dir, "mdfe")
-    target = Target(f"{folder}/silver", f"{folder}/rejected")
+    target = Target(f"{folder}/silver")
     counts = load(batch, DOCUMENTS["MDFe"], target)
     assert counts.agg(F.sum("documents")).first()[0] == batch.count()
-    assert spark.read.parquet(target.rejected_path).count() == 0
+    assert spark.read.parquet(target.rejected).count() == 0
     with pytest.raises(DuplicateBatchError):
         load(batch.unionByName(batch.limit(1)), DOCUMENTS["MDFe"], target)
 
@@ -200,3 +200,19 @@ def test_rewrites_keep_partition_names_where_the_session_infers_types(spark, fol
         found = {row.chave_particao for row in partition_inventory(spark, path, ["chave_particao"]).collect()}
         assert found == {"0512", "2401", "2402"}
         assert spark.read.parquet(path).count() == 60
+
+
+def test_nothing_is_lost_between_table_and_rejects(spark, folder, sf_dir):
+    """Every row of a batch is in exactly one of the two; events without reply count as filed."""
+    batch = bronze(spark, sf_dir, "nf3e").withColumn(XML, F.expr(f"CASE WHEN NSU % 10 = 0 THEN left({XML}, 40) WHEN NSU % 10 = 1 THEN NULL ELSE {XML} END"))
+    target = Target(f"{folder}/documents")
+    load(batch, DOCUMENTS["NF3e"], target)
+    assert spark.read.parquet(target.path).count() == 1200
+    kept = spark.read.parquet(target.rejected)
+    assert kept.count() == 300 and {row.reason for row in kept.collect()} == {"malformed"}
+    events = bronze_events(spark, sf_dir, "nf3e")
+    target = Target(f"{folder}/events")
+    load(events, CANCELLATIONS["NF3e"], target)
+    assert spark.read.parquet(target.path).count() == events.count()
+    assert spark.read.parquet(target.path).filter("chave IS NULL").count() > 0
+    assert spark.read.parquet(target.rejected).count() == 0

@@ -79,7 +79,7 @@ def silver_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_load_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch load: gate, route, parse, write, count."""
     folder = shared_folder(spark, "load")
-    target = Target(f"{folder}/silver", f"{folder}/rejected")
+    target = Target(f"{folder}/silver")
     counts = load(bronze(spark, sf_dir, "mdfe"), DOCUMENTS["MDFe"], target, where="NSU < 1000000000")
     return counts
 
