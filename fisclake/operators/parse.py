@@ -18,6 +18,12 @@ def route(bronze: DataFrame, kind: DocumentType) -> DataFrame:
     return bronze.filter(kind.route) if kind.route else bronze
 
 
+def unrouted(bronze: DataFrame, kinds: Iterable[DocumentType]) -> DataFrame:
+    """Rows of a family that none of its kinds takes, which would otherwise go unnoticed."""
+    taken = " OR ".join(f"coalesce({kind.route or 'true'}, false)" for kind in kinds)
+    return bronze.filter(f"NOT ({taken})")
+
+
 def select_bronze(bronze: DataFrame, kind: DocumentType) -> DataFrame:
     """The metadata a silver table keeps, the sequence number as STRING, and the XML as ``xml``."""
     text = (kind.sequence, "MODELO", "TPEMIS")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from fisclake.functions.dates import with_parsed_day
 from fisclake.functions.keys import PARTITION
+from fisclake.operators.repair import deduplicate, deduplication_report
 from fisclake.sources.scans import read_table
 from fisclake.sources.storage import existing_partitions, exists, move, remove
 
@@ -120,6 +121,22 @@ def rewrite_without(spark: SparkSession, path: str, column: str, partition: str
     staged_swap(spark, path, lambda copy: write_partitioned(table.drop(column), copy, [partition]), verify)
 
 
+def rewrite_deduplicated(spark: SparkSession, path: str, keys: Sequence[str], partition: str = PARTITION) -> Row:
+    """Remove repeated keys from every partition of a table; returns the report. A clean table is left as it is."""
+    table = read_table(spark, path, [partition])
+    within = [partition, *keys]
+    report = deduplication_report(table, within).first()
+
+    def verify(copy: str) -> None:
+        rows = spark.read.parquet(copy).count()
+        if rows != report.after:
+            raise VerificationError(f"{copy} has {rows} rows, {report.after} are expected")
+
+    if report.removed:
+        staged_swap(spark, path, lambda copy: write_partitioned(deduplicate(table, within), copy, [partition]), verify)
+    return report
+
+
 def new_items(df: DataFrame, table: DataFrame | None, keys: Sequence[str] = ("chave", "nItem")) -> DataFrame:
     """Rows whose key the table does not have yet: loading a batch twice adds nothing."""
     if table is None:

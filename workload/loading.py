@@ -16,7 +16,7 @@ from fisclake.functions.dates import (
 )
 from fisclake.functions.keys import partition_key
 from fisclake.functions.text import clean_xml
-from fisclake.operators.parse import documents, items, parse, rejected, route, select_bronze
+from fisclake.operators.parse import documents, items, parse, rejected, route, select_bronze, unrouted
 from fisclake.registry import CANCELLATIONS, DOCUMENTS, EVENTS, ITEMS, SOURCE_SWITCH, XML
 from workload.register import Register
 from workload.documents import ANSWER, BODY, EVENT, ITEMS_SQL, ORDERS_SQL, VALUE, bronze, bronze_events, table
@@ -296,6 +296,16 @@ def route_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+@query(f"""WITH {ORDERS_SQL} SELECT chave FROM orders_x WHERE modelo = 57 AND o_orderstatus = 'P'""")
+def route_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending model-57 documents come with a root that no kind knows."""
+    status = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("decimal(38,0)").alias("NSUSVD"), "o_orderstatus")
+    renamed = F.when(F.col("o_orderstatus") == "P", F.regexp_replace(XML, "<(/?)cte(Simp)?Proc", "<$1outroProc")).otherwise(F.col(XML))
+    batch = bronze(spark, sf_dir, "cte").join(status, "NSUSVD").withColumn(XML, renamed)
+    kinds = [kind for kind in DOCUMENTS.values() if kind.family == "cte"]
+    return unrouted(batch, kinds).select(F.col("CHAVE").alias("chave"))
+
+
 @query(
     """SELECT o_orderkey AS nsu, CASE WHEN o_orderkey * 200000 < 1000000000 THEN 'old' ELSE 'new' END AS fonte FROM orders"""
 )

@@ -19,6 +19,7 @@ from fisclake.operators.sinks import (
     harmonise,
     new_items,
     require_same_rows,
+    rewrite_deduplicated,
     rewrite_without,
     staged_swap,
     write_once as write_folder_once,
@@ -234,6 +235,21 @@ def drop_column_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("chave_particao", left).agg(F.count("*").alias("documentos"))
 
 
+@query(
+    """SELECT strftime(l_shipdate, '%y%m') AS chave_particao, count(DISTINCT (l_orderkey, l_linenumber)) AS itens,
+              CAST(0 AS BIGINT) AS ainda_repetidos FROM lineitem GROUP BY 1"""
+)
+def dedup_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An item table with repeated keys, rewritten without them month by month."""
+    path = shared_folder(spark, "repeated")
+    keys = ["l_orderkey", "l_linenumber"]
+    write_partitioned(table(spark, sf_dir, "lineitem").withColumn("chave_particao", F.date_format("l_shipdate", "yyMM")), path)
+    rewrite_deduplicated(spark, path, keys)
+    again = rewrite_deduplicated(spark, path, keys)
+    stored = scans.read_table(spark, path).groupBy("chave_particao").agg(F.count("*").alias("itens"))
+    return stored.withColumn("ainda_repetidos", F.lit(again.removed))
+
+
 @query(BY_MONTH.replace("count(*) AS documentos", "count(*) AS source_rows, count(*) AS target_rows, true AS equal"))
 def mirror_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = stored_silver(spark, sf_dir, "original")
