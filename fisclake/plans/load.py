@@ -7,13 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from fisclake.functions.keys import PARTITION
+from fisclake.functions.keys import PARTITION, partition_key
 from fisclake.operators.audit import count_by
 from fisclake.operators.gates import require_unique
 from fisclake.operators.parse import accepted, items, rejected
 from fisclake.operators.sinks import write_partitioned
 from fisclake.registry import DocumentType
 from fisclake.sources.scans import read_table
+from fisclake.sources.storage import exists
 
 
 @dataclass(frozen=True)
@@ -35,13 +36,21 @@ def write_documents(batch: DataFrame, kind: DocumentType, target: Target) -> Non
 
 def load(bronze: DataFrame, kind: DocumentType, target: Target, gate: Sequence[str] | None = (),
          where: str | None = None) -> DataFrame:
-    """Load one batch of one type and return the documents per partition of the table.
+    """Load one batch of one type and return the documents now in each partition it belongs to.
 
     ``gate``: columns that must be unique; None means whole rows, an empty list the sequence number.
     """
     require_unique(bronze, [kind.sequence] if gate is not None and not gate else gate)
-    write_documents(bronze.filter(where) if where else bronze, kind, target)
-    return count_by(read_table(bronze.sparkSession, target.path), PARTITION, name="documents")
+    batch = bronze.filter(where) if where else bronze
+    write_documents(batch, kind, target)
+    return count_by(read_table(batch.sparkSession, target.path, folders=touched_folders(batch, target)), PARTITION, name="documents")
+
+
+def touched_folders(batch: DataFrame, target: Target) -> list[str]:
+    """Partition folders a batch belongs to, by the keys among its metadata: some months, out of many in the table."""
+    months = batch.select(partition_key("CHAVE").alias(PARTITION)).distinct().collect()
+    folders = [f"{PARTITION}={row[PARTITION]}" for row in months]
+    return [folder for folder in folders if exists(batch.sparkSession, f"{target.path}/{folder}")]
 
 
 def load_with_items(bronze: DataFrame, header: DocumentType, detail: DocumentType, header_target: Target,

@@ -216,3 +216,11 @@ def test_nothing_is_lost_between_table_and_rejects(spark, folder, sf_dir):
     assert spark.read.parquet(target.path).count() == events.count()
     assert spark.read.parquet(target.path).filter("chave IS NULL").count() > 0
     assert spark.read.parquet(target.rejected).count() == 0
+
+
+def test_load_reports_only_the_months_of_the_batch(spark, folder, sf_dir):
+    batch = bronze(spark, sf_dir, "nfcom")
+    target = Target(folder)
+    load(batch.filter("substring(CHAVE, 3, 4) = '9701'"), DOCUMENTS["NFCom"], target)
+    counts = load(batch.filter("substring(CHAVE, 3, 4) IN ('0003', '9702')"), DOCUMENTS["NFCom"], target)
+    assert [row.chave_particao for row in counts.collect()] == ["0003", "9702"]
