@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from fisclake.layouts.shared import (
-    ADDRESS,
     AUTHORISED,
     CONNECTION,
     CONNECTION_NAMES,

@@ -11,7 +11,6 @@ CONNECTION = "_dhConexao _ipTransmissor _nPortaCon _versao _xmlns"
 CONNECTION_NAMES = {leaf: leaf.lstrip("_") for leaf in CONNECTION.split()}
 TECHNICAL_CONTACT = "CNPJ email fone xContato"
 TECHNICAL_CONTACT_SIGNED = f"{TECHNICAL_CONTACT} hashCSRT idCSRT"
-SHIPPER_SEALS = many("lacUnidTransp", "nLacre")
 AUTHORISED = many("autXML", "CNPJ CPF")
 
 

@@ -27,7 +27,7 @@ from fisclake.operators.sinks import (
 )
 from fisclake.plans.audits import log_metrics
 from fisclake.plans.load import Target, load, load_with_items
-from fisclake.registry import DOCUMENTS, ITEMS, XML
+from fisclake.registry import DOCUMENTS, ITEMS
 from fisclake.session import shared_folder
 from fisclake.sources import scans
 from fisclake.sources.auditlog import measured, read_log
@@ -68,7 +68,8 @@ def silver_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends of parsed documents, then the table as it is stored."""
     path = shared_folder(spark, "silver")
     batch = bronze(spark, sf_dir, "nfcom")
-    pending = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").cast("decimal(38,0)").alias("NSU"))
+    pending = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
+    pending = pending.select(F.col("o_orderkey").cast("decimal(38,0)").alias("NSU"))
     for part in (batch.join(pending, "NSU", "left_semi"), batch.join(pending, "NSU", "left_anti")):
         write_partitioned(documents(part, DOCUMENTS["NFCom"], ["chave", "total_vNF"]), path)
     return scans.read_table(spark, path).groupBy("chave_particao").agg(
