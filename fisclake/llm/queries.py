@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fisclake.llm.sharding import assign_shards
 from fisclake.llm.simhash import near_duplicates
+from fisclake.llm.substrings import kept_digest, remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,3 +35,8 @@ def op10_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_digest(remove_repeats(table(spark, sf_dir, "documents"), window=20))

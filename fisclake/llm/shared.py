@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 
 from fisclake.session import shared_folder
 
@@ -22,6 +24,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs now; otherwise they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Texts:
     """The texts of some rows as one byte array: text ``i`` is ``bytes[offsets[i]:offsets[i + 1]]``. Null counts as empty."""
 
@@ -42,7 +50,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str, size: int = CHUN
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), np.int64)
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
         place = (np.cumsum(lengths) - lengths) // size
         cuts = np.flatnonzero(np.diff(place)) + 1
         for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):

@@ -41,3 +41,7 @@ def components(prints: dict[int, int], radius: int = 3) -> dict[int, int]:
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {i: find(i) for i in ids}
+
+
+def words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
