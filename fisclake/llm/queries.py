@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fisclake.llm.decontamination import find_contamination
 from fisclake.llm.sharding import assign_shards
 from fisclake.llm.simhash import near_duplicates
 from fisclake.llm.substrings import kept_digest, remove_repeats
@@ -24,6 +25,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+SQL["op2_benchmark_decontamination"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    b AS (SELECT coalesce(item_id::VARCHAR, '') AS name,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    p AS (SELECT DISTINCT name, least(13, len(w)) AS size, array_to_string(w[s : s + least(13, len(w)) - 1], ' ') AS phrase
+        FROM (SELECT name, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s FROM b WHERE len(w) > 0)),
+    c AS (SELECT r, s, size, array_to_string(w[s : s + size - 1], ' ') AS phrase
+        FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM d, (SELECT DISTINCT size FROM p) WHERE len(w) >= size)),
+    h AS (SELECT r, s, c.size, name FROM c JOIN p USING (phrase)),
+    n AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT DISTINCT r, unnest(range(s, s + size)) AS k FROM h) GROUP BY r),
+    i AS (SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names FROM (SELECT DISTINCT r, name FROM h) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN i USING (r)"""
+
+
 @query
 def op3_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
@@ -40,3 +66,13 @@ def op10_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_digest(remove_repeats(table(spark, sf_dir, "documents"), window=20))
+
+
+SQL["op9_substring_dedup"] = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    c AS (SELECT doc_id, s, array_to_string(w[s : s + 19], ' ') AS passage FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)),
+    f AS (SELECT passage, min(struct_pack(doc_id, s)) AS first FROM c GROUP BY passage HAVING count(*) > 1),
+    g AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS k FROM c JOIN f USING (passage) WHERE struct_pack(doc_id, s) > first),
+    x AS (SELECT d.doc_id, k, w[k] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d) AS d),
+    y AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS kept, count(*) AS n_kept FROM x ANTI JOIN g USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN y USING (doc_id)"""
