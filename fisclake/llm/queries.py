@@ -11,6 +11,7 @@ from fisclake.llm.decontamination import find_contamination
 from fisclake.llm.sharding import assign_shards
 from fisclake.llm.simhash import near_duplicates
 from fisclake.llm.substrings import kept_digest, remove_repeats
+from fisclake.llm.toxicity import held_out, score_documents, train
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,6 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = score_documents(documents, train(documents, table(spark, sf_dir, "labels")))
+    said = F.concat_ws(",", F.transform("offending", lambda s: F.concat_ws(":", s["start"], s["end"])))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", said.alias("offending"))
+
+
 @query
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
