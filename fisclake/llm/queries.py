@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fisclake.llm.decontamination import find_contamination
+from fisclake.llm.neighbours import nearest
 from fisclake.llm.sharding import assign_shards
 from fisclake.llm.simhash import near_duplicates
 from fisclake.llm.substrings import kept_digest, remove_repeats
@@ -85,3 +86,8 @@ WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0
     x AS (SELECT d.doc_id, k, w[k] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d) AS d),
     y AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS kept, count(*) AS n_kept FROM x ANTI JOIN g USING (doc_id, k) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN y USING (doc_id)"""
+
+
+@query
+def op8_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.expr("id % 20 = 0"), near=20)
