@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fisclake.llm.chat import format_conversations, read_back
 from fisclake.llm.decontamination import find_contamination
 from fisclake.llm.neighbours import nearest
+from fisclake.llm.pieces import decode, encode
 from fisclake.llm.sharding import assign_shards
 from fisclake.llm.simhash import near_duplicates
 from fisclake.llm.substrings import kept_digest, remove_repeats
@@ -106,6 +107,14 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and a digest of what they decode to."""
+    documents = table(spark, sf_dir, "documents")
+    back = decode(encode(documents.select("doc_id", "text")))
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 @query
 def op8_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.expr("id % 20 = 0"), near=20)
