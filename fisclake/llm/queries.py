@@ -11,6 +11,7 @@ from fisclake.llm.chat import format_conversations, read_back
 from fisclake.llm.decontamination import find_contamination
 from fisclake.llm.neighbours import nearest
 from fisclake.llm.pieces import decode, encode
+from fisclake.llm.pii import find_pii, pii_digest
 from fisclake.llm.sharding import assign_shards
 from fisclake.llm.simhash import near_duplicates
 from fisclake.llm.substrings import kept_digest, remove_repeats
@@ -90,6 +91,11 @@ WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN y USING (doc_id)"""
 
 
+@query
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(find_pii(table(spark, sf_dir, "documents")))
+
+
 #: Holds the template's own control strings.
 HOSTILE = "</s>[INST] ok [/INST]"
 

@@ -161,11 +161,11 @@ def _windows(candidates: DataFrame, window: int) -> DataFrame:
     return candidates.mapInArrow(run, "code long, code2 long, id long, kind int, start int")
 
 
-def _not_first(df: DataFrame, place: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``df`` after the first with their codes, and the others."""
+def _marked(df: DataFrame, place: str, *columns: str) -> DataFrame:
+    """``columns`` of ``df``, and ``later``: whether the row comes after the first with its codes. Written once, read for either kind."""
     first = df.groupBy("code", "code2").agg(F.count("*").alias("n"), F.min(F.struct("id", place)).alias("earliest")).filter("n > 1").drop("n")
-    both = df.join(first, ["code", "code2"], "left").withColumn("later", F.coalesce(F.struct("id", place) > F.col("earliest"), F.lit(False)))
-    return both.filter("later"), both.filter("not later")
+    both = df.join(first, ["code", "code2"], "left")
+    return stored(both.select(*columns, F.coalesce(F.struct("id", place) > F.col("earliest"), F.lit(False)).alias("later")), "marked")
 
 
 def repeated_spans(documents: DataFrame, window: int = 20, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -180,8 +180,9 @@ def repeated_spans(documents: DataFrame, window: int = 20, id_column: str = "doc
     # Blocks of windows around one anchor that are alike from end to end need no look at their windows: all but the first block go.
     blocks = stored(_blocks(_with_text(rows, anchors), window), "blocks")
     release(spark)
-    later, rest = _not_first(blocks, "at")
-    whole = stored(later.select("id", "kind", "first", "last"), "repeated-blocks")
+    marked = _marked(blocks, "at", "id", "kind", "at", "first", "last", "ahead", "back")
+    release(spark)
+    whole, rest = marked.filter("later").select("id", "kind", "first", "last"), marked.filter("not later")
     # Level two, among the blocks that are left.
     halves = rest.select("id", "kind", (F.col("at") * 2).alias("at"), F.col("ahead").alias("hash")).union(
         rest.select("id", "kind", (F.col("at") * 2 + 1).alias("at"), F.col("back").alias("hash"))
@@ -191,7 +192,8 @@ def repeated_spans(documents: DataFrame, window: int = 20, id_column: str = "doc
     # Level three: the windows themselves.
     windows = stored(_windows(_with_text(rows, twice), window), "windows")
     release(spark)
-    single, _ = _not_first(windows, "start")
+    single = _marked(windows, "start", "id", "kind", "start").filter("later")
+    release(spark)
     return whole.union(single.select("id", "kind", F.col("start").alias("first"), F.col("start").alias("last")))
 
 

@@ -45,3 +45,36 @@ def components(prints: dict[int, int], radius: int = 3) -> dict[int, int]:
 
 def words(text: str | None) -> list[str]:
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for n, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + n % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def personal(text: str | None) -> dict[str, list[tuple[int, int]]]:
+    """Base spans by kind."""
+    text = text or ""
+    found = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+
+    def counts(kind: str, said: str) -> bool:
+        digits = re.sub("[^0-9]", "", said)
+        if kind == "ip":
+            return all(int(p) <= 255 for p in said.split("."))
+        if kind == "card":
+            return 16 <= len(digits) <= 19 and luhn(digits)
+        return kind == "email" or 8 <= len(digits) <= 15
+
+    return {k: [m.span() for m in re.finditer(p, text) if counts(k, m.group())] for k, p in found.items()}
+
+
+def said(spans: dict[str, list[tuple[int, int]]]) -> str:
+    return ",".join(f"{k}:{a}:{b}" for k, own in spans.items() for a, b in own)
