@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from fisclake.llm.shared import stored
 
 #: Rows of a segment of a hash table, and queries, that one task compares at a time.
-ROWS, QUERIES = 4096, 1024
+ROWS, QUERIES = 16_384, 16_384
 #: Vectors and queries of the sample that the index is fitted on.
 SAMPLE, SAMPLE_QUERIES = 8192, 256
 
@@ -74,18 +74,22 @@ class Index:
             number = number * 3 + d + 1
         return np.where(near, number, 0), near
 
-    def segment(self, cells: np.ndarray) -> np.ndarray:
+    def key(self, cells: np.ndarray) -> np.ndarray:
+        """A number for each cell. Two with the same one are looked at together."""
         value = np.zeros(cells.shape[:-1], np.uint64)
         for j in range(self.k):
             value = (value ^ cells[..., j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             value ^= value >> np.uint64(29)
-        return (value % np.uint64(self.segments)).astype(np.int32)
+        return value
+
+    def segment(self, keys: np.ndarray) -> np.ndarray:
+        return (keys % np.uint64(self.segments)).astype(np.int32)
 
     def visited(self, queries: np.ndarray, table: int) -> np.ndarray:
-        """Segments of the cells that each query visits."""
+        """Keys of the cells that each query visits."""
         cell, inside = self.cells(self.directions(queries), table)
         order = np.argsort(self.ranks(inside), axis=1)[:, : self.probes]
-        return self.segment(cell[:, None, :] + self.steps()[order])
+        return self.key(cell[:, None, :] + self.steps()[order])
 
 
 def normal(x: np.ndarray) -> np.ndarray:
@@ -93,8 +97,8 @@ def normal(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.7978845608028654 * (x + 0.044715 * x**3)))
 
 
-def fit(sample: np.ndarray, norms: dict[int, float], count: int, wanted: float = 0.97, tables: int = 8, near: int = 20) -> Index:
-    """The index that looks at the fewest pairs of those that reach the recall ``wanted`` on the sample. A sample is sparser than the
+def fit(sample: np.ndarray, norms: dict[int, float], count: int, wanted: float = 0.96, tables: int = 8, near: int = 20) -> Index:
+    """The index, of up to ``tables`` tables, that looks at the fewest pairs of those that reach the recall ``wanted`` on the sample. A sample is sparser than the
     whole, its neighbours are farther away: the whole does better."""
     segments = max(1, -(-count // ROWS))
     queries = sample[:: max(1, len(sample) // SAMPLE_QUERIES)]
@@ -120,10 +124,10 @@ def fit(sample: np.ndarray, norms: dict[int, float], count: int, wanted: float =
                 rank = np.where(near_by, np.take_along_axis(index.ranks(inside), number, axis=1), 3**k)
                 pairs += np.bincount(rank.ravel(), minlength=3**k + 1)
                 first = np.minimum(first, rank)
-            recall = np.cumsum(np.bincount(np.take_along_axis(first, top, axis=1).ravel(), minlength=3**k + 1)[:-1]) / top.size
-            enough = np.flatnonzero(recall >= wanted)
-            if len(enough) and (looked := pairs[: enough[0] + 1].sum()) < cost:
-                cost, best = looked, Index(k, width, tables, int(enough[0]) + 1, distance, norms, segments)
+                recall = np.cumsum(np.bincount(np.take_along_axis(first, top, axis=1).ravel(), minlength=3**k + 1)[:-1]) / top.size
+                enough = np.flatnonzero(recall >= wanted)
+                if len(enough) and (looked := pairs[: enough[0] + 1].sum()) < cost:
+                    cost, best = looked, Index(k, width, t + 1, int(enough[0]) + 1, distance, norms, segments)
     return best
 
 
@@ -138,25 +142,51 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def best_rows(queries: np.ndarray, rows: np.ndarray, allowed: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query, row and inner product of the ``most`` best allowed rows of each query, and of those that tie with the last.
+class Best:
+    """The ``most`` best rows of each query so far, and what ties with the last.
 
-    The matrix product only preselects: its last bits depend on the shape. The scores are summed in one order everywhere.
+    Matrix products only preselect: their last bits depend on the shape. The scores given back are summed in one order everywhere.
     """
-    rough = np.where(allowed, queries @ rows.T, -np.inf)
-    size = np.sqrt((queries**2).sum(axis=1)).max() * np.sqrt((rows**2).sum(axis=1)).max()
-    least = np.full(len(queries), -np.inf)
-    if rows.shape[0] > most:
-        least = np.partition(rough, rows.shape[0] - most, axis=1)[:, rows.shape[0] - most]
-    q, r = np.nonzero((rough >= (least - 1e-12 * size)[:, None]) & allowed)
-    return q, r, (queries[q] * rows[r]).sum(axis=1)
+
+    def __init__(self, queries: np.ndarray, rows: np.ndarray, most: int) -> None:
+        self.queries, self.rows, self.most = queries, rows, most
+        self.margin = 1e-12 * np.sqrt((queries**2).sum(axis=1)).max() * np.sqrt((rows**2).sum(axis=1)).max()
+        self.least = np.full(len(queries), -np.inf)
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def look(self, queries: np.ndarray, rows: np.ndarray) -> None:
+        """Compares some queries with some rows, both by number; no pair may come twice."""
+        scores = self.queries[queries] @ self.rows[rows].T
+        q, r = np.nonzero(scores >= self.least[queries][:, None] - self.margin)
+        self.parts.append((queries[q], rows[r], scores[q, r]))
+        self.held += len(q)
+        if self.held > 4 * self.most * len(self.queries) + 500_000:
+            self.keep_best()
+
+    def keep_best(self) -> None:
+        if not self.parts:
+            self.parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        q, r, score = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        order = np.lexsort((-score, q))
+        q, r, score = q[order], r[order], score[order]
+        last = np.flatnonzero(np.arange(len(q)) - np.searchsorted(q, q) == self.most - 1)
+        self.least[q[last]] = score[last]
+        kept = score >= self.least[q] - self.margin
+        self.parts, self.held = [(q[kept], r[kept], score[kept])], int(kept.sum())
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self.keep_best()
+        q, r, _ = self.parts[0]
+        return q, r, (self.queries[q] * self.rows[r]).sum(axis=1)
 
 
 _FOUND = "query long, vec_id long, score double"
 
 
-def _compare(left: pa.Table, right: pa.Table, allowed: np.ndarray, most: int) -> pa.Table:
-    q, r, score = best_rows(matrix(right["vector"]), matrix(left["vector"]), allowed, most)
+def _answer(left: pa.Table, right: pa.Table, best: Best, most: int) -> pa.Table:
+    """The ``most`` best ids of each query; ``left`` are the rows, each with the ids it stands for."""
+    q, r, score = best.result()
     ids = left["ids"].combine_chunks()
     offsets = np.asarray(ids.offsets)
     size = np.diff(offsets)[r]
@@ -182,11 +212,11 @@ def _search(classes: DataFrame, queries: DataFrame, index: Index, most: int) ->
                     vectors = matrix(rows.column("vector"))
                     for t in range(index.tables):
                         if visit:
-                            segments = np.sort(index.visited(vectors, t), axis=1)
+                            segments = np.sort(index.segment(index.visited(vectors, t)), axis=1)
                             new = np.c_[np.ones(len(segments), bool), np.diff(segments, axis=1) != 0]
                             row, segment = np.nonzero(new)[0], segments[new]
                         else:
-                            row, segment = np.arange(len(vectors)), index.segment(index.cells(index.lifted(vectors), t)[0])
+                            row, segment = np.arange(len(vectors)), index.segment(index.key(index.cells(index.lifted(vectors), t)[0]))
                         part = rows.take(pa.array(row))
                         yield pa.RecordBatch.from_arrays(
                             [*(part.column(c) for c in columns), pa.array(np.full(len(row), t, np.int32)), pa.array(segment.astype(np.int32))], [*columns, "tab", "segment"]
@@ -209,10 +239,19 @@ def _search(classes: DataFrame, queries: DataFrame, index: Index, most: int) ->
         t = key[1].as_py()
         if not len(left) or not len(right):
             return pa.table({"query": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-        query_cells, inside = index.cells(index.directions(matrix(right["vector"])), t)
-        number, near = index.step_between(query_cells, index.cells(index.lifted(matrix(left["vector"])), t)[0])
-        allowed = near & (np.take_along_axis(index.ranks(inside), number, axis=1) < index.probes)
-        return _compare(left, right, allowed, most)
+        queries, rows = matrix(right["vector"]), matrix(left["vector"])
+        own = index.key(index.cells(index.lifted(rows), t)[0])
+        order = np.argsort(own, kind="stable")
+        keys, first = np.unique(own[order], return_index=True)
+        visited = index.visited(queries, t)
+        cell = np.searchsorted(keys, visited)
+        there = keys[np.minimum(cell, len(keys) - 1)] == visited
+        pairs = np.unique(cell[there] * len(queries) + np.nonzero(there)[0])  # a cell is visited once, whatever keys agree
+        best = Best(queries, rows, most)
+        for part in np.split(pairs, np.flatnonzero(np.diff(pairs // len(queries))) + 1) if len(pairs) else ():
+            c = int(part[0] // len(queries))
+            best.look(part % len(queries), order[first[c] : first[c + 1] if c + 1 < len(keys) else None])
+        return _answer(left, right, best, most)
 
     by = [*cell, "part", "group"]
     return rows.select(*by, "ids", "vector").groupBy(*by).cogroup(asked.select(*by, "query", "vector").groupBy(*by)).applyInArrow(run, _FOUND)
@@ -224,14 +263,20 @@ def _scan(classes: DataFrame, queries: DataFrame, blocks: int, most: int) -> Dat
     asked = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        return _compare(left, right, np.ones((len(right), len(left)), bool), most)
+        if not len(left) or not len(right):
+            return pa.table({"query": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+        queries, rows = matrix(right["vector"]), matrix(left["vector"])
+        best = Best(queries, rows, most)
+        for begin in range(0, len(queries), 256):
+            best.look(np.arange(begin, min(begin + 256, len(queries))), np.arange(len(rows)))
+        return _answer(left, right, best, most)
 
     by = ["dim", "block"]
     return rows.select(*by, "ids", "vector").groupBy(*by).cogroup(asked.select(*by, "query", "vector").groupBy(*by)).applyInArrow(run, _FOUND)
 
 
 def nearest(
-    vectors: DataFrame, queries: Column, near: int = 20, id_column: str = "vec_id", vector: str = "embedding", wanted: float = 0.97, tables: int = 8
+    vectors: DataFrame, queries: Column, near: int = 20, id_column: str = "vec_id", vector: str = "embedding", wanted: float = 0.96, tables: int = 8
 ) -> DataFrame:
     """The ``near`` rows with the largest inner product for each row where ``queries`` (a condition on ``id_column``) holds:
     ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``; ties go to the smaller id.
