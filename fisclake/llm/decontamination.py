@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fisclake.llm.fmindex import FMIndex
-from fisclake.llm.shared import ALPHANUMERIC, BASES, LOWER, Texts, find_words, ragged, span_hashes, stored, text_chunks
+from fisclake.llm.shared import ALPHANUMERIC, BASES, LOWER, Texts, find_words, ragged, span_hashes, stored, text_chunks, unpacked, whole_row
 
 #: Words of test items searched at a time; more items are searched block by block.
 BLOCK_WORDS = 500_000
@@ -119,11 +119,12 @@ def _search(documents: DataFrame, phrases: Phrases) -> DataFrame:
                     items[i] = sorted({*items[i], *(n for k in np.unique(which[rows]) for n in own.names[k])})
             pairs = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), part.column("text"), pa.array(np.diff(first)), pa.array(covered, pairs), pa.array(spans, pairs), pa.array(items, pa.list_(pa.string()))],
-                ["id", "text", "n_words", "covered", "spans", "items"],
+                [part.column("kept"), part.column("text"), pa.array(np.diff(first)), pa.array(covered, pairs), pa.array(spans, pairs), pa.array(items, pa.list_(pa.string()))],
+                ["kept", "text", "n_words", "covered", "spans", "items"],
             )
 
-    return documents.mapInArrow(run, f"id long, text string, n_words long, covered {_SPANS}, spans {_SPANS}, items array<string>")
+    kept = documents.schema["kept"].dataType.simpleString()
+    return documents.mapInArrow(run, f"kept {kept}, text string, n_words long, covered {_SPANS}, spans {_SPANS}, items array<string>")
 
 
 def find_contamination(
@@ -141,22 +142,22 @@ def find_contamination(
     items with the same id count as one. Repeated rows and ids: one result each. No rows: no rows. No items: no hits. Other columns,
     whatever their names, are not looked at.
     """
+    found = _found(documents, F.col(id_column).cast("long").alias("kept"), benchmark, window, text, item_id, item_text, block_words)
+    return found.select(F.col("kept").alias(id_column), "n_words", "n_hit", "items", "spans", "contaminated")
+
+
+def _found(documents: DataFrame, kept: Column, benchmark: DataFrame, window: int, text: str, item_id: str, item_text: str, block_words: int) -> DataFrame:
     rows = documents.select(
-        F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"), F.lit(0).cast("long").alias("n_words"),
+        kept, F.col(text).alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.array().cast(_SPANS).alias("covered"), F.array().cast(_SPANS).alias("spans"), F.array().cast("array<string>").alias("items"),
     )
     for n, block in enumerate(_blocks(benchmark, item_id, item_text, block_words)):
         rows = _search(stored(rows, "decontamination") if n else rows, Phrases(block, window))
     n_hit = F.aggregate("covered", F.lit(0).cast("long"), lambda total, r: total + r["end"] - r["start"])
-    return (
-        rows.withColumn("n_hit", n_hit)
-        .withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
-        .select(F.col("id").alias(id_column), "n_words", "n_hit", "items", "spans", "contaminated")
-    )
-
-
-def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = 13, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``documents`` whose text isn't contaminated. Rows that share an id with a contaminated one go too; null ids stay."""
-    found = find_contamination(documents, benchmark, window, id_column, text)
-    bad = found.filter("contaminated").select(F.col(id_column).alias("__bad")).distinct()
-    return documents.join(bad, F.col(id_column) == F.col("__bad"), "left_anti")
+    return rows.withColumn("n_hit", n_hit).withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
+
+
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = 13, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``documents`` whose text isn't contaminated, each judged by itself."""
+    found = _found(documents, whole_row(documents), benchmark, window, text, item_id, item_text, BLOCK_WORDS)
+    return unpacked(found.filter("not contaminated"), documents)

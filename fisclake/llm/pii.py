@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fisclake.llm.shared import stored
+from fisclake.llm.shared import stored, whole_row
 from fisclake.llm.spans import located, named, occurrences, overlaps, replaced
 
 KINDS = ("email", "ip", "card", "phone")
@@ -130,7 +130,7 @@ def labelled(documents: DataFrame, id_column: str = "doc_id", text: str = "text"
         return F.transform(f"c_{kind}", describe)
 
     places = {k: F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS}
-    return rows.select("id", *(c for c in rows.columns if c.startswith("keep_")), *(c.alias(k) for k, c in places.items()), F.concat(*map(described, KINDS)).alias("candidates"))
+    return rows.select("id", *(c for c in rows.columns if c == "kept"), *(c.alias(k) for k, c in places.items()), F.concat(*map(described, KINDS)).alias("candidates"))
 
 
 def reliabilities(patterns: list[tuple[str, tuple[int, ...], int]], rounds: int = 100) -> dict[tuple[str, tuple[int, ...]], float]:
@@ -228,11 +228,10 @@ def pii_digest(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 def redact(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``documents`` with every span of ``text`` replaced by its kind in brackets; null texts stay null."""
-    whole = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("keep_row")
-    found = find_pii(documents, id_column, text, whole)
+    found = find_pii(documents, id_column, text, whole_row(documents))
     label = lambda k: F.concat(F.lit("["), F.upper(k), F.lit("]"))
     every = F.concat(*(F.transform(k, _labelled(label(F.lit(k)))) for k in KINDS),
         F.transform("added", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), label(s["kind"]).alias("label"))))
-    own = found.withColumn("every", F.array_sort(every)).select(*(F.col("keep_row").getField(c).alias(c) for c in documents.columns), "every")
-    return own.withColumn(text, replaced(F.col(text), F.col("every"))).select(*(f"`{c}`" for c in documents.columns))
-
+    place = f"kept.c{documents.columns.index(text)}"
+    found = found.withColumn("every", F.array_sort(every)).withColumn("new", replaced(F.col(place), F.col("every")))
+    return found.select(*(F.col("new" if c == text else f"kept.c{n}").alias(c) for n, c in enumerate(documents.columns)))

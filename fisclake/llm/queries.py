@@ -12,6 +12,7 @@ from fisclake.llm.decontamination import find_contamination
 from fisclake.llm.neighbours import nearest
 from fisclake.llm.pieces import decode, encode
 from fisclake.llm.pii import find_pii, pii_digest
+from fisclake.llm.secret_scan import find_secrets, secrets_digest
 from fisclake.llm.sharding import assign_shards
 from fisclake.llm.simhash import near_duplicates
 from fisclake.llm.substrings import kept_digest, remove_repeats
@@ -113,6 +114,11 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_digest(find_secrets(table(spark, sf_dir, "documents")))
+
+
 @query
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and a digest of what they decode to."""

@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fisclake.session import shared_folder
 
@@ -24,6 +25,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, ``kept``: their names can clash with nothing."""
+    return F.struct(*(F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(df.columns))).alias("kept")
+
+
+def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` again, from ``kept``."""
+    return df.select(*(F.col(f"kept.c{n}").alias(c) for n, c in enumerate(like.columns)))
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of finished jobs now; otherwise they stay until the driver happens to collect its garbage."""
     gc.collect()

@@ -9,11 +9,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fisclake.llm.components import components
-from fisclake.llm.shared import NOT_SPACE, Texts, find_words, stored, text_chunks
+from fisclake.llm.shared import NOT_SPACE, Texts, find_words, stored, text_chunks, unpacked, whole_row
 
 #: Fingerprints per tile. Two tiles of the largest size take 2 MB to compare.
 TILE = 512
@@ -51,15 +51,16 @@ def fingerprints_of(texts: Texts, shingle: int, seed: int = 42) -> np.ndarray:
     return result
 
 
-def fingerprints(documents: DataFrame, shingle: int = 3, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id`` and ``fingerprint`` (the 64 bits as a long) of every row."""
-    rows = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
+def fingerprints(documents: DataFrame, shingle: int = 3, id_column: str = "doc_id", text: str = "text", *more: str) -> DataFrame:
+    """``id``, ``fingerprint`` (the 64 bits as a long) and ``more`` long columns of every row."""
+    rows = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"), *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_chunks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(fingerprints_of(texts, shingle).view(np.int64))], ["id", "fingerprint"])
+            own = pa.array(fingerprints_of(texts, shingle).view(np.int64))
+            yield pa.RecordBatch.from_arrays([part.column("id"), own, *map(part.column, more)], ["id", "fingerprint", *more])
 
-    return rows.mapInArrow(run, "id long, fingerprint long")
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in ("id", "fingerprint", *more)))
 
 
 def tile_of(fingerprint: str = "fingerprint") -> Column:
@@ -171,7 +172,15 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, radius: int = 3, id_
 
 
 def keep_one_of_each(documents: DataFrame, shingle: int = 3, radius: int = 3, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``documents`` whose id is the smallest of their near-duplicates; rows with a null id are kept."""
-    found = near_duplicates(documents, shingle, radius, id_column, text)
-    others = found.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("__copy")).distinct()
-    return documents.join(others, F.col(id_column).eqNullSafe(F.col("__copy")), "left_anti")
+    """One row of ``documents`` for each group of near-duplicates: that with the smallest id (of the same id, the smallest hash of the
+    text). Rows without id stay only where no row of their group has one; of repeated rows one stays."""
+    marked = documents.select(whole_row(documents), F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("kind"), F.col(text).alias("text"))
+    keyed = marked.select(F.coalesce("id", F.lit(0)).alias("key"), F.col("id").isNull().alias("bare"), "kind", "kept")
+    prints = stored(fingerprints(marked, shingle, "id", "text", "kind"), "simhash")
+    roots = components(links(prints, radius)).withColumnRenamed("node", "fingerprint")
+    first = F.min(F.struct(F.col("id").isNull().alias("bare"), F.coalesce("id", F.lit(0)).alias("key"), "kind")).alias("first")
+    groups = prints.groupBy("fingerprint").agg(first).join(roots, "fingerprint", "left").groupBy(F.coalesce("root", "fingerprint")).agg(F.min("first").alias("first"))
+    chosen = stored(groups.select("first.*"), "simhash-kept")
+    same = ["key", "bare", "kind"]
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64("kept")))
+    return unpacked(keyed.join(chosen, same, "left_semi").withColumn("nth", nth).filter("nth = 1"), documents)

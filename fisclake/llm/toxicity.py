@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fisclake.llm.shared import ALPHANUMERIC, LOWER, Texts, find_words, ragged, span_hashes, text_chunks
+from fisclake.llm.shared import ALPHANUMERIC, LOWER, Texts, find_words, ragged, span_hashes, text_chunks, unpacked, whole_row
 
 #: Features are hashed to so many places.
 PLACES = 1 << 20
@@ -176,14 +176,9 @@ def train(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", te
     return Model(np.array(row["places"], np.int64), np.array(row["weights"]), row["bias"]) if row else Model()
 
 
-def score_documents(documents: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """Row by row: ``id_column``, ``score`` (0 to 1), ``predicted`` (1 from ``threshold`` on) and ``offending``: the sentences more
-    likely toxic than not, as code points ``start`` to ``end`` with their probability.
-
-    Null, empty and blank texts have no sentence and the score 0. Repeated rows and ids: one result each. No rows: no rows. Other
-    columns, whatever their names, are not looked at.
-    """
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+def _scored(rows: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """``rows`` (``kept`` and ``text``) with the score and the sentences found."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # a few thousand weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value.table(), shared.value.bias
@@ -201,17 +196,26 @@ def score_documents(documents: DataFrame, model: Model, id_column: str = "doc_id
                     spans[i].append({"start": int(letters[sentences.first[s]] - zero), "end": int(letters[sentences.last[s]] - zero), "probability": float(odds(logits[s]))})
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(spans, kind)], ["id", "score", "predicted", "offending"]
+                [part.column("kept"), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(spans, kind)], ["kept", "score", "predicted", "offending"]
             )
 
-    rows = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
-    scored = rows.mapInArrow(run, "id long, score double, predicted int, offending array<struct<start:int,end:int,probability:double>>")
-    return scored.withColumnRenamed("id", id_column)
+    kept = rows.schema["kept"].dataType.simpleString()
+    return rows.mapInArrow(run, f"kept {kept}, score double, predicted int, offending array<struct<start:int,end:int,probability:double>>")
+
+
+def score_documents(documents: DataFrame, model: Model, id_column: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """Row by row: ``id_column``, ``score`` (0 to 1), ``predicted`` (1 from ``threshold`` on) and ``offending``: the sentences more
+    likely toxic than not, as code points ``start`` to ``end`` with their probability.
+
+    Null, empty and blank texts have no sentence and the score 0. Repeated rows and ids: one result each. No rows: no rows. Other
+    columns, whatever their names, are not looked at.
+    """
+    rows = documents.select(F.col(id_column).cast("long").alias("kept"), F.col(text).alias("text"))
+    return _scored(rows, model, threshold).withColumnRenamed("kept", id_column)
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = 0.5, **sample: int) -> DataFrame:
-    """The rows of ``documents`` that a model trained on ``labels`` doesn't reject. Rows that share an id with a rejected one go too;
-    null ids stay."""
+    """The rows of ``documents`` that a model trained on ``labels`` doesn't reject, each judged by itself."""
     model = train(documents, labels, id_column, text, **sample)
-    bad = score_documents(documents, model, id_column, text, threshold).filter("predicted = 1").select(F.col(id_column).alias("__bad")).distinct()
-    return documents.join(bad, F.col(id_column) == F.col("__bad"), "left_anti")
+    scored = _scored(documents.select(whole_row(documents), F.col(text).alias("text")), model, threshold)
+    return unpacked(scored.filter("predicted = 0"), documents)

@@ -78,3 +78,15 @@ def personal(text: str | None) -> dict[str, list[tuple[int, int]]]:
 
 def said(spans: dict[str, list[tuple[int, int]]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, own in spans.items() for a, b in own)
+
+
+def secrets(text: str | None) -> list[tuple[int, str, int]]:
+    """Base spans: start, kind, end."""
+    found = {
+        "assign": (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 6),
+        "access": (r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+        "hex": (r"[0-9a-f]+", lambda m: len(m[0]) >= 24),
+    }
+    order = list(found)
+    spans = [(m.start(), order.index(k), k, m.end()) for k, (p, keep) in found.items() for m in re.finditer(p, text or "") if keep(m)]
+    return [(s, k, e) for s, _, k, e in sorted(spans)]

@@ -65,3 +65,5 @@ def test_odd_rows(spark, odd_documents):
     items = spark.createDataFrame([(7, "wort wort wort"), (8, "\U0001f600 END")], "item_id long, text string")
     check(odd_documents, items)
     assert find_contamination(odd_documents.limit(0), items).collect() == []
+    kept = drop_contaminated(odd_documents, items)
+    assert kept.columns == odd_documents.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "6", "6", "7", "9", "None"]
