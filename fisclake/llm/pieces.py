@@ -16,7 +16,7 @@ from fisclake.llm.shared import BASES, ragged, span_hashes, text_chunks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text whose segments are indexed together.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_500_000
 #: Segments longer than this are relaxed one at a time, shorter ones side by side.
 SHORT = 64
 SPACE = "▁"
@@ -92,7 +92,18 @@ class Pieces:
         for j in range(self.each):
             first[:n] = first[:n] << self.bits | padded[j : n + j]
         keys = [first[k * self.each : k * self.each + n] for k in range(self.keys)]
-        order = np.lexsort(keys[::-1])  # of suffixes, by as many characters as the longest piece has
+        # Suffixes in order of as many characters as the longest piece has: those of four, then of eight from the ranks by four, and so on.
+        value, depth = keys[0], self.each
+        while True:
+            order = np.argsort(value)
+            if depth >= self.longest:
+                break
+            ordered = value[order]
+            rank = np.empty(n, np.int64)
+            rank[order] = np.cumsum(np.r_[True, ordered[1:] != ordered[:-1]])
+            value = rank << 32
+            value[: max(n - depth, 0)] |= rank[depth:]
+            depth *= 2
         keys = [k[order] for k in keys]
         low, high = self._places(keys, self.lowest, False), self._places(keys, self.highest, True)
         count = high - low
