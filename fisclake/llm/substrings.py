@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from fisclake.llm.shared import BASES, NOT_SPACE, Texts, find_words, mixed, ragged, release, span_hashes, stored, text_chunks
 
 _C1, _C2 = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
+#: Bytes of text whose windows are held at a time.
+BATCH_BYTES = 1_500_000
 #: Rows without an id come after all others.
 NO_ID = (1 << 63) - 1
 
@@ -75,7 +77,7 @@ def _arrow(names: str, *columns: np.ndarray | pa.Array) -> pa.RecordBatch:
 
 def _anchors(rows: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_chunks(batches, "text"):
+        for part, texts in text_chunks(batches, "text", BATCH_BYTES):
             w = Windows(texts, window)
             first, _ = w.blocks()
             if len(first):
@@ -88,8 +90,11 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
 
 
 def _repeated(df: DataFrame, *key: str) -> DataFrame:
-    """The rows of ``df`` whose key another row has too: keys are counted before they move, then the rows are looked up."""
-    several = df.groupBy(*key).agg(F.count("*").alias("__n")).filter("__n > 1").select(*key)
+    """The rows of ``df`` whose key another row has too: keys are counted before they move, then the rows are looked up.
+
+    The keys are written first: adaptive execution splits a hot key only in a join of two plain exchanges."""
+    several = stored(df.groupBy(*key).agg(F.count("*").alias("__n")).filter("__n > 1").select(*key), "repeated-keys")
+    release(df.sparkSession)
     return df.join(several, list(key), "left_semi")
 
 
@@ -111,7 +116,7 @@ def _blocks(candidates: DataFrame, window: int) -> DataFrame:
     the anchor's length that hold it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_chunks(batches, "text"):
+        for part, texts in text_chunks(batches, "text", BATCH_BYTES):
             w, other = Windows(texts, window), Windows(texts, window, BASES[1])
             first, last = w.blocks()
             if not len(first):
@@ -144,7 +149,7 @@ def _windows(candidates: DataFrame, window: int) -> DataFrame:
     """A row for each window around the surviving anchors; ``places`` has twice the anchor, plus one for those extended to the left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_chunks(batches, "text"):
+        for part, texts in text_chunks(batches, "text", BATCH_BYTES):
             w, other = Windows(texts, window), Windows(texts, window, BASES[1])
             if not len(w.starts):
                 continue
@@ -164,6 +169,8 @@ def _windows(candidates: DataFrame, window: int) -> DataFrame:
 def _marked(df: DataFrame, place: str, *columns: str) -> DataFrame:
     """``columns`` of ``df``, and ``later``: whether the row comes after the first with its codes. Written once, read for either kind."""
     first = df.groupBy("code", "code2").agg(F.count("*").alias("n"), F.min(F.struct("id", place)).alias("earliest")).filter("n > 1").drop("n")
+    first = stored(first, "first")
+    release(df.sparkSession)
     both = df.join(first, ["code", "code2"], "left")
     return stored(both.select(*columns, F.coalesce(F.struct("id", place) > F.col("earliest"), F.lit(False)).alias("later")), "marked")
 
