@@ -14,9 +14,12 @@ def missing_rows(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> D
     """Rows of ``left`` whose ``columns`` do not occur in ``right``.
 
     The right side is reduced to distinct keys first; that happens before its shuffle, so a key repeated a million times
-    travels once.
+    travels once. Only keys are compared; the rows, which may hold whole documents, are looked up by the few keys that are missing.
     """
-    return left.join(right.select(*columns).distinct(), list(columns), "left_anti")
+    keys = list(columns)
+    absent = left.select(*keys).distinct().join(right.select(*keys).distinct(), keys, "left_anti")
+    alike = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+    return left.alias("l").join(absent.alias("r"), alike, "left_semi")
 
 
 def missing_in_silver(bronze: DataFrame, silver: DataFrame, bronze_key: str = "CHAVE", silver_key: str = "chave") -> DataFrame:
@@ -82,11 +85,19 @@ def documents_by_partition(df: DataFrame, key: str = "chave", partition: str = P
     return df.select(partition, key).distinct().groupBy(partition).agg(F.count("*").alias("documents"))
 
 
+def counts_side_by_side(left: DataFrame, right: DataFrame, by: str, left_name: str, right_name: str) -> DataFrame:
+    """Rows per value of ``by`` on both sides, 0 where a side has none. NULL is a value like any other."""
+    def side(df: DataFrame, a: int, b: int) -> DataFrame:
+        return df.groupBy(by).agg((F.count("*") * a).alias(left_name), (F.count("*") * b).alias(right_name))
+
+    both = side(left, 1, 0).unionByName(side(right, 0, 1))
+    return both.groupBy(by).agg(F.sum(left_name).alias(left_name), F.sum(right_name).alias(right_name))
+
+
 def reconcile_partitions(left: DataFrame, right: DataFrame, key: str = "chave", partition: str = PARTITION) -> DataFrame:
     """Distinct documents per partition on both sides and their difference; a side without the partition counts 0."""
-    a = documents_by_partition(left, key, partition).withColumnRenamed("documents", "left_documents")
-    b = documents_by_partition(right, key, partition).withColumnRenamed("documents", "right_documents")
-    joined = a.join(b, partition, "full").na.fill(0, ["left_documents", "right_documents"])
+    distinct = (df.select(partition, key).distinct() for df in (left, right))
+    joined = counts_side_by_side(*distinct, partition, "left_documents", "right_documents")
     return joined.withColumn("difference", F.col("left_documents") - F.col("right_documents"))
 
 

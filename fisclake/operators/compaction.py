@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fisclake.functions.keys import PARTITION
-from fisclake.operators.sinks import ROWS_PER_FILE, VerificationError, swap_folders
+from fisclake.operators.audit import counts_side_by_side
+from fisclake.operators.sinks import ROW_GROUP_BYTES, ROWS_PER_FILE, VerificationError, recover, swap_folders
 from fisclake.sources.scans import read_table
-from fisclake.sources.storage import files, partition_inventory
+from fisclake.sources.storage import child_folders, files, partition_inventory
 
 # Fixed values of the health test: megabytes per file, and how far the number of files may be off.
 TARGET_MB = 160
@@ -18,6 +19,8 @@ MAXIMUM_MB = 256
 TOLERANCE = 0.15
 ARCHIVE_MB = 300
 ARCHIVE_FILES = 2
+#: Folder value of a partition column that is NULL.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _megabytes(size: str | Column) -> Column:
@@ -60,21 +63,36 @@ def archive_files(size: str | Column = "bytes") -> Column:
 def spread(df: DataFrame, sizes: DataFrame, tasks: int, key: str, partition: str = PARTITION) -> DataFrame:
     """Distribute each partition over its number of files (``sizes``: partition, ``ideal_files``) by the hash of ``key``.
 
-    All partitions are rewritten by one job of ``tasks`` tasks; a big month gets as many of them as it gets files.
+    All partitions are rewritten by one job of ``tasks`` tasks, the sum of ``ideal_files``: each file has a task of its own, numbered by
+    a running sum over the partitions. Rows without key (unanswered events, all in the partition of NULL) go by their whole content.
     """
     column = next((name for name in df.columns if name.lower() == key.lower()), None)
-    hashed = F.xxhash64(column) if column else F.xxhash64(*df.columns)
-    salted = df.join(sizes.select(partition, F.col("ideal_files").alias("__files")), partition, "left")
-    salted = salted.withColumn("__bucket", F.pmod(hashed, F.coalesce("__files", F.lit(1))))
-    return salted.repartition(tasks, partition, "__bucket").select(*df.columns)
+    whole = F.xxhash64(*df.columns)
+    hashed = F.when(F.col(column).isNotNull(), F.xxhash64(column)).otherwise(whole) if column else whole
+    before = Window.orderBy("__name").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    numbered = sizes.select(_name(partition).alias("__name"), F.col("ideal_files").alias("__files")).withColumn(
+        "__first", F.coalesce(F.sum("__files").over(before), F.lit(0))
+    )
+    salted = df.withColumn("__name", _name(partition)).join(numbered, "__name", "left")
+    task = (F.coalesce("__first", F.lit(0)) + F.pmod(hashed, F.coalesce("__files", F.lit(1)))).cast("int")
+    return salted.repartitionById(tasks, task).select(*df.columns)
+
+
+def _name(partition: str) -> Column:
+    """Partition value as its folder says it."""
+    return F.coalesce(F.col(partition).cast("string"), F.lit(NO_VALUE))
 
 
 def compact(spark: SparkSession, path: str, key: str = "chave", partition: str = PARTITION,
             inventory: DataFrame | None = None) -> DataFrame:
     """Rewrite the unhealthy partitions of a table in one job, verify them all, then swap each in by renaming.
 
-    Healthy partitions are not read. Returns the plan.
+    Healthy partitions are not read. Returns the plan. Old folders wait outside the table until the new ones are in place; what a failed
+    run left there is put right first.
     """
+    replaced = f"{path}_replaced"
+    for name in child_folders(spark, replaced):
+        recover(spark, f"{path}/{name}", f"{replaced}/{name}")
     sizes = plan(inventory if inventory is not None else partition_inventory(spark, path, [partition]))
     planned = sizes.filter("NOT healthy").select(partition, "ideal_files").collect()  # one row per partition
     if planned:
@@ -83,21 +101,17 @@ def compact(spark: SparkSession, path: str, key: str = "chave", partition: str =
         table = read_table(spark, path, [partition], [f"{partition}={value}" for value in unhealthy])
         staging = f"{path}_compacted"
         tasks = sum(row.ideal_files for row in planned)
-        compacted = spread(table, sizes, tasks, key, partition).write.mode("overwrite").option("compression", "lz4")
-        compacted.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(partition).parquet(staging)
+        compacted = spread(table, sizes.filter("NOT healthy"), tasks, key, partition).write.mode("overwrite").option("compression", "lz4")
+        compacted.option("maxRecordsPerFile", ROWS_PER_FILE).option("parquet.block.size", ROW_GROUP_BYTES).partitionBy(partition).parquet(staging)
         require_same_partition_rows(table, read_table(spark, staging, [partition]), partition)
         for value, folder in zip(unhealthy, folders, strict=True):
-            swap_folders(spark, f"{staging}/{partition}={value}", folder)
+            swap_folders(spark, f"{staging}/{partition}={value}", folder, f"{replaced}/{partition}={value}")
     return sizes
 
 
 def require_same_partition_rows(table: DataFrame, copy: DataFrame, partition: str) -> None:
     """Raise if any partition has another number of rows in the copy."""
-    def rows(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(partition).agg(F.count("*").alias(name))
-
-    joined = rows(table, "before").join(rows(copy, "after"), partition, "full")
-    differing = joined.filter("NOT before <=> after").select(partition).take(5)
+    differing = counts_side_by_side(table, copy, partition, "before", "after").filter("before <> after").select(partition).take(5)
     if differing:
         raise VerificationError(f"rows differ in partitions {[row[partition] for row in differing]}")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fisclake.functions.keys import PARTITION
+from fisclake.operators.audit import counts_side_by_side
 from fisclake.operators.sinks import write_partitioned
 from fisclake.sources.scans import read_table
 from fisclake.sources.storage import partition_inventory
@@ -28,9 +29,5 @@ def mirror(spark: SparkSession, source: str, target: str, since: str | None = No
 
 def verify_mirror(spark: SparkSession, source: str, target: str, partition: str = PARTITION) -> DataFrame:
     """Rows per partition on both sides."""
-    def rows(path: str, name: str) -> DataFrame:
-        return read_table(spark, path, [partition]).groupBy(partition).agg(F.count("*").alias(name))
-
-    joined = rows(source, "source_rows").join(rows(target, "target_rows"), partition, "full")
-    filled = joined.na.fill(0, ["source_rows", "target_rows"])
+    filled = counts_side_by_side(*(read_table(spark, path, [partition]) for path in (source, target)), partition, "source_rows", "target_rows")
     return filled.withColumn("equal", F.col("source_rows") == F.col("target_rows"))

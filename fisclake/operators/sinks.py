@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from fisclake.functions.dates import with_parsed_day
+from fisclake.functions.dates import timestamp, with_parsed_day
 from fisclake.functions.keys import PARTITION
 from fisclake.operators.repair import deduplicate, deduplication_report
 from fisclake.sources.scans import read_table
@@ -41,15 +41,30 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str] = (PAR
 
 
 def write_once(df: DataFrame, path: str) -> bool:
-    """Write unless the folder is there already; False if it was."""
-    if exists(df.sparkSession, path):
+    """Write unless the folder is there already; False if it was.
+
+    The folder gets its name when it is complete. One that a failed job left, still with its temporary files, doesn't count.
+    """
+    spark = df.sparkSession
+    if exists(spark, path) and not exists(spark, f"{path}/_temporary"):
         return False
-    df.write.mode("errorifexists").option("compression", "lz4").parquet(path)
+    writing = f"{path}_writing"
+    df.write.mode("overwrite").option("compression", "lz4").parquet(writing)
+    if exists(spark, path):
+        remove(spark, path)
+    move(spark, writing, path)
     return True
 
 
 def archive_new_days(df: DataFrame, path: str, stamp: str = "DHPROC") -> None:
-    """Append the days the archive lacks, under ``year=/month=/day=``; days it has are left alone."""
+    """Append the days the archive lacks, under ``year=/month=/day=``; days it has are left alone.
+
+    Rows whose time is none go to ``<path>_rejected``, once each however often they are delivered.
+    """
+    rejects = df.filter(timestamp(stamp).isNull())
+    if exists(df.sparkSession, f"{path}_rejected"):
+        rejects = rejects.exceptAll(df.sparkSession.read.schema(df.schema).parquet(f"{path}_rejected"))
+    write_partitioned(rejects, f"{path}_rejected", ())
     dated = with_parsed_day(df, stamp)
     present = existing_partitions(df.sparkSession, path, DAY)
     if present is not None:  # older folders are called month=4, newer ones month=04
@@ -60,8 +75,13 @@ def archive_new_days(df: DataFrame, path: str, stamp: str = "DHPROC") -> None:
 
 def hand_over(df: DataFrame, path: str, text_columns: Sequence[str] = TEXT_COLUMNS, rename: dict[str, str] | None = None,
               stamp: str = "DHPROC") -> None:
-    """Give a family's documents or events to the older day layout: keys as text, one write for all days."""
-    write_partitioned(with_parsed_day(harmonise(df, text_columns, rename), stamp), path, DAY)
+    """Give a family's documents or events to the older day layout: keys as text, one write for all days.
+
+    Rows whose time is none have no place there; they go to ``<path>_rejected``.
+    """
+    alike = harmonise(df, text_columns, rename)
+    write_partitioned(with_parsed_day(alike, stamp), path, DAY)
+    write_partitioned(alike.filter(timestamp(stamp).isNull()), f"{path}_rejected", ())
 
 
 def harmonise(df: DataFrame, text_columns: Sequence[str], rename: dict[str, str] | None = None) -> DataFrame:
@@ -71,12 +91,14 @@ def harmonise(df: DataFrame, text_columns: Sequence[str], rename: dict[str, str]
     return df.withColumns(casts).withColumnsRenamed(rename or {})
 
 
-def swap_folders(spark: SparkSession, staged: str, path: str) -> None:
+def swap_folders(spark: SparkSession, staged: str, path: str, old: str | None = None) -> None:
     """Put a finished folder in the place of another by renaming.
 
-    The old data are removed last, so a failure at any point leaves one complete copy under ``path`` or ``path_old``.
+    The old data are removed last, so a failure at any point leaves one complete copy under ``path`` or ``old`` (``path_old``), which
+    ``recover`` puts right. Where ``path`` lies inside a table, ``old`` must lie outside.
     """
-    old = f"{path}_old"
+    old = old or f"{path}_old"
+    recover(spark, path, old)
     move(spark, path, old)
     try:
         move(spark, staged, path)
@@ -86,8 +108,18 @@ def swap_folders(spark: SparkSession, staged: str, path: str) -> None:
     remove(spark, old)
 
 
+def recover(spark: SparkSession, path: str, old: str) -> None:
+    """Finish a swap that was cut off: old data come back if nothing has taken their place, and go otherwise."""
+    if exists(spark, old):
+        if exists(spark, path):
+            remove(spark, old)
+        else:
+            move(spark, old, path)
+
+
 def staged_swap(spark: SparkSession, path: str, write: Callable[[str], None], verify: Callable[[str], None]) -> None:
-    """Replace a folder safely: write beside it, verify, swap."""
+    """Replace a folder safely: write beside it, verify, swap. A swap that failed before is recovered first."""
+    recover(spark, path, f"{path}_old")
     staged = f"{path}_staged"
     if exists(spark, staged):
         remove(spark, staged)

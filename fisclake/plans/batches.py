@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -25,10 +26,16 @@ class Batch:
     where: str | None = None
 
 
+def batch_name(batch: Batch) -> str:
+    """What an inbox is called among the signs of its table."""
+    return hashlib.sha256(f"{batch.path}|{batch.where or ''}".encode()).hexdigest()[:20]
+
+
 def load_batches(spark: SparkSession, batches: Iterable[Batch]) -> DataFrame:
     """Load each batch and report it: table, path, outcome (loaded, absent or failed) and the reason of a failure.
 
-    A batch that fails stays in its inbox and can be loaded again; nothing of it was written if the gate refused it.
+    A batch that fails stays in its inbox and can be loaded again; nothing of it was written if the gate refused it. An inbox is known
+    by its path and loaded once: a second run, or one after a failure half-way, adds what is still lacking.
     """
     report = []
     for batch in batches:
@@ -37,7 +44,7 @@ def load_batches(spark: SparkSession, batches: Iterable[Batch]) -> DataFrame:
             outcome = "absent"
         else:
             try:
-                load(spark.read.parquet(batch.path), batch.kind, batch.target, where=batch.where)
+                load(spark.read.parquet(batch.path), batch.kind, batch.target, where=batch.where, name=batch_name(batch))
             except (DuplicateBatchError, VerificationError, PySparkException) as error:
                 outcome, reason = "failed", str(error)[:500]
         report.append((batch.kind.silver, batch.path, outcome, reason))

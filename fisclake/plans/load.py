@@ -15,6 +15,7 @@ from fisclake.operators.sinks import write_partitioned
 from fisclake.registry import DocumentType
 from fisclake.sources.scans import read_table
 from fisclake.sources.storage import exists
+from fisclake.streaming.incremental import append_batch
 
 
 @dataclass(frozen=True)
@@ -27,39 +28,62 @@ class Target:
     def rejected(self) -> str:
         return f"{self.path}_rejected"
 
+    @property
+    def signs(self) -> str:
+        return f"{self.path}_loaded"
+
+
+def write_documents(batch: DataFrame, kind: DocumentType, target: Target, name: str | None = None) -> None:
+    """File every document of a batch: in its table or, if it cannot be, with its text beside it.
 
-def write_documents(batch: DataFrame, kind: DocumentType, target: Target) -> None:
-    """File every document of a batch: in its table or, if it cannot be, with its text beside it."""
-    write_partitioned(accepted(batch, kind), target.path)
-    write_partitioned(rejected(batch, kind), target.rejected, ())
+    A batch with a ``name`` is filed once: signs beside the table tell a second run, or one after a failure, what is done.
+    """
+    if name is None:
+        write_partitioned(accepted(batch, kind), target.path)
+        write_partitioned(rejected(batch, kind), target.rejected, ())
+    else:
+        append_batch(accepted(batch, kind), name, target.path, target.signs)
+        append_batch(rejected(batch, kind), name, target.rejected, f"{target.signs}_rejected", ())
 
 
 def load(bronze: DataFrame, kind: DocumentType, target: Target, gate: Sequence[str] | None = (),
-         where: str | None = None) -> DataFrame:
+         where: str | None = None, name: str | None = None) -> DataFrame:
     """Load one batch of one type and return the documents now in each partition it belongs to.
 
-    ``gate``: columns that must be unique; None means whole rows, an empty list the sequence number.
+    ``gate``: columns that must be unique; None means whole rows, an empty list the sequence number. ``name``: see ``write_documents``.
     """
     require_unique(bronze, [kind.sequence] if gate is not None and not gate else gate)
     batch = bronze.filter(where) if where else bronze
-    write_documents(batch, kind, target)
-    return count_by(read_table(batch.sparkSession, target.path, folders=touched_folders(batch, target)), PARTITION, name="documents")
+    write_documents(batch, kind, target, name)
+    folders = touched_folders(batch, target)
+    if not folders:  # all of it was rejected, or there was none
+        return batch.sparkSession.createDataFrame([], f"{PARTITION} string, documents bigint")
+    return count_by(read_table(batch.sparkSession, target.path, folders=folders), PARTITION, name="documents")
 
 
 def touched_folders(batch: DataFrame, target: Target) -> list[str]:
-    """Partition folders a batch belongs to, by the keys among its metadata: some months, out of many in the table."""
+    """Partition folders a batch belongs to, by the keys among its metadata: some months, out of many in the table.
+
+    Documents without an answer have no key of their own and lie in the partition of NULL, whatever the metadata say.
+    """
     months = batch.select(partition_key("CHAVE").alias(PARTITION)).distinct().collect()
-    folders = [f"{PARTITION}={row[PARTITION]}" for row in months]
+    folders = [f"{PARTITION}={row[PARTITION]}" for row in months if row[PARTITION] is not None]
+    folders.append(f"{PARTITION}=__HIVE_DEFAULT_PARTITION__")
     return [folder for folder in folders if exists(batch.sparkSession, f"{target.path}/{folder}")]
 
 
 def load_with_items(bronze: DataFrame, header: DocumentType, detail: DocumentType, header_target: Target,
-                    item_target: Target, gate: Sequence[str] = ("CHAVE",)) -> None:
-    """Load headers and items of one batch, which passes the gate once.
+                    item_target: Target, gate: Sequence[str] = ("CHAVE",), name: str | None = None) -> None:
+    """Load headers and items of one batch, which passes the gate once. With a ``name`` each of the three writes happens once, however
+    often the batch is run.
 
     Each table parses only its own groups and skips the others. Keeping one common parse on disk between the two writes
     was slower: the parsed struct is far larger than the text, and both have to be read again.
     """
     require_unique(bronze, gate)
-    write_documents(bronze, header, header_target)
-    write_partitioned(items(bronze, detail).filter("chave IS NOT NULL"), item_target.path)
+    write_documents(bronze, header, header_target, name)
+    details = items(bronze, detail).filter("chave IS NOT NULL")
+    if name is None:
+        write_partitioned(details, item_target.path)
+    else:
+        append_batch(details, name, item_target.path, item_target.signs)

@@ -23,10 +23,12 @@ def read_folder(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 
 def read_table(spark: SparkSession, path: str, partitions: Sequence[str] = (PARTITION,), folders: Sequence[str] | None = None) -> DataFrame:
-    """A partitioned table, or some of its partition folders, with the partition columns as text.
+    """A partitioned table, or some of its partition folders, with the partition columns as text. No folders: no rows.
 
     Left to infer, Spark reads `0512` as the number 512, and a rewrite would then rename the partition.
     """
+    if folders is not None and not folders:
+        return read_table(spark, path, partitions).filter(F.lit(False))
     reader = spark.read.option("basePath", path)
     paths = [f"{path}/{folder}" for folder in folders] if folders else [path]
     if spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "false":

@@ -19,6 +19,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(hadoop_path)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none if there is no such folder."""
+    filesystem, hadoop_path = _filesystem(spark, path)
+    if not filesystem.exists(hadoop_path):
+        return []
+    return sorted(status.getPath().getName() for status in filesystem.listStatus(hadoop_path) if status.isDirectory())
+
+
 def files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """One row per file: path, bytes, mtime. File contents are not read."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
@@ -53,6 +61,23 @@ def newest_folder(listing: DataFrame, depth: int = 1) -> DataFrame:
     return listing.groupBy(directory.alias("directory")).agg(F.max(folder).alias("newest"))
 
 
+def publish(spark: SparkSession, staged: str, path: str, prefix: str) -> None:
+    """Move the finished files below ``staged`` into a table, each under its folder and with ``prefix`` before its name.
+
+    Renames one file after another; run again after a failure, it goes on with what is still there.
+    """
+    filesystem, root = _filesystem(spark, staged)
+    start = len(str(filesystem.makeQualified(root))) + 1
+    listing = filesystem.listFiles(root, True)
+    while listing.hasNext():
+        source = listing.next().getPath()
+        folder, _, name = str(source)[start:].rpartition("/")
+        if name.startswith(("_", ".")):
+            continue
+        move(spark, str(source), f"{path}/{folder}/{prefix}{name}" if folder else f"{path}/{prefix}{name}")
+    remove(spark, staged)
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """Make an empty folder: a durable sign that something happened."""
     filesystem, hadoop_path = _filesystem(spark, path)

@@ -19,7 +19,7 @@ from fisclake.operators.repair import deduplicate
 from fisclake.operators.sinks import write_partitioned
 from fisclake.registry import DocumentType
 from fisclake.sources.scans import read_table
-from fisclake.sources.storage import exists, mark
+from fisclake.sources.storage import exists, mark, publish
 
 BATCH = "lote"
 
@@ -40,24 +40,22 @@ def run_available(stream: DataFrame, process: Callable[[DataFrame, int], None],
     query.awaitTermination()
 
 
-def append_batch(df: DataFrame, batch: int, path: str, keys: Sequence[str], signs: str,
-                 partitions: Sequence[str] = (PARTITION,)) -> None:
-    """Append one micro-batch so that its rows arrive once even if Spark runs the batch again after a failure.
+def append_batch(df: DataFrame, batch: int | str, path: str, signs: str, partitions: Sequence[str] = (PARTITION,)) -> None:
+    """Append one batch so that its rows arrive once even if it is run again after a failure at any point.
 
-    Two signs per batch, kept with the checkpoint: *started* and *done*. A done batch is skipped. A batch that was started
-    but not done may have been written, so only rows whose ``keys`` the table lacks are added; this is the only case that
-    has to look into the table.
+    The batch is written beside the signs, marked *ready*, and its files are moved into the table under the batch's name; then it is
+    *done*. A run that finds it ready goes on moving, one that finds it done does nothing. Rows are never compared, so a key that an earlier batch
+    brought arrives again with this one, crash or not.
     """
     spark = df.sparkSession
-    started, done = f"{signs}/{batch}-started", f"{signs}/{batch}-done"
+    staged, ready, done = (f"{signs}/{batch}-{step}" for step in ("staged", "ready", "done"))
     if exists(spark, done):
         return
-    if exists(spark, started):
-        if exists(spark, path):
-            df = missing_rows(df, read_table(spark, path, partitions), keys)
-    else:
-        mark(spark, started)
-    write_partitioned(df, path, partitions)
+    if not exists(spark, ready):
+        write_partitioned(df, staged, partitions, mode="overwrite")
+        mark(spark, ready)
+    if exists(spark, staged):
+        publish(spark, staged, path, f"lote-{batch}-")
     mark(spark, done)
 
 
@@ -71,17 +69,17 @@ def load_documents(inbox: DataFrame, targets: Sequence[tuple[DocumentType, str]]
     def process(batch: DataFrame, number: int) -> None:
         for kind, path in targets:
             signs = f"{checkpoint}/written/{kind.silver}"
-            append_batch(accepted(batch, kind), number, path, [kind.sequence], signs)
-            append_batch(rejected(batch, kind), number, f"{path}_rejected", [kind.sequence], f"{signs}_rejected", ())
+            append_batch(accepted(batch, kind), number, path, signs)
+            append_batch(rejected(batch, kind), number, f"{path}_rejected", f"{signs}_rejected", ())
 
     run_available(inbox, process, checkpoint)
 
 
-def load_rows(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], partitions: Sequence[str]) -> None:
+def load_rows(stream: DataFrame, path: str, checkpoint: str, partitions: Sequence[str]) -> None:
     """Load the rows of a stream into one table."""
 
     def process(batch: DataFrame, number: int) -> None:
-        append_batch(batch, number, path, keys, f"{checkpoint}/written", partitions)
+        append_batch(batch, number, path, f"{checkpoint}/written", partitions)
 
     run_available(stream, process, checkpoint)
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fisclake.operators import catalog, compaction, drift, sinks
+from fisclake.operators.audit import reconcile_partitions
 from fisclake.operators.gates import DuplicateBatchError
 from fisclake.operators.mirror import mirror, verify_mirror
 from fisclake.plans.audits import full_audit
@@ -12,7 +13,7 @@ from fisclake.plans.load import Target, load
 from fisclake.registry import AUDITED, CANCELLATIONS, DOCUMENTS, XML
 from fisclake.session import shared_folder
 from fisclake.sources import scans
-from fisclake.sources.storage import exists, files, partition_inventory
+from fisclake.sources.storage import exists, files, mark, partition_inventory
 from workload.documents import bronze, bronze_events
 
 
@@ -81,7 +82,74 @@ def test_compaction_spreads_big_partitions(spark, silver):
     spread = compaction.spread(silver, sizes, 5, "CHAVE").withColumn("task", F.spark_partition_id())
     assert spread.count() == 60 and spread.columns == [*silver.columns, "task"]
     assert spread.filter("chave_particao = '2402'").select("task").distinct().count() == 1
-    assert spread.filter("chave_particao = '2401'").select("task").distinct().count() > 1
+    assert spread.filter("chave_particao = '2401'").select("task").distinct().count() == 4
+
+
+@pytest.mark.parametrize("ideal", [1, 10, 50, 100])
+def test_every_file_has_a_task(spark, ideal):
+    """As many files as the plan says, NULL partition and rows without key included."""
+    rows = spark.range(20_000).selectExpr("CASE WHEN id % 2 = 0 THEN concat('k', id) END AS chave", "CASE WHEN id % 2 = 0 THEN '2401' END AS chave_particao", "id")
+    sizes = spark.createDataFrame([("2401", ideal), (compaction.NO_VALUE, ideal)], "chave_particao string, ideal_files int")
+    tasks = compaction.spread(rows, sizes, 2 * ideal, "chave").withColumn("task", F.spark_partition_id())
+    per = tasks.groupBy("chave_particao").agg(F.count_distinct("task").alias("n"), F.count("*").alias("rows")).collect()
+    assert {(r.chave_particao, r.n, r.rows) for r in per} == {("2401", ideal, 10_000), (None, ideal, 10_000)}
+
+
+def test_null_partition_compacts_mirrors_and_reconciles(spark, folder, silver):
+    rows = silver.unionByName(silver.withColumn("chave_particao", F.lit(None).cast("string")).withColumn("chave", F.lit(None).cast(silver.schema["chave"].dataType)))
+    rows.repartition(6).write.partitionBy("chave_particao").parquet(folder)
+    compaction.compact(spark, folder)
+    assert spark.read.parquet(folder).count() == 120
+    assert {row.files for row in partition_inventory(spark, folder, ["chave_particao"]).collect()} == {1}
+    mirror(spark, folder, f"{folder}_copy")
+    assert verify_mirror(spark, folder, f"{folder}_copy").filter("NOT equal").count() == 0
+    table = scans.read_table(spark, folder)
+    assert reconcile_partitions(table, scans.read_table(spark, f"{folder}_copy"), "n").filter("difference <> 0").count() == 0
+
+
+@pytest.mark.parametrize("failing", range(1, 7))
+def test_cut_off_compaction_is_recovered(spark, folder, silver, monkeypatch, failing):
+    """Whichever rename fails, no reader sees a row twice, and the next run loses none."""
+    silver.repartition(6).write.partitionBy("chave_particao").parquet(folder)
+    real, calls = sinks.move, []
+
+    def broken(*args):
+        calls.append(args)
+        if len(calls) == failing:
+            raise RuntimeError("cut off")
+        real(*args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(sinks, "move", broken)
+        with pytest.raises(RuntimeError):
+            compaction.compact(spark, folder)
+    assert spark.read.parquet(folder).count() <= 60
+    compaction.compact(spark, folder)
+    assert spark.read.parquet(folder).count() == 60
+    assert {row.files for row in partition_inventory(spark, folder, ["chave_particao"]).collect()} == {1}
+
+
+def test_cut_off_swap_of_a_table_is_recovered(spark, folder, silver, monkeypatch):
+    sinks.write_partitioned(silver, folder)
+    real, calls = sinks.move, []
+
+    def broken(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("cut off")
+        real(*args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(sinks, "move", broken)
+        with pytest.raises(RuntimeError):
+            sinks.staged_swap(spark, folder, lambda copy: sinks.write_partitioned(silver.limit(5), copy), lambda copy: None)
+    sinks.staged_swap(spark, folder, lambda copy: sinks.write_partitioned(scans.read_table(spark, folder), copy), lambda copy: sinks.require_same_rows(spark, folder, copy))
+    assert spark.read.parquet(folder).count() == 60
+
+
+def test_no_folders_are_no_rows(spark, folder, silver):
+    sinks.write_partitioned(silver, folder)
+    assert scans.read_table(spark, folder, folders=[]).count() == 0
 
 
 def test_mirror_follows_changes(spark, folder, silver):
@@ -110,7 +178,27 @@ def test_archive_adds_only_new_days(spark, folder):
     days = spark.createDataFrame([("01/02/2024 00:00:00", 1), ("02/02/2024 00:00:00", 2), ("bad", 3)], "DHPROC string, n int")
     sinks.archive_new_days(days.filter("n = 1"), folder)
     sinks.archive_new_days(days, folder)
+    sinks.archive_new_days(days, folder)
     assert sorted(row.n for row in spark.read.parquet(folder).collect()) == [1, 2]
+    assert [row.n for row in spark.read.parquet(f"{folder}_rejected").collect()] == [3]
+
+
+def test_write_once_after_a_crash(spark, folder, silver):
+    mark(spark, f"{folder}/_temporary/0")
+    assert sinks.write_once(silver, folder) and not sinks.write_once(silver.limit(1), folder)
+    assert spark.read.parquet(folder).count() == 60
+
+
+def test_batches_loaded_twice_and_rejected_whole(spark, folder, sf_dir):
+    batch = bronze(spark, sf_dir, "nfcom")
+    batch.write.parquet(f"{folder}/good")
+    batch.withColumn(XML, F.lit("<broken")).withColumn("NSU", F.col("NSU") + 1_000_000).write.parquet(f"{folder}/broken")
+    kind, target = DOCUMENTS["NFCom"], Target(f"{folder}/silver")
+    for _ in range(2):
+        report = load_batches(spark, [Batch(kind, f"{folder}/{name}", target) for name in ("broken", "good")])
+        assert [row.outcome for row in report.collect()] == ["loaded", "loaded"]
+    assert spark.read.parquet(target.path).count() == 1500
+    assert spark.read.parquet(target.rejected).count() == 1500
 
 
 def test_month_folder_names(spark):

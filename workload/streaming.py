@@ -43,7 +43,7 @@ def stream_hourly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = f"{folder}/table", f"{folder}/checkpoint"
     for _ in range(2):
         placed = event_stream(spark, sf_dir).withColumns(hour_parts("ts")).select("event_id", *HOURS)
-        load_rows(placed, path, checkpoint, ["event_id"], HOURS)
+        load_rows(placed, path, checkpoint, HOURS)
     stored = scans.read_table(spark, path, HOURS)
     return stored.groupBy(*HOURS).agg(F.count("*").alias("documentos"), F.max("event_id").alias("maior_nsu"))
 
@@ -63,7 +63,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.unionByName(events).write.parquet(f"{folder}/inbox")
     stream = file_stream(spark, f"{folder}/inbox", events.schema).withColumn("at", F.col("ts").cast("timestamp"))
     unique = unique_within(stream, "event_id", "at").select("event_id", "event_type")
-    load_rows(unique, f"{folder}/table", f"{folder}/checkpoint", ["event_id"], ["event_type"])
+    load_rows(unique, f"{folder}/table", f"{folder}/checkpoint", ["event_type"])
     stored = spark.read.parquet(f"{folder}/table")
     return stored.groupBy("event_type").agg(F.count("*").alias("documentos"), F.count_distinct("event_id").alias("nsus"))
 
@@ -99,7 +99,7 @@ def stream_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     for late in (False, True):
         events.filter((F.col("event_type") == "error") == late).write.mode("append").parquet(f"{folder}/inbox")
         stream = file_stream(spark, f"{folder}/inbox", events.schema)
-        load_rows(stream, f"{folder}/table", f"{folder}/checkpoint", ["event_id"], ["dia"])
+        load_rows(stream, f"{folder}/table", f"{folder}/checkpoint", ["dia"])
     stored = scans.read_table(spark, f"{folder}/table", ["dia"])
     return stored.groupBy("dia").agg(
         F.count("*").alias("documentos"), F.count_if(F.col("event_type") == "error").alias("atrasados")
@@ -114,6 +114,6 @@ def stream_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("dia", F.date_format("ts", "dd"))
     for wave in (events.filter("dia > '20'"), events.unionByName(events)):
         wave.write.mode("append").parquet(f"{folder}/inbox")
-        load_new_keys(file_stream(spark, f"{folder}/inbox", events.schema), path, checkpoint, ["event_id"], ["dia"])
+        load_new_keys(file_stream(spark, f"{folder}/inbox", events.schema), path, checkpoint, ["dia"])
     stored = scans.read_table(spark, path, ["dia"])
     return stored.groupBy("dia").agg(F.count("*").alias("documentos"), F.count_distinct("event_id").alias("nsus"))
