@@ -52,7 +52,7 @@ CTE_DOCUMENTS = group(
         "PIN dEmi dPrev mod nCFOP nDoc nPed nPeso nRoma serie vBC vBCST vICMS vNF vProd vST",
         group("infUnidTransp", TRANSPORT_UNIT),
     ),
-    many("infDCe", "chave"),
+    many("infDCe", "chave", flat=True),
     many(
         "infNFe",
         "PIN chave dPrev",
@@ -74,7 +74,7 @@ CTE_MODES = group(
         "aereo",
         "dPrevAereo nMinu nOCA",
         group("natCarga", "cInfManu[] xDime", prefix="aereo"),
-        many("peri", "nONU qTotEmb", group("infTotAP", "qTotProd uniAP")),
+        many("peri", "nONU qTotEmb", group("infTotAP", "qTotProd uniAP", types={"qTotProd": "double"})),
         group("tarifa", "CL cTar vTar", prefix="aereo"),
     ),
     group(
@@ -462,6 +462,12 @@ MDFE_ROAD = group(
             group("infBanc", "CNPJIPEF PIX codAgencia codBanco"),
             many("infPrazo", "dVenc nParcela vParcela"),
         ),
+        group(
+            "valePed",
+            "categCombVeic",
+            many("disp", "CNPJForn CNPJPg CPFPg nCompra tpValePed vValePed", column="disp"),
+            names={"categCombVeic": "categCombVeic"},
+        ),
     ),
     many("lacRodo", "nLacre"),
     group(

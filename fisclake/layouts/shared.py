@@ -73,6 +73,7 @@ def consumption_tax(adjustments: dict[str, str], *, leaves: str = "CST cClassTri
 
 def consumption_tax_totals(*extra: Group, federal: str = "vCBS vDevTrib vDif", both: str = "vIBS", path: str = "") -> Group:
     """IBS/CBS totals; ``path`` lengthens the column names where a layout has several of them."""
+    below = f"{path}gIBS_" if path else ""
     return group(
         "IBSCBSTot",
         "vBCIBSCBS",
@@ -80,8 +81,8 @@ def consumption_tax_totals(*extra: Group, federal: str = "vCBS vDevTrib vDif", b
         group(
             "gIBS",
             both,
-            group("gIBSMun", "vDevTrib vDif vIBSMun", prefix=f"{path}gIBSMun"),
-            group("gIBSUF", "vDevTrib vDif vIBSUF", prefix=f"{path}gIBSUF"),
+            group("gIBSMun", "vDevTrib vDif vIBSMun", prefix=f"{below}gIBSMun"),
+            group("gIBSUF", "vDevTrib vDif vIBSUF", prefix=f"{below}gIBSUF"),
             prefix=f"{path}gIBS",
         ),
         *extra,

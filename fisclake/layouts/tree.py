@@ -58,6 +58,10 @@ class Group:
     names: dict[str, str] = field(default_factory=dict)
     column: str | None = None
     opaque: bool = False
+    #: Leaves whose type the rule by name doesn't give: "string", "double" or "bigint".
+    types: dict[str, str] = field(default_factory=dict)
+    #: A repeated group kept as the array of its only leaf.
+    flat: bool = False
 
     @property
     def column_prefix(self) -> str:
@@ -68,16 +72,25 @@ class Group:
         fields = []
         for leaf in self.leaves:
             name = leaf.removesuffix("[]")
-            leaf_type = T.DoubleType() if typed and is_numeric(self.name, name) else T.StringType()
+            leaf_type = self.leaf_type(name) if typed else T.StringType()
             fields.append(T.StructField(name, T.ArrayType(leaf_type) if leaf.endswith("[]") else leaf_type))
         fields += [T.StructField(child.name, child.data_type(typed)) for child in self.children]
         return T.StructType(fields)
 
+    def leaf_type(self, leaf: str) -> T.DataType:
+        if leaf in self.types:
+            return {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType()}[self.types[leaf]]
+        return T.DoubleType() if is_numeric(self.name, leaf) else T.StringType()
+
     def data_type(self, typed: bool = False) -> T.DataType:
         return T.ArrayType(self.struct(typed)) if self.repeated else self.struct(typed)
 
     def columns(self, path: tuple[str, ...] = (), parent: str = "") -> Iterator[OutputColumn]:
         """Output columns below ``path``, depth first; a repeated or opaque group is one column."""
+        if self.flat:
+            (leaf,) = self.leaves
+            yield OutputColumn(f"{self.name}_{leaf}", (*path, leaf), T.ArrayType(self.leaf_type(leaf)))
+            return
         if self.repeated or self.opaque or self.column is not None:
             default = f"{parent}_{self.name}" if parent else self.name
             yield OutputColumn(self.column or default, path, self.data_type(typed=True))
@@ -148,14 +161,14 @@ def _with_group(root: Group, path: tuple[str, ...], leaf: Group) -> Group:
 
 
 def group(name: str, leaves: str = "", *children: Group, prefix: str | None = None,
-          names: dict[str, str] | None = None, column: str | None = None) -> Group:
+          names: dict[str, str] | None = None, column: str | None = None, types: dict[str, str] | None = None) -> Group:
     """An element that occurs at most once; ``column`` also keeps it whole under that name."""
-    return Group(name, tuple(leaves.split()), children, prefix=prefix, names=names or {}, column=column)
+    return Group(name, tuple(leaves.split()), children, prefix=prefix, names=names or {}, column=column, types=types or {})
 
 
-def many(name: str, leaves: str = "", *children: Group, column: str | None = None) -> Group:
+def many(name: str, leaves: str = "", *children: Group, column: str | None = None, flat: bool = False) -> Group:
     """A repeated element, kept as one array column."""
-    return Group(name, tuple(leaves.split()), children, repeated=True, column=column)
+    return Group(name, tuple(leaves.split()), children, repeated=True, column=column, flat=flat)
 
 
 def whole(name: str, leaves: str) -> Group:

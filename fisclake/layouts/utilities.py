@@ -17,7 +17,13 @@ from fisclake.layouts.shared import (
 )
 from fisclake.layouts.tree import document, group, many
 
-GOVERNMENT_PURCHASE = group("gCompraGov", "tpOperGov pRedutor tpEnteGov", prefix="ide_gCompraGov")
+GOVERNMENT = "tpOperGov pRedutor tpEnteGov"
+NF3E_GOVERNMENT_PURCHASE = group("gCompraGov", GOVERNMENT, prefix="ide_gCompraGov", types={"pRedutor": "string"})
+NFCOM_GOVERNMENT_PURCHASE = group(
+    "gCompraGov", GOVERNMENT, prefix="ide_gCompraGov", types={"tpOperGov": "bigint", "tpEnteGov": "bigint"}
+)
+#: Rates that NF3-e keeps as text.
+NF3E_RATES = {f"pAliq{tax}": "string" for tax in ("IBSUF", "IBSMun", "CBS")}
 WITHHELD = group("vRetTribTot", "vIRRF vRetCSLL vRetCofins vRetPIS")
 WITHHELD_ITEM = group("retTrib", "vBCIRRF vIRRF vRetCSLL vRetCofins vRetPIS")
 POSTAL = f"{PLACE} fone"
@@ -29,7 +35,7 @@ NF3E_ITEM_TAX = group(
     "indSemCST",
     group("COFINS", "CST pCOFINS vBC vCOFINS"),
     group("COFINSEfet", "pCOFINSEfet vBCCOFINSEfet vCOFINSEfet"),
-    consumption_tax({**DEFERRED, **RETURNED}, within=[group("gTribCompraGov", GOVERNMENT_PURCHASE_TAX)]),
+    consumption_tax({**DEFERRED, **RETURNED}, within=[group("gTribCompraGov", GOVERNMENT_PURCHASE_TAX, types=NF3E_RATES)]),
     group("ICMS00", "orig CST vBC pICMS vICMS pFCP vFCP"),
     group("ICMS40", "CST cBenef vICMSDeson"),
     group(
@@ -112,7 +118,7 @@ NF3E = document(
             group(
                 "ide",
                 "cDV cMunFG cNF cUF dhCont dhEmi finNF3e mod nNF nSiteAutoriz serie tpAmb tpEmis verProc xJust",
-                GOVERNMENT_PURCHASE,
+                NF3E_GOVERNMENT_PURCHASE,
             ),
             group(
                 "total",
@@ -210,7 +216,7 @@ NFCOM = document(
                 "ide",
                 "cDV cMunFG cNF cUF dhEmi dhCont finNFCom indCessaoMeiosRede indNotaEntrada indPrePago mod nNF nSiteAutoriz serie "
                 "tpAmb tpEmis tpFat verProc xJust",
-                GOVERNMENT_PURCHASE,
+                NFCOM_GOVERNMENT_PURCHASE,
             ),
             group("infAdic", "infAdFisco infCpl[]"),
             group(

@@ -51,7 +51,7 @@ def parse(df: DataFrame, layout: Layout, xml: str = "xml", into: str = "parsed")
 def _expression(column: OutputColumn, root: str) -> str:
     path = ".".join(f"`{name}`" for name in (root, *column.path))
     spark_type = column.type.simpleString()
-    value = f"try_cast({path} AS {spark_type})" if "double" in spark_type else path
+    value = f"try_cast({path} AS {spark_type})" if "double" in spark_type or "bigint" in spark_type else path
     return f"{value} AS `{column.name}`"
 
 

@@ -25,7 +25,7 @@ def test_every_column_can_be_read_from_the_parse_schema(kind):
     for column in kind.layout.columns():
         at = schema
         for name in column.path:
-            at = at[name].dataType
+            at = (at.elementType if isinstance(at, T.ArrayType) else at)[name].dataType
     assert CORRUPT in schema.fieldNames()
     assert set(_leaf_types(schema)) == {"string"}
 
@@ -49,7 +49,7 @@ def test_layout_widths():
         "CTeSimp": 125,
         "CTeOS": 184,
         "GVTe": 116,
-        "MDFe": 145,
+        "MDFe": 147,
         "BPe": 161,
         "BPeTA": 78,
         "NF3e": 150,
@@ -110,3 +110,40 @@ def test_selecting_columns_cuts_the_schema():
 def test_leaf_paths_descend_arrays_of_structs_only(spark):
     schema = T.StructType.fromDDL("a struct<b: array<struct<c: int>>, d: array<string>>, e int")
     assert leaf_paths(schema) == ["a.b.c", "a.d", "e"]
+
+
+@pytest.mark.parametrize(
+    "kind,name,type_",
+    [
+        ("MDFe", "categCombVeic", "string"),
+        ("MDFe", "disp", "array<struct<CNPJForn:string,CNPJPg:string,CPFPg:string,nCompra:double,tpValePed:string,vValePed:string>>"),
+        ("CTe", "infdce_chave", "array<string>"),
+        ("CTe", "aereo_peri", "array<struct<nONU:string,qTotEmb:string,infTotAP:struct<qTotProd:double,uniAP:string>>>"),
+        ("NF3e", "ide_gcompragov_predutor", "string"),
+        ("NFCom", "ide_gCompraGov_tpEnteGov", "bigint"),
+        ("NFCom", "ide_gCompraGov_tpOperGov", "bigint"),
+        ("NFCom", "ide_gCompraGov_pRedutor", "double"),
+        *(("NFCom", f"ibscbstot_gibs_{level}_{leaf}", "double") for level, tax in (("gibsmun", "vibsmun"), ("gibsuf", "vibsuf")) for leaf in ("vdevtrib", "vdif", tax)),
+    ],
+)
+def test_names_and_types_of_the_contract(kind, name, type_):
+    found = {c.name.lower(): c.type.simpleString() for c in DOCUMENTS[kind].layout.columns()}
+    assert found.get(name.lower()) == type_
+
+
+def test_columns_beyond_the_rule_are_filled(spark):
+    """Arrays of one leaf, and numbers that are counted, come out of the XML."""
+    from fisclake.operators.parse import parse, project
+
+    mdfe = "<x><MDFe><infMDFe><infModal><rodo><infANTT><valePed><categCombVeic>06</categCombVeic><disp><CNPJForn>1</CNPJForn><nCompra>7</nCompra></disp></valePed></infANTT></rodo></infModal></infMDFe></MDFe></x>"
+    cte = "<x><CTe><infCte><infCTeNorm><infDoc><infDCe><chave>a</chave></infDCe><infDCe><chave>b</chave></infDCe></infDoc></infCTeNorm></infCte></CTe></x>"
+    nfcom = "<x><NFCom><infNFCom><ide><gCompraGov><tpEnteGov>2</tpEnteGov><pRedutor>1.5</pRedutor></gCompraGov></ide></infNFCom></NFCom></x>"
+    for kind, xml, names, expected in (
+        ("MDFe", mdfe, ["categCombVeic", "disp"], ("06", [("1", None, None, 7.0, None, None)])),
+        ("CTe", cte, ["infDCe_chave"], (["a", "b"],)),
+        ("NFCom", nfcom, ["ide_gCompraGov_tpEnteGov", "ide_gCompraGov_pRedutor"], (2, 1.5)),
+    ):
+        layout = DOCUMENTS[kind].layout
+        df = parse(spark.createDataFrame([(xml,)], "xml string"), layout)
+        row = project(df, [c for c in layout.columns() if c.name in names]).select(*names).first()
+        assert tuple([tuple(x) for x in v] if isinstance(v, list) and v and not isinstance(v[0], str) else v for v in row) == expected
