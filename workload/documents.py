@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fisclake.functions.dates import SOURCE_FORMAT
-from fisclake.registry import DOCUMENTS, XML
+from fisclake.layouts.tree import OutputColumn
+from fisclake.registry import DOCUMENTS, EVENTS, XML
 
 # Where each kind keeps its answer, its body and its value.
 ANSWER = {
@@ -217,8 +218,20 @@ def bronze(spark: SparkSession, sf_dir: str, family: str = "nfe") -> DataFrame:
     )
 
 
-def bronze_events(spark: SparkSession, sf_dir: str, family: str = "nfe") -> DataFrame:
-    """Bronze cancellations, one per order; those of pending orders (status P) have no reply yet."""
+def event_details(name: str) -> list[tuple[OutputColumn, int, int]]:
+    """The plain columns below ``detEvento`` of a family's events, each with the number of its group and the number of groups: a
+    document has one of them (a correction, a manifestation, a change of seat, ...)."""
+    columns = [
+        c for c in EVENTS[name].layout.columns()
+        if "detEvento" in c.path[:-1] and not c.path[-1].startswith("_") and c.type.simpleString() in ("string", "double")
+    ]
+    groups = sorted({c.path[: c.path.index("detEvento") + 2] if len(c.path) > c.path.index("detEvento") + 2 else () for c in columns})
+    own = [groups.index(c.path[: c.path.index("detEvento") + 2] if len(c.path) > c.path.index("detEvento") + 2 else ()) for c in columns]
+    return [(c, g, len(groups)) for c, g in zip(columns, own, strict=True)]
+
+
+def bronze_events(spark: SparkSession, sf_dir: str, family: str = "nfe", cancelled: bool = True) -> DataFrame:
+    """Bronze cancellations, or other events, one per order; those of pending orders (status P) have no reply yet."""
     name = next(name for name, kind in DOCUMENTS.items() if kind.family == family)
     request, answer, key = EVENT[name]
     at = f"{request}.infEvento" if request else "infEvento"
@@ -227,13 +240,18 @@ def bronze_events(spark: SparkSession, sf_dir: str, family: str = "nfe") -> Data
         answered,
         F.struct(F.struct(F.col("CHAVE").alias(key), F.lit("135").alias("cStat"), F.lit("1").alias("nSeqEvento")).alias("infEvento")),
     )
+    code = "110111" if cancelled else "110110"
     fields = {
-        f"{at}._Id": F.concat(F.lit("ID110111"), "CHAVE"),
+        f"{at}._Id": F.concat(F.lit(f"ID{code}"), "CHAVE"),
         f"{at}.{key}": F.col("CHAVE"),
-        f"{at}.tpEvento": F.lit("110111"),
+        f"{at}.tpEvento": F.lit(code),
         f"{at}.detEvento._{'versao' if family in ('nfe', 'nfce') else 'versaoEvento'}": F.lit("1.00"),
         answer: reply,
     }
+    for column, group, groups in () if cancelled else event_details(name):
+        number = column.type.simpleString() == "double"
+        value = (F.col("o_orderkey") % 1000 + 0.5).cast("string") if number else F.concat(F.lit(f"{column.path[-1]}-"), "o_orderkey")
+        fields[".".join(column.path)] = F.when(F.col("o_orderkey") % groups == group, value)
     base = _base(orders_for_documents(spark, sf_dir))
     return base.select(
         F.col("o_orderkey").cast("decimal(38,0)").alias(sequence_of(family)),
@@ -241,7 +259,7 @@ def bronze_events(spark: SparkSession, sf_dir: str, family: str = "nfe") -> Data
         *(name for name in base.columns if not name.startswith("o_")),
         F.col("DHPROC").alias("DHEVENTO"),
         F.lit(1).alias("SEQ_EVENTO"),
-        F.lit("110111").alias("TP_EVENTO"),
+        F.lit(code).alias("TP_EVENTO"),
     )
 
 

@@ -19,7 +19,7 @@ from fisclake.functions.text import clean_xml
 from fisclake.operators.parse import documents, items, parse, rejected, route, select_bronze, unrouted
 from fisclake.registry import CANCELLATIONS, DOCUMENTS, EVENTS, ITEMS, SOURCE_SWITCH, XML
 from workload.register import Register
-from workload.documents import ANSWER, BODY, EVENT, ITEMS_SQL, ORDERS_SQL, VALUE, bronze, bronze_events, table
+from workload.documents import ANSWER, BODY, EVENT, ITEMS_SQL, ORDERS_SQL, VALUE, bronze, bronze_events, event_details, table
 
 query = Register()
 QUERIES, SQL = query.queries, query.sql
@@ -60,12 +60,13 @@ def _document_load(name: str):
     SQL[f"document_load_{name}"] = sql
 
 
-def _event_load(prefix: str, name: str):
-    kind = CANCELLATIONS[name]
+def _event_load(name: str, cancelled: bool):
+    prefix, kind = ("cancel_load", CANCELLATIONS[name]) if cancelled else ("event_load", EVENTS[name])
     answer = EVENT[name][1]
+    details = [] if cancelled else event_details(name)
 
     def load(spark: SparkSession, sf_dir: str) -> DataFrame:
-        silver = documents(bronze_events(spark, sf_dir, kind.family), kind)
+        silver = documents(bronze_events(spark, sf_dir, kind.family, cancelled), kind)
         status = next(c.name for c in kind.layout.columns() if c.path == (answer, "infEvento", "cStat"))
         return silver.select(
             F.col(kind.sequence).alias("nsu"),
@@ -75,15 +76,23 @@ def _event_load(prefix: str, name: str):
             "chave_particao",
             F.col("infEvento_tpEvento").alias("tpevento"),
             F.col(status).alias("cstat"),
+            *(F.col(column.name).alias(f"det_{n}") for n, (column, _, _) in enumerate(details)),
         )
 
+    def detail(n: int) -> str:
+        column, group, groups = details[n]
+        value = "o_orderkey % 1000 + 0.5" if column.type.simpleString() == "double" else f"'{column.path[-1]}-' || o_orderkey"
+        value = f"CAST({value} AS DOUBLE)" if column.type.simpleString() == "double" else value
+        return f", CASE WHEN o_orderkey % {groups} = {group} THEN {value} END AS det_{n}"
+
     # The key comes from the reply, and pending orders have none; transport takes it from the request.
     key = "chave" if name == "CTe" else "CASE WHEN o_orderstatus <> 'P' THEN chave END"
     QUERIES[f"{prefix}_{kind.family}"] = load
     SQL[f"{prefix}_{kind.family}"] = f"""WITH {ORDERS_SQL}
         SELECT CAST(o_orderkey AS VARCHAR) AS nsu, strftime(proc, '%Y%m%d%H') AS dhproc_formatado,
                strftime(proc, '%d/%m/%Y %H:%M:%S') AS "DHEVENTO", {key} AS chave, substr({key}, 3, 4) AS chave_particao,
-               '110111' AS tpevento, CASE WHEN o_orderstatus <> 'P' THEN '135' END AS cstat
+               '{"110111" if cancelled else "110110"}' AS tpevento, CASE WHEN o_orderstatus <> 'P' THEN '135' END AS cstat
+               {"".join(map(detail, range(len(details))))}
         FROM orders_x"""
 
 
@@ -115,9 +124,9 @@ def _det_load(name: str):
 for _name in DOCUMENTS:
     _document_load(_name)
 for _name in EVENTS:
-    _event_load("event_load", _name)
+    _event_load(_name, cancelled=False)
 for _name in CANCELLATIONS:
-    _event_load("cancel_load", _name)
+    _event_load(_name, cancelled=True)
 for _name in ITEMS:
     _det_load(_name)
 
