@@ -23,14 +23,18 @@ ELEMENT = "[]"
 def _shape(node: Column) -> Column:
     """Structure of one document as JSON, without its values: documents of the same structure become equal.
 
-    Where the elements of one array differ in kind their common structure is not known; then the document itself is kept.
+    Where the elements of one array differ in kind their common structure is not known; then the document is kept with each of its
+    values replaced by null.
     """
     schema = F.schema_of_variant(node)
     untyped = F.regexp_replace(schema, r"(: |<)(?!OBJECT<|ARRAY<|VARIANT)[A-Z_]+(\(\d+,\d+\))?(?=[,>])", "$1null")
     arrays = F.regexp_replace(untyped, "ARRAY<", f'OBJECT<{ELEMENT}: ')
-    names = F.regexp_replace(arrays, r"(<|, )`?([^`:<>, ]+)`?: ", '$1"$2": ')
+    quoted = F.regexp_replace(arrays, "`([^`]+)`: ", '"$1": ')  # names with a prefix
+    names = F.regexp_replace(quoted, r"(<|, )([^`\":<>, ]+): ", '$1"$2": ')
     shape = F.translate(F.replace(names, F.lit("OBJECT<"), F.lit("{")), ">", "}")
-    return F.when(schema.contains("VARIANT"), F.to_json(node)).otherwise(shape)
+    texts = F.regexp_replace(F.to_json(node), r'(?<=[:\[,])"(?:[^"\\]|\\.)*+"(?=[,\]}])', "null")
+    valueless = F.regexp_replace(texts, r"(?<=[:\[,])(?:-?[0-9][0-9.eE+-]*+|true|false)(?=[,\]}])", "null")
+    return F.when(schema.contains("VARIANT"), valueless).otherwise(shape)
 
 
 def _descend(nodes: DataFrame) -> DataFrame:

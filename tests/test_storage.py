@@ -239,6 +239,15 @@ def test_paths_of_elements_that_are_sometimes_repeated(spark):
     )
 
 
+def test_paths_with_prefixes_and_elements_of_different_kinds(spark):
+    text = "<r xmlns:ds='u'><ds:Sig a='1'><ds:v>1</ds:v></ds:Sig><d><x>SEM, \\ GTIN:&quot;,</x><y>a</y></d><d><x>7890</x></d><e>true</e></r>"
+    df = spark.createDataFrame([(text,), (text.replace("7890", "12.5").replace("SEM", "OUTRO"),)], "t string")
+    paths = ["_xmlns:ds", "d[].x", "d[].y", "ds:Sig._a", "ds:Sig.ds:v", "e"]
+    assert drift.element_paths(df, "t") == paths
+    parsed = df.select(F.expr("from_xml(t, 'document variant', map('singleVariantColumn', 'document'))").alias("p"))
+    assert parsed.select(drift._shape(F.col("p.document"))).distinct().count() == 1
+
+
 def test_events_of_every_family_have_a_request(spark, sf_dir):
     assert bronze_events(spark, sf_dir, "nfce").filter(F.col(XML).contains("<infEvento")).count() == 1500
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from fisclake.operators.parse import documents
 from fisclake.operators.profile import empty_columns, mostly_null, null_profile
 from fisclake.operators.repair import deduplicate, deduplication_report
 from fisclake.plans.audits import audit_status, bronze_silver_audit, item_audit
-from fisclake.registry import CANCELLATIONS, DOCUMENTS, EVENTS, DocumentType
+from fisclake.registry import AUDITED, CANCELLATIONS, DOCUMENTS, EVENTS, DocumentType
 from fisclake.sources.jdbc import range_bounds
 from fisclake.sources.storage import newest_folder
 from workload.documents import ORDERS_SQL, bronze, bronze_events, sequence_of, table
@@ -190,13 +191,33 @@ def audit_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_silver_audit(_audit_pairs(spark, sf_dir))
 
 
-def _audit_pairs(spark: SparkSession, sf_dir: str) -> list[tuple[DocumentType, DataFrame, DataFrame]]:
+_EVENTS = ("evento", "cancelamento")
+
+
+def _lost_in(kind: DocumentType) -> str:
+    """What a table lacks: pending orders, by access key, or by sequence number for events and cancellations."""
+    of_kind = {"cte": f" AND cte_kind = '{kind.name}'", "bpe": f" AND bpe_kind = '{kind.name}'"}.get(kind.family, "")
+    key, only = ("CAST(o_orderkey AS VARCHAR)", "") if kind.group in _EVENTS else ("chave", of_kind)
+    return f"""SELECT '{kind.silver}' AS "table", {key} AS "key" FROM orders_x WHERE o_orderstatus = 'P'{only}"""
+
+
+@query(f"""WITH {ORDERS_SQL} SELECT "table", count(*) AS missing, min("key") AS first_key, max("key") AS last_key
+    FROM ({" UNION ALL ".join(map(_lost_in, AUDITED))}) GROUP BY 1""")
+def audit_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit over every kind of document, cancellation and event."""
+    found = bronze_silver_audit(_audit_pairs(spark, sf_dir, AUDITED))
+    return found.groupBy("table").agg(F.count("*").alias("missing"), F.min("key").alias("first_key"), F.max("key").alias("last_key"))
+
+
+_SOME = (*(DOCUMENTS[name] for name in ("CTe", "CTeSimp", "CTeOS", "GVTe", "BPe", "BPeTA")), EVENTS["CTe"], CANCELLATIONS["MDFe"])
+
+
+def _audit_pairs(spark: SparkSession, sf_dir: str, kinds: Sequence[DocumentType] = _SOME) -> list[tuple[DocumentType, DataFrame, DataFrame]]:
     status = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
-    kinds = [DOCUMENTS[name] for name in ("CTe", "CTeSimp", "CTeOS", "GVTe", "BPe", "BPeTA")]
     pairs = []
-    for kind in (*kinds, EVENTS["CTe"], CANCELLATIONS["MDFe"]):
-        source = bronze_events if kind.group else bronze
-        batch = source(spark, sf_dir, kind.family)
+    for kind in kinds:
+        cancelled = (kind.group == "cancelamento",) if kind.group in _EVENTS else ()
+        batch = (bronze_events if kind.group in _EVENTS else bronze)(spark, sf_dir, kind.family, *cancelled)
         loaded = status.select(F.col("o_orderkey").cast("decimal(38,0)").alias(kind.sequence))
         silver = documents(batch.join(loaded, kind.sequence, "left_semi"), kind, ["chave"])
         pairs.append((kind, batch, silver))
