@@ -15,6 +15,9 @@ from fisclake.llm.shared import ALPHANUMERIC, BASES, LOWER, Texts, find_words, r
 #: Words of test items searched at a time; more items are searched block by block.
 BLOCK_WORDS = 500_000
 
+#: Bytes of text in a shard, which has an index of its own.
+SHARD_BYTES = 1_000_000
+
 _SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -93,7 +96,7 @@ def _search(documents: DataFrame, phrases: Phrases) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for part, texts in text_chunks(batches, "text"):
+        for part, texts in text_chunks(batches, "text", SHARD_BYTES):
             starts, ends, first, which, word = hits(texts, own)
             of = np.searchsorted(first, word, side="right") - 1
             covered, items = part.column("covered").to_pylist(), part.column("items").to_pylist()

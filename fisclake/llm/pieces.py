@@ -16,7 +16,7 @@ from fisclake.llm.shared import BASES, ragged, span_hashes, text_chunks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text whose segments are indexed together.
-BATCH_BYTES = 1_500_000
+BATCH_BYTES = 750_000
 #: Segments longer than this are relaxed one at a time, shorter ones side by side.
 SHORT = 64
 SPACE = "▁"

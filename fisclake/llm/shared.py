@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 from collections.abc import Iterator
 
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from fisclake.session import shared_folder
 
 #: Bytes of text that a task turns into numpy arrays at a time; a single longer text is taken whole.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 500_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -41,6 +43,13 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Returns memory that is free but held to the system: a worker process that waits for its next task takes room from the executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Texts:
     """The texts of some rows as one byte array: text ``i`` is ``bytes[offsets[i]:offsets[i + 1]]``. Null counts as empty."""
 
@@ -61,12 +70,15 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str, size: int = CHUN
     for batch in batches:
         if not batch.num_rows:
             continue
+        give_back()
         lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
         place = (np.cumsum(lengths) - lengths) // size
         cuts = np.flatnonzero(np.diff(place)) + 1
         for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             part = batch.slice(start, end - start)
             yield part, Texts(part.column(column))
+    _powers.clear()
+    give_back()
 
 
 def byte_class(excluded: list[tuple[int, int]]) -> np.ndarray:

@@ -14,7 +14,7 @@ from fisclake.llm.shared import BASES, NOT_SPACE, Texts, find_words, mixed, ragg
 
 _C1, _C2 = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 #: Bytes of text whose windows are held at a time.
-BATCH_BYTES = 1_500_000
+BATCH_BYTES = 1_000_000
 #: Rows without an id come after all others.
 NO_ID = (1 << 63) - 1
 
