@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from fisclake.layouts.tree import CORRUPT, leaf_paths
 from fisclake.operators.parse import route
-from fisclake.registry import XML, DocumentType
+from fisclake.registry import ITEMS, XML, DocumentType
 
 # Fixed value: the digital signature is no part of the layouts.
 IGNORED = "signature"
@@ -126,11 +126,21 @@ def unused(spark: SparkSession, bronze: DataFrame, kind: DocumentType) -> DataFr
     return spark.createDataFrame(rows, "document string, path string")
 
 
+def own_paths(paths: Iterable[str], kind: DocumentType) -> set[str]:
+    """The paths a type answers for where a family has headers and items: items those with ``det``, headers the others."""
+    if kind.family not in {item.family for item in ITEMS.values()} or kind.is_event:
+        return set(paths)
+    return {path for path in paths if ("det" in path.split(".")) == (kind in ITEMS.values())}
+
+
 def report(spark: SparkSession, batches: Iterable[tuple[DocumentType, DataFrame]]) -> DataFrame:
-    """One row per document type: fields seen, fields in the layout, unknown fields, and whether the layout is complete."""
+    """One row per document type: fields seen, fields in the layout, unknown fields, and whether the layout is complete.
+
+    Headers and items of one family each count their own fields only.
+    """
     rows = []
     for kind, bronze in batches:
-        observed, official = observed_paths(bronze, kind), official_paths(kind)
+        observed, official = (own_paths(paths, kind) for paths in (observed_paths(bronze, kind), official_paths(kind)))
         unknown = unknown_paths(observed, official)
         rows.append((kind.name, len(observed), len(official), len(unknown), not unknown))
     schema = "document string, observed bigint, official bigint, unknown bigint, complete boolean"

@@ -10,7 +10,7 @@ from fisclake.operators.mirror import mirror, verify_mirror
 from fisclake.plans.audits import full_audit
 from fisclake.plans.batches import Batch, load_batches
 from fisclake.plans.load import Target, load
-from fisclake.registry import AUDITED, CANCELLATIONS, DOCUMENTS, XML
+from fisclake.registry import AUDITED, CANCELLATIONS, DOCUMENTS, ITEMS, XML
 from fisclake.session import shared_folder
 from fisclake.sources import scans
 from fisclake.sources.storage import exists, files, mark, partition_inventory
@@ -229,6 +229,21 @@ def test_drift_finds_only_the_added_tag(spark, sf_dir):
     assert [row.path for row in drift.drift(spark, extra, DOCUMENTS["NF3e"]).collect()] == ["NF3e.infNF3e.ide.novo.a"]
 
 
+@pytest.mark.parametrize("name", ["NFe", "NFCe"])
+def test_drift_report_tells_headers_from_items(spark, sf_dir, name):
+    """A new tag in an item counts for the items, one in the header for the header."""
+    kinds = (DOCUMENTS[name], ITEMS[name])
+    batch = bronze(spark, sf_dir, DOCUMENTS[name].family)
+
+    def unknown(tag, new):
+        changed = batch.withColumn(XML, F.regexp_replace(XML, f"(<{tag}[^>]*>)", f"$1{new}"))
+        assert changed.filter(F.col(XML).contains(new)).count() > 0
+        return [row.unknown for row in drift.report(spark, [(kind, changed) for kind in kinds]).collect()]
+
+    assert unknown("prod", "<novo>1</novo>") == [0, 1]
+    assert unknown("ide", "<novo><a>1</a><b>2</b></novo>") == [2, 0]
+
+
 def test_paths_of_elements_that_are_sometimes_repeated(spark):
     texts = ["<r><d><x>1</x></d></r>", "<r><d><x>1</x></d><d><y>2</y></d></r>",
              "<r><d><z>1</z></d><d><z>1</z><z>2</z></d><e/></r>", "<r a='1'><f>t</f><f>u</f></r>", "broken <"]

@@ -49,6 +49,17 @@ def schema_drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.report(spark, batches).select("document", "unknown", "complete")
 
 
+@query(
+    f"""WITH {ORDERS_SQL} SELECT document, CAST(document = 'CTeSimp' AS BIGINT) AS unknown, document <> 'CTeSimp' AS complete FROM (
+          SELECT DISTINCT cte_kind AS document FROM orders_x UNION ALL SELECT DISTINCT bpe_kind FROM orders_x
+          UNION ALL SELECT unnest(['MDFe', 'NF3e', 'NFCom', 'NFe', 'NFeDet', 'NFCe', 'NFCeDet']))"""
+)
+def schema_drift_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 13 variants: the nine of ``schema_drift_report``, and headers and items of NF-e and NFC-e, each against its own layout."""
+    batches = [(kind, bronze(spark, sf_dir, kind.family)) for kind in (*DOCUMENTS.values(), *ITEMS.values())]
+    return drift.report(spark, batches).select("document", "unknown", "complete")
+
+
 @query(
     """SELECT unnest(['BPeTA.infBPe._Id', 'BPeTA.infBPe.ide.dhEmi', 'BPeTA.infBPe.ide.serie', 'BPeTA.infBPe.infValorBPe.vBP',
                       'protBPe.infProt.cStat', 'protBPe.infProt.chBPe', 'protBPe.infProt.dhRecbto']) AS path"""
