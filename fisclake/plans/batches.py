@@ -8,12 +8,16 @@ from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fisclake.operators.gates import DuplicateBatchError
 from fisclake.operators.sinks import VerificationError
 from fisclake.plans.load import Target, load
 from fisclake.registry import DocumentType
-from fisclake.sources.storage import exists
+from fisclake.sources.storage import child_folders, exists, file_states, read_path
+
+
+_FILES = "batch string, rule string, path string, bytes long, mtime long"
 
 
 @dataclass(frozen=True)
@@ -26,16 +30,56 @@ class Batch:
     where: str | None = None
 
 
-def batch_name(batch: Batch) -> str:
-    """What an inbox is called among the signs of its table."""
-    return hashlib.sha256(f"{batch.path}|{batch.where or ''}".encode()).hexdigest()[:20]
+def batch_name(batch: Batch, files: Iterable[tuple[str, int, int]]) -> str:
+    """What some files of an inbox are called among the signs of its table: by path, size and modification time of each."""
+    return hashlib.sha256(f"{sorted(files)}|{batch.where or ''}".encode()).hexdigest()[:20]
+
+
+def begun(spark: SparkSession, batch: Batch) -> dict[str, set[tuple[str, int, int]]]:
+    """The files of each batch of this table that is ready or done. What was only staged counts for nothing: none of it is in the table."""
+    signs = batch.target.signs
+    folders = set(child_folders(spark, signs))
+    noted = [f"{signs}/{name}" for name in folders if name.endswith("-files") and name.replace("-files", "-ready") in folders]
+    found: dict[str, set[tuple[str, int, int]]] = {}
+    if noted:
+        for row in spark.read.schema(_FILES).parquet(*noted).filter(F.col("rule") == (batch.where or "")).collect():
+            found.setdefault(row.batch, set()).add((row.path, row.bytes, row.mtime))
+    return found
+
+
+def load_new_files(spark: SparkSession, batch: Batch) -> None:
+    """Load the files of an inbox that no batch has brought yet; one that was cut off comes first, with the same files as before."""
+    signs = batch.target.signs
+    former = hashlib.sha256(f"{batch.path}|{batch.where or ''}".encode()).hexdigest()[:20]
+    if exists(spark, f"{signs}/{former}-ready"):
+        raise VerificationError(f"{batch.path} was loaded when its files were not noted: which of them the table has is not known")
+    inbox = spark.read.parquet(batch.path)
+    present = file_states(spark, inbox)
+    new = set(present)
+
+    def load_files(name: str, files: set[tuple[str, int, int]]) -> None:
+        part = inbox if files == present else inbox.filter(read_path().isin([path for path, _, _ in files]))
+        load(part, batch.kind, batch.target, where=batch.where, name=name)
+
+    for name, files in begun(spark, batch).items():
+        if not exists(spark, f"{signs}_rejected/{name}-done") and files & present:
+            if not files <= present:
+                raise VerificationError(f"{batch.path}: a batch was cut off, and some of its files are gone: {sorted(files - present)[:3]}")
+            load_files(name, files)
+        new -= files
+    if new:
+        name = batch_name(batch, new)
+        noted = spark.createDataFrame([(name, batch.where or "", *file) for file in sorted(new)], _FILES)
+        noted.coalesce(1).write.mode("overwrite").parquet(f"{signs}/{name}-files")
+        load_files(name, new)
 
 
 def load_batches(spark: SparkSession, batches: Iterable[Batch]) -> DataFrame:
     """Load each batch and report it: table, path, outcome (loaded, absent or failed) and the reason of a failure.
 
-    A batch that fails stays in its inbox and can be loaded again; nothing of it was written if the gate refused it. An inbox is known
-    by its path and loaded once: a second run, or one after a failure half-way, adds what is still lacking.
+    A batch that fails stays in its inbox and can be loaded again; nothing of it was written if the gate refused it. The files
+    of an inbox are known by path, size and modification time, and each is loaded once: a second run, or one after a failure half-way,
+    adds what is still lacking, and files delivered since then are a batch of their own.
     """
     report = []
     for batch in batches:
@@ -44,7 +88,7 @@ def load_batches(spark: SparkSession, batches: Iterable[Batch]) -> DataFrame:
             outcome = "absent"
         else:
             try:
-                load(spark.read.parquet(batch.path), batch.kind, batch.target, where=batch.where, name=batch_name(batch))
+                load_new_files(spark, batch)
             except (DuplicateBatchError, VerificationError, PySparkException) as error:
                 outcome, reason = "failed", str(error)[:500]
         report.append((batch.kind.silver, batch.path, outcome, reason))

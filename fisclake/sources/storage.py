@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,25 @@ def files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     return listing.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("mtime"))
 
 
+# Spark writes one file as `file:/a` here and as `file:///a` there.
+_SCHEME = r"^([^:/]+):/+"
+
+
+def read_path() -> Column:
+    """The file a row was read from, as ``file_states`` spells it."""
+    return F.regexp_replace("_metadata.file_path", _SCHEME, "$1:/")
+
+
+def file_states(spark: SparkSession, df: DataFrame) -> set[tuple[str, int, int]]:
+    """Path, bytes and modification time of each file that ``df`` reads."""
+    states = set()
+    for name in df.inputFiles():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(name))
+        status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+        states.add((re.sub(_SCHEME, r"\1:/", name), status.getLen(), status.getModificationTime()))
+    return states
+
+
 def partition_value(name: str, path: str | Column = "path") -> Column:
     """Value of one partition column out of a file path; NULL outside such a partition."""
     return F.nullif(F.regexp_extract(path, rf"/{name}=([^/]*)/", 1), F.lit(""))

@@ -14,6 +14,7 @@ from fisclake.registry import AUDITED, CANCELLATIONS, DOCUMENTS, ITEMS, XML
 from fisclake.session import shared_folder
 from fisclake.sources import scans
 from fisclake.sources.storage import exists, files, mark, partition_inventory
+from fisclake.streaming import incremental
 from workload.documents import bronze, bronze_events
 
 
@@ -201,6 +202,41 @@ def test_batches_loaded_twice_and_rejected_whole(spark, folder, sf_dir):
     assert spark.read.parquet(target.rejected).count() == 1500
 
 
+def test_files_delivered_later_into_the_same_inbox(spark, folder, sf_dir):
+    batch = bronze(spark, sf_dir, "nfcom")
+    kind, target, inbox = DOCUMENTS["NFCom"], Target(f"{folder}/silver"), f"{folder}/in box"
+    for part in range(3):
+        batch.filter(F.col("NSU") % 3 == part).write.mode("append").parquet(inbox)
+        for _ in range(2):
+            assert [row.outcome for row in load_batches(spark, [Batch(kind, inbox, target)]).collect()] == ["loaded"]
+            read = spark.read.parquet(target.path)
+            assert read.count() == read.select("chave").distinct().count() == batch.filter(F.col("NSU") % 3 <= part).count()
+
+
+@pytest.mark.parametrize("step", ["write_partitioned", "publish", "mark"])
+def test_files_delivered_after_a_batch_was_cut_off(spark, folder, sf_dir, monkeypatch, step):
+    """Cut off while it is staged, moved or marked: its files and the later ones arrive once each."""
+    batch = bronze(spark, sf_dir, "nfcom")
+    kind, target, inbox = DOCUMENTS["NFCom"], Target(f"{folder}/silver"), f"{folder}/inbox"
+    batch.filter("NSU % 2 = 0").write.parquet(inbox)
+    whole, calls = getattr(incremental, step), []
+
+    def cut_off(*args, **options):
+        whole(*args, **options)
+        calls.append(step)
+        raise sinks.VerificationError("cut off")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, step, cut_off)
+        assert [row.outcome for row in load_batches(spark, [Batch(kind, inbox, target)]).collect()] == ["failed"]
+    assert calls == [step]
+    batch.filter("NSU % 2 = 1").write.mode("append").parquet(inbox)
+    for _ in range(2):
+        assert [row.outcome for row in load_batches(spark, [Batch(kind, inbox, target)]).collect()] == ["loaded"]
+    read = spark.read.parquet(target.path)
+    assert read.count() == read.select("chave").distinct().count() == batch.count()
+
+
 def test_month_folder_names(spark):
     df = spark.createDataFrame([("2024", "4"), ("2024", "04"), ("2024", "5"), ("2023", "4")], "year string, month string")
     assert scans.in_month(df, 2024, 4).count() == 2
