@@ -17,6 +17,8 @@ _C1, _C2 = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 BATCH_BYTES = 1_000_000
 #: Rows without an id come after all others.
 NO_ID = (1 << 63) - 1
+#: What tells rows apart: the id, and 128 bits of hashes of the text, as ids may repeat.
+KEY = ("id", "kind", "kind2")
 
 
 def leftmost_minima(values: np.ndarray, size: int) -> np.ndarray:
@@ -67,7 +69,10 @@ class Windows:
 
 def _rows(documents: DataFrame, id_column: str, text: str) -> DataFrame:
     return documents.select(
-        F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"), F.hash(text).alias("kind"), F.coalesce(text, F.lit("")).alias("text")
+        F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"),
+        F.xxhash64(text).alias("kind"),
+        F.xxhash64(F.lit(1), text).alias("kind2"),  # the literal first: its hash is the seed of the text's
+        F.coalesce(text, F.lit("")).alias("text"),
     )
 
 
@@ -82,11 +87,11 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
             first, _ = w.blocks()
             if len(first):
                 of = w.text[first]
-                ids, kinds = (np.asarray(part.column(c)) for c in ("id", "kind"))
+                keys = [np.asarray(part.column(c))[of] for c in KEY]
                 at = w.anchor[first]
-                yield _arrow("hash id kind at", w.short[at].view(np.int64), ids[of], kinds[of], (at - w.first[of]).astype(np.int32))
+                yield _arrow("hash id kind kind2 at", w.short[at].view(np.int64), *keys, (at - w.first[of]).astype(np.int32))
 
-    return rows.mapInArrow(run, "hash long, id long, kind int, at int")
+    return rows.mapInArrow(run, "hash long, id long, kind long, kind2 long, at int")
 
 
 def _repeated(df: DataFrame, *key: str) -> DataFrame:
@@ -100,8 +105,8 @@ def _repeated(df: DataFrame, *key: str) -> DataFrame:
 
 def _with_text(rows: DataFrame, found: DataFrame) -> DataFrame:
     """The texts in which something was found, with the ascending places of it."""
-    places = found.groupBy("id", "kind").agg(F.array_sort(F.collect_set("at")).alias("places"))
-    return rows.join(places, ["id", "kind"])
+    places = found.groupBy(*KEY).agg(F.array_sort(F.collect_set("at")).alias("places"))
+    return rows.join(places, list(KEY))
 
 
 def _places(part: pa.RecordBatch, w: Windows) -> np.ndarray:
@@ -135,14 +140,14 @@ def _blocks(candidates: DataFrame, window: int) -> DataFrame:
             near, far = at - w.starts[last] <= 2 * q, at - w.starts[first] > 2 * q
             ahead = pa.array(w.half[np.where(near, at, 0)].view(np.int64), mask=~near)
             back = pa.array(w.half[np.where(far, at - q, 0)].view(np.int64), mask=~far)
-            ids, kinds = (np.asarray(part.column(c)) for c in ("id", "kind"))
+            keys = [np.asarray(part.column(c))[of] for c in KEY]
             base = w.first[of]
             yield _arrow(
-                "code code2 id kind at first last ahead back", *(c.view(np.int64) for c in codes), ids[of], kinds[of],
+                "code code2 id kind kind2 at first last ahead back", *(c.view(np.int64) for c in codes), *keys,
                 *((x - base).astype(np.int32) for x in (at, w.starts[first], w.starts[last])), ahead, back,
             )
 
-    return candidates.mapInArrow(run, "code long, code2 long, id long, kind int, at int, first int, last int, ahead long, back long")
+    return candidates.mapInArrow(run, "code long, code2 long, id long, kind long, kind2 long, at int, first int, last int, ahead long, back long")
 
 
 def _windows(candidates: DataFrame, window: int) -> DataFrame:
@@ -158,12 +163,12 @@ def _windows(candidates: DataFrame, window: int) -> DataFrame:
             marks = np.asarray(pc.list_flatten(part.column("places")), np.int64) + mark
             kept = np.isin(2 * w.anchor + (w.anchor - w.starts > 2 * w.quarter), marks)
             starts, of = w.starts[kept], w.text[kept]
-            ids, kinds = (np.asarray(part.column(c)) for c in ("id", "kind"))
+            keys = [np.asarray(part.column(c))[of] for c in KEY]
             yield _arrow(
-                "code code2 id kind start", w.full[starts].view(np.int64), other.full[starts].view(np.int64), ids[of], kinds[of], (starts - base[kept]).astype(np.int32)
+                "code code2 id kind kind2 start", w.full[starts].view(np.int64), other.full[starts].view(np.int64), *keys, (starts - base[kept]).astype(np.int32)
             )
 
-    return candidates.mapInArrow(run, "code long, code2 long, id long, kind int, start int")
+    return candidates.mapInArrow(run, "code long, code2 long, id long, kind long, kind2 long, start int")
 
 
 def _marked(df: DataFrame, place: str, *columns: str) -> DataFrame:
@@ -176,32 +181,32 @@ def _marked(df: DataFrame, place: str, *columns: str) -> DataFrame:
 
 
 def repeated_spans(documents: DataFrame, window: int = 20, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id``, ``kind`` (hash of the text), ``first``, ``last``: starts of windows whose word sequence also starts earlier."""
+    """``id``, ``kind`` and ``kind2`` (hashes of the text), ``first``, ``last``: starts of windows whose word sequence also starts earlier."""
     if window < 4 or window % 4:
         raise ValueError("window must be a multiple of four")
     spark = documents.sparkSession
     rows = _rows(documents, id_column, text)
     # Level one. Every window has an anchor chosen by what it holds: equal windows have equal anchors at equal places.
-    anchors = stored(_repeated(_anchors(rows, window), "hash").select("id", "kind", "at"), "anchors")
+    anchors = stored(_repeated(_anchors(rows, window), "hash").select(*KEY, "at"), "anchors")
     release(spark)
     # Blocks of windows around one anchor that are alike from end to end need no look at their windows: all but the first block go.
     blocks = stored(_blocks(_with_text(rows, anchors), window), "blocks")
     release(spark)
-    marked = _marked(blocks, "at", "id", "kind", "at", "first", "last", "ahead", "back")
+    marked = _marked(blocks, "at", *KEY, "at", "first", "last", "ahead", "back")
     release(spark)
-    whole, rest = marked.filter("later").select("id", "kind", "first", "last"), marked.filter("not later")
+    whole, rest = marked.filter("later").select(*KEY, "first", "last"), marked.filter("not later")
     # Level two, among the blocks that are left.
-    halves = rest.select("id", "kind", (F.col("at") * 2).alias("at"), F.col("ahead").alias("hash")).union(
-        rest.select("id", "kind", (F.col("at") * 2 + 1).alias("at"), F.col("back").alias("hash"))
+    halves = rest.select(*KEY, (F.col("at") * 2).alias("at"), F.col("ahead").alias("hash")).union(
+        rest.select(*KEY, (F.col("at") * 2 + 1).alias("at"), F.col("back").alias("hash"))
     )
-    twice = stored(_repeated(halves.filter("hash is not null"), "hash").select("id", "kind", "at"), "anchors-twice")
+    twice = stored(_repeated(halves.filter("hash is not null"), "hash").select(*KEY, "at"), "anchors-twice")
     release(spark)
     # Level three: the windows themselves.
     windows = stored(_windows(_with_text(rows, twice), window), "windows")
     release(spark)
-    single = _marked(windows, "start", "id", "kind", "start").filter("later")
+    single = _marked(windows, "start", *KEY, "start").filter("later")
     release(spark)
-    return whole.union(single.select("id", "kind", F.col("start").alias("first"), F.col("start").alias("last")))
+    return whole.union(single.select(*KEY, F.col("start").alias("first"), F.col("start").alias("last")))
 
 
 def remove_repeats(documents: DataFrame, window: int = 20, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -218,8 +223,8 @@ def remove_repeats(documents: DataFrame, window: int = 20, id_column: str = "doc
     (unless an earlier row has their words). No rows: no rows. Other columns, whatever their names, are not looked at.
     """
     spans = repeated_spans(documents, window, id_column, text)
-    gone = spans.groupBy("id", "kind").agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
-    joined = _rows(documents, id_column, text).join(gone, ["id", "kind"], "left").select("id", "text", "first", "last")
+    gone = spans.groupBy(*KEY).agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
+    joined = _rows(documents, id_column, text).join(gone, list(KEY), "left").select("id", "text", "first", "last")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

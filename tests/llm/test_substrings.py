@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from fisclake.llm.queries import table
@@ -61,6 +62,15 @@ def test_repeated_rows_stay(spark):
     check(frame, 20)
 
 
+def test_rows_without_id_whose_texts_share_a_short_hash(spark):
+    """Two texts with the same 32-bit hash and no id: only the one whose passage stands in an earlier row loses its words."""
+    text = F.expr("array_join(transform(sequence(0, 29), j -> concat('w', id, '_', j)), ' ')")
+    texts = spark.range(200_000).select(text.alias("text")).withColumn("h", F.hash("text"))
+    alike = texts.groupBy("h").agg(F.sort_array(F.collect_list("text")).alias("t")).filter("size(t) > 1").orderBy("h").first()["t"]
+    frame = spark.createDataFrame([(1, "x " + alike[0]), (None, alike[0]), (None, alike[1])], "doc_id long, text string")
+    assert sorted(r[2] for r in check(frame, 20)) == [0, 0, 30]
+
+
 def test_minima():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 9, 200).astype(np.uint64)
