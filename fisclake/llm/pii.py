@@ -35,6 +35,8 @@ WIDE = {
 }
 #: Where a cheap look says that a kind's patterns can't match, they aren't tried.
 HINT = {"email": r"@|\(at\)|\(AT\)|\[at\]|\[AT\]", "ip": r"[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"[0-9][\x20().-]?[0-9]"}
+#: A base phone may have any number of marks between its digits.
+BASE_HINT = HINT | {"phone": r"\+[0-9]"}
 #: Gazetteers: top-level domains, first digits of card issuers, country calling codes, network addresses that are nobody's.
 DOMAINS = "com org net edu gov info io de fr es it uk eu nl ch at pl br mx ar us ca au in jp cn ru example".split()
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|62|35)"
@@ -114,7 +116,7 @@ def labelled(documents: DataFrame, id_column: str = "doc_id", text: str = "text"
     rows = documents.select(F.col(id_column).alias("id"), F.coalesce(text, F.lit("")).alias("text"), *keep)
     content = F.col("text")
     # One step for the matches and one for their places: the places refer to the matches several times.
-    rows = rows.withColumns({f"m_{k}": occurrences(content, p, content.rlike(HINT[k])) for k, p in BASE.items()} | {f"w_{k}": occurrences(content, p, content.rlike(HINT[k])) for k, p in WIDE.items()})
+    rows = rows.withColumns({f"m_{k}": occurrences(content, p, content.rlike(BASE_HINT[k])) for k, p in BASE.items()} | {f"w_{k}": occurrences(content, p, content.rlike(HINT[k])) for k, p in WIDE.items()})
     rows = rows.withColumns({k: F.filter(located(content, p, F.col(f"m_{k}")), _valid(k)) for k, p in BASE.items()} | {f"c_{k}": located(content, p, F.col(f"w_{k}")) for k, p in WIDE.items()})
     rows = rows.withColumn("base", F.concat(*KINDS))
 

@@ -41,6 +41,15 @@ def test_tricky_texts(spark):
     check(find_pii(rows_of(spark, TRICKY)), TRICKY)
 
 
+def test_phone_with_several_marks_between_digits(spark):
+    texts = ["+1 - 2 - 3 - 4 - 5 - 6 - 7 - 8", "call +4 () 9 .. 3 .. 0 .. 1 .. 2 .. 3 .. 4 now", "+ 1 - 2"]
+    frame = rows_of(spark, texts)
+    found = find_pii(frame)
+    check(found, texts)
+    assert [r["n_phone"] for r in pii_digest(found).orderBy("doc_id").collect()] == [1, 1, 0]
+    assert not any("6 - 7" in r["text"] for r in redact(frame).collect())
+
+
 def test_random_texts(spark):
     rng = np.random.default_rng(0)
     texts = ["".join(rng.choice(list("19+-. ()@aé_%"), rng.integers(0, 80))) for _ in range(400)]
