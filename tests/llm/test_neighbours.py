@@ -1,7 +1,9 @@
+import inspect
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from fisclake.llm.neighbours import nearest
+from fisclake.llm.neighbours import fit, nearest
 from fisclake.llm.queries import QUERIES, table
 
 
@@ -65,3 +67,7 @@ def test_odd_rows(spark):
     assert found == {0: [(7, 1.0), (1, 0.5), (20, -1.0)], 20: [(0, -1.0), (1, -1.0), (7, -1.0)], 40: [(21, 6.0)]}
     assert nearest(frame.limit(0), F.expr("id % 20 = 0")).collect() == []
     assert by_query(nearest(frame, F.expr("id % 20 = 0"), near=1).collect())[0] == [(7, 1.0)]
+
+
+def test_recall_wanted_of_the_sample():
+    assert {inspect.signature(f).parameters["wanted"].default for f in (fit, nearest)} == {0.97}
