@@ -296,8 +296,8 @@ def nearest(
     smallest = Window.partitionBy("vector").orderBy("id")
     classes = rows.withColumn("nth", F.row_number().over(smallest)).filter(F.col("nth") <= near + 1).groupBy("vector")
     classes = stored(classes.agg(F.sort_array(F.collect_list("id")).alias("ids")).select("ids", F.size("vector").alias("dim"), "vector"), "vector-classes")
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
-    dims = {r["dim"]: (r["n"], r["norm"]) for r in classes.groupBy("dim").agg(F.count("*").alias("n"), F.max(norm).alias("norm")).collect()}
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
+    dims = {r["dim"]: (r["n"], r["norm"], r["ids"]) for r in classes.groupBy("dim").agg(F.count("*").alias("n"), F.max(length).alias("norm"), F.sum(F.size("ids")).alias("ids")).collect()}
     members = rows.filter(queries).join(classes.select("vector", F.col("ids")[0].alias("query")), "vector").select(F.col("id").alias("query_id"), "query", F.size("vector").alias("dim"))
     members = stored(members, "query-members")
     asked = stored(classes.join(members.select("query").distinct(), F.col("ids")[0] == F.col("query"), "left_semi").select(F.col("ids")[0].alias("query"), "dim", "vector"), "queries")
@@ -305,12 +305,12 @@ def nearest(
     if dims:
         common = max(dims, key=lambda d: dims[d][0])
         sample = classes.filter(F.col("dim") == common).orderBy(F.xxhash64(F.col("ids")[0])).limit(SAMPLE).select("vector").collect()
-        count = sum(n for n, _ in dims.values())
-        norms = {d: n for d, (_, n) in dims.items()}
+        count = sum(n for n, *_ in dims.values())
+        norms = {d: norm for d, (_, norm, _) in dims.items()}
         index = fit(np.array([r["vector"] for r in sample], np.float64), norms, count, wanted, tables, near)
         found = stored(_search(classes, asked, index, most), "found")
         # With as many as this found, or all there are, a query has its neighbours.
-        reach = F.create_map(*(F.lit(x) for d in dims for x in (d, min(most, dims[d][0]))))
+        reach = F.create_map(*(F.lit(x) for d in dims for x in (d, min(most, dims[d][2]))))
         reached = found.select("query", "vec_id").distinct().groupBy("query").agg(F.count("*").alias("n"))
         short = asked.join(reached, "query", "left").filter(F.coalesce("n", F.lit(0)) < F.element_at(reach, F.col("dim"))).select("query", "dim", "vector")
         short = stored(short, "short-queries")

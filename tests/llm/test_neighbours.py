@@ -69,5 +69,13 @@ def test_odd_rows(spark):
     assert by_query(nearest(frame, F.expr("id % 20 = 0"), near=1).collect())[0] == [(7, 1.0)]
 
 
+def test_few_vectors_in_many_copies(spark):
+    """A query that has found nothing but its own copies is held against all rows."""
+    rows = [(15 * k + i, np.eye(10)[k].tolist()) for k in range(10) for i in range(15)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest(frame, F.expr("id % 15 = 0"), wanted=0.01).groupBy("query_id").count().collect()
+    assert [r["count"] for r in found] == [20] * 10
+
+
 def test_recall_wanted_of_the_sample():
     assert {inspect.signature(f).parameters["wanted"].default for f in (fit, nearest)} == {0.97}
