@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fisclake.llm.chat import format_conversations, read_back
+from fisclake.llm.conversations import conversation_digest, repair_conversations
 from fisclake.llm.decontamination import find_contamination
 from fisclake.llm.neighbours import nearest
 from fisclake.llm.pieces import decode, encode
@@ -16,7 +17,9 @@ from fisclake.llm.secret_scan import find_secrets, secrets_digest
 from fisclake.llm.sharding import assign_shards
 from fisclake.llm.simhash import near_duplicates
 from fisclake.llm.substrings import kept_digest, remove_repeats
+from fisclake.llm.token_counts import count_tokens
 from fisclake.llm.toxicity import held_out, score_documents, train
+from fisclake.llm.whitening import whiten_embeddings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -130,3 +133,42 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.expr("id % 20 = 0"), near=20)
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Faults planted by a checksum of conversation and turn: 0 drops a row, 1 empties its text, 2 takes its end marks, 3 repeats it, 4 makes it the user's."""
+    space = F.lit(" ")
+    said = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    kind = F.crc32(said.cast("binary")) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    return rows.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(kind == 0, F.array().cast("array<int>")).when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found, turns = repair_conversations(damaged(rows))
+    digest = conversation_digest(turns)
+    every = rows.select("conv_id").distinct()
+    own = lambda other: F.col("e.conv_id").eqNullSafe(F.col(f"{other}.conv_id"))
+    whole = every.alias("e").join(found.alias("f"), own("f"), "left").join(digest.alias("d"), own("d"), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return whole.select("e.conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), limit=1024)
+
+
+@query
+def op13_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whiten_embeddings(table(spark, sf_dir, "embeddings"), components=32)
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "of")
+    return whitened.select("vec_id", "n", "deviation", "identity_error", each).select(
+        "vec_id", (F.col("place") + 1).cast("int").alias("component"), "n", F.expr("try_cast(deviation AS long)").alias("deviation"), "of.whitened", "of.explained", "identity_error"
+    )
