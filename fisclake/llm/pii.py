@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fisclake.llm.shared import stored, whole_row
-from fisclake.llm.spans import located, named, occurrences, overlaps, replaced
+from fisclake.llm.spans import blocks, cut, let, located, named, occurrences, overlapped, replaced
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -118,21 +118,41 @@ def labelled(documents: DataFrame, id_column: str = "doc_id", text: str = "text"
     # One step for the matches and one for their places: the places refer to the matches several times.
     rows = rows.withColumns({f"m_{k}": occurrences(content, p, content.rlike(BASE_HINT[k])) for k, p in BASE.items()} | {f"w_{k}": occurrences(content, p, content.rlike(HINT[k])) for k, p in WIDE.items()})
     rows = rows.withColumns({k: F.filter(located(content, p, F.col(f"m_{k}")), _valid(k)) for k, p in BASE.items()} | {f"c_{k}": located(content, p, F.col(f"w_{k}")) for k, p in WIDE.items()})
-    rows = rows.withColumn("base", F.concat(*KINDS))
+    tagged = [F.transform(f"c_{k}", _of_kind(k)) for k in KINDS]
+    rows = rows.withColumn("judged", let(F.concat(*tagged), lambda c: F.when(F.size(c) > 0, overlapped(c, F.concat(*KINDS), _CANDIDATE))))
+
+    def described(kind: str, parts: Column) -> Callable[[Column], Column]:
+        def describe(j: Column) -> Column:
+            s = j["span"]
+            before = cut(parts, F.greatest(s["start"] - BEFORE, F.lit(0)), s["start"])
+            after = cut(parts, s["end"], s["end"] + AFTER)
+            around = F.struct(s["said"].alias("said"), before.alias("before"), after.alias("after"))
+            return let(around, lambda x: F.struct(
+                F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), j["known"].alias("known"),
+                *(v.cast("int").alias(n) for n, v in _votes(kind, x["said"], x["before"], x["after"]).items()), *(v.alias(n) for n, v in _features(x["said"], x["before"], x["after"]).items()),
+            ))
+
+        return describe
+
+    def of_all(judged: Column, parts: Column) -> Column:
+        return F.concat(*(F.transform(F.filter(judged, _is_kind(k)), described(k, parts)) for k in KINDS))
+
+    # Texts without candidates aren't cut.
+    none = F.array().cast(f"array<struct<span:{_CANDIDATE},known:boolean>>")
+    candidates = let(F.coalesce("judged", none), lambda j: let(F.when(F.size(j) > 0, blocks(content)), lambda b: of_all(j, b)))
+    places = {k: F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS}
+    return rows.select("id", *(c for c in rows.columns if c == "kept"), *(c.alias(k) for k, c in places.items()), candidates.alias("candidates"))
 
-    def described(kind: str) -> Column:
-        def describe(s: Column) -> Column:
-            before = F.substring(content, F.greatest(s["start"] - BEFORE, F.lit(0)) + 1, F.least(s["start"], F.lit(BEFORE)))
-            after = F.substring(content, s["end"] + 1, F.lit(AFTER))
-            return F.struct(
-                F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), overlaps(s, F.col("base")).alias("known"),
-                *(v.cast("int").alias(n) for n, v in _votes(kind, s["said"], before, after).items()), *(v.alias(n) for n, v in _features(s["said"], before, after).items()),
-            )
 
-        return F.transform(f"c_{kind}", describe)
+_CANDIDATE = "struct<start:int,end:int,kind:string,said:string>"
 
-    places = {k: F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS}
-    return rows.select("id", *(c for c in rows.columns if c == "kept"), *(c.alias(k) for k, c in places.items()), F.concat(*map(described, KINDS)).alias("candidates"))
+
+def _of_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"), s["said"].alias("said"))
+
+
+def _is_kind(kind: str) -> Callable[[Column], Column]:
+    return lambda j: j["span"]["kind"] == kind
 
 
 def reliabilities(patterns: list[tuple[str, tuple[int, ...], int]], rounds: int = 100) -> dict[tuple[str, tuple[int, ...]], float]:

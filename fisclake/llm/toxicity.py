@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fisclake.llm.shared import ALPHANUMERIC, LOWER, Texts, find_words, ragged, span_hashes, text_chunks, unpacked, whole_row
+from fisclake.llm.shared import ALPHANUMERIC, LOWER, Texts, find_words, ragged, span_hashes, stored, text_chunks, unpacked, whole_row
 
 #: Features are hashed to so many places.
 PLACES = 1 << 20
@@ -28,6 +28,7 @@ class Model:
     places: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     bias: float = -12.0
+    left_out: int = 0  # labelled texts that didn't fit into the sample
 
     def table(self) -> np.ndarray:
         dense = np.zeros(PLACES)
@@ -139,41 +140,57 @@ def held_out(id_column: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def _fitting(sizes: list[tuple[int, int]], most: int) -> list[int]:
+    """Ids whose texts go into a sample of ``most`` bytes, taken in the given order of (id, bytes): one that doesn't fit is left out, the next one is tried."""
+    chosen, total = [], 0
+    for i, size in sizes:
+        if total + size <= most:
+            chosen.append(i)
+            total += size
+    return chosen
+
+
 def train(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic", most_rows: int = 10_000, most_bytes: int = 40_000_000, most_features: int = 4096) -> Model:
-    """A model from a sample of the labelled rows that aren't held out.
+    """A model from a sample of the labelled documents that aren't held out.
 
-    The sample: the ``most_rows`` labelled ids smallest by a hash, and of their texts, in that order, those up to ``most_bytes`` in all.
-    Both bounds are there because one task fits the model. Several labels of an id: the largest counts. Null labels don't.
+    The sample: of the labelled ids that ``documents`` has, the ``most_rows`` smallest by a hash, and of their texts, in that order, all that
+    fit into ``most_bytes`` of UTF-8; one that doesn't is left out and counted in ``left_out``. Both bounds are there because one task fits the model.
+    Raises ValueError if there are labels of both kinds but texts of only one got into the sample. Several labels of an id: the largest counts. Several
+    texts: the smallest. Null labels don't count, null texts are empty. Labels of one kind only, or none: a model that rejects nothing.
     """
-    chosen = (
+    labelled = (
         labels.select(F.col(id_column).cast("long").alias("id"), F.col(label).cast("int").alias("label"))
         .filter("id is not null and label in (0, 1)")
         .groupBy("id")
         .agg(F.max("label").alias("label"))
         .filter(~held_out("id"))
-        .withColumn("order", F.xxhash64("id"))
-        .orderBy("order", "id")
-        .limit(most_rows)
     )
-    texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
-    sample = texts.repartition(1).sortWithinPartitions("order", "id", "text").select("label", "text")
+    texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
+    present = stored(labelled.join(texts.select("id"), "id", "left_semi"), "labelled")
+    kinds = {r["label"] for r in present.select("label").distinct().collect()}  # two at most
+    if len(kinds) < 2:
+        return Model()
+    chosen = present.withColumn("order", F.xxhash64("id")).orderBy("order", "id").limit(most_rows)
+    # One text of each id, chosen before anything is moved.
+    each = texts.join(F.broadcast(chosen), "id").groupBy("order", "id", "label").agg(F.coalesce(F.min("text"), F.lit("")).alias("text"))
+    each = stored(each, "labelled-texts")
+    sizes = each.select("order", "id", F.octet_length("text").alias("bytes")).collect()  # most_rows at most
+    ids = _fitting([(r["id"], r["bytes"]) for r in sorted(sizes)], most_bytes)
+    fitting = documents.sparkSession.createDataFrame([(i,) for i in ids], "id long")
+    sample = each.join(F.broadcast(fitting), "id").repartition(1).sortWithinPartitions("order", "id").select("label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
-        for batch in batches:
-            parts.append(batch)
-            size += batch.nbytes
-            if size > most_bytes:
-                break
+        parts = list(batches)
         if parts:
             whole = pa.Table.from_batches(parts).combine_chunks()
-            texts = whole.column("text").to_pylist()
-            within = max(1, int(np.searchsorted(np.cumsum([len(t or "") for t in texts]), most_bytes)))
-            model = fit_model(texts[:within], np.asarray(whole.column("label"))[:within], most_features)
-            yield pa.RecordBatch.from_pydict({"places": [model.places.tolist()], "weights": [model.weights.tolist()], "bias": [model.bias]})
+            model = fit_model(whole.column("text").to_pylist(), np.asarray(whole.column("label")), most_features)
+            both = len(set(whole.column("label").to_pylist())) == 2
+            yield pa.RecordBatch.from_pydict({"places": [model.places.tolist()], "weights": [model.weights.tolist()], "bias": [model.bias], "both": [both]})
 
-    row = sample.mapInArrow(run, "places array<long>, weights array<double>, bias double").first()
-    return Model(np.array(row["places"], np.int64), np.array(row["weights"]), row["bias"]) if row else Model()
+    row = sample.mapInArrow(run, "places array<long>, weights array<double>, bias double, both boolean").first()
+    if row is None or not row["both"]:
+        raise ValueError(f"the sample has texts of one kind only: {len(sizes) - len(ids)} of {len(sizes)} don't fit into {most_bytes} bytes")
+    return Model(np.array(row["places"], np.int64), np.array(row["weights"]), row["bias"], len(sizes) - len(ids))
 
 
 def _scored(rows: DataFrame, model: Model, threshold: float) -> DataFrame:
@@ -215,7 +232,11 @@ def score_documents(documents: DataFrame, model: Model, id_column: str = "doc_id
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = 0.5, **sample: int) -> DataFrame:
-    """The rows of ``documents`` that a model trained on ``labels`` doesn't reject, each judged by itself."""
+    """The rows of ``documents`` that a model trained on ``labels`` doesn't reject, each judged by itself.
+
+    Null, empty and blank texts stay. Repeated rows and ids are judged row by row and stay or go together. No documents: none. No labels, or of one
+    kind only: all documents. All columns come back as they were, whatever their names.
+    """
     model = train(documents, labels, id_column, text, **sample)
     scored = _scored(documents.select(whole_row(documents), F.col(text).alias("text")), model, threshold)
     return unpacked(scored.filter("predicted = 0"), documents)

@@ -1,4 +1,5 @@
 import re
+import time
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 import brute
 from fisclake.llm.pii import KINDS, find_pii, pii_digest, redact, reliabilities
 from fisclake.llm.queries import QUERIES, table
+from fisclake.llm.spans import overlapped, running
 
 TRICKY = [
     "a@b.com@c.d x_a@b.c_d@e.f.g. a.b@c, @x.y a@b a@b. é@b.co ü.x@y-z.de", "1.2.3.4.5.6.7.8 256.1.1.1 0001.02.3.255 1.2.3 1..2.3.4 9.9.9.9.9",
@@ -50,6 +52,39 @@ def test_phone_with_several_marks_between_digits(spark):
     assert not any("6 - 7" in r["text"] for r in redact(frame).collect())
 
 
+def test_a_text_with_many_spans(spark):
+    """50,000 spans in 5 MB: the work grows with the text and its spans."""
+    parts = [f"mail jo{i}@ex{i % 99}.org, ip 10.0.{i % 250}.{i % 200} é 😀 " + "wort " * 40 if i % 2 else f"call +1 (578) 555-{i % 10000:04d} or 49181871286352{i % 100:02d} " for i in range(33_334)]
+    text = "".join(parts)
+    frame = rows_of(spark, [text, "x"])
+    begin = time.monotonic()
+    found = pii_digest(find_pii(frame)).filter("doc_id = 0").first()
+    seconds = time.monotonic() - begin
+    expected = brute.personal(text)
+    assert sum(len(own) for own in expected.values()) >= 50_000 and len(text) > 4_000_000
+    assert [found[f"n_{k}"] for k in KINDS] == [len(expected[k]) for k in KINDS] and found["base_sha256"] == brute.sha(brute.said(expected))
+    assert seconds < 60
+    spans = sorted((int(a), int(b), k) for k, a, b in (s.split(":") for s in found["spans"].split(",")))
+    at, said = 0, []
+    for a, b, k in spans:
+        if a >= at:
+            said += [text[at:a], f"[{k.upper()}]"]
+        at = max(at, b)
+    assert redact(frame).filter("doc_id = 0").first()["text"] == "".join(said) + text[at:]
+
+
+def test_running_totals_and_overlaps(spark):
+    values = [int(x) for x in np.random.default_rng(2).integers(0, 50, 1000)]
+    spans = [(i * 7 % 4001, i * 7 % 4001 + 1 + i % 9, "x") for i in range(700)]
+    others = [(i * 11 % 4001, i * 11 % 4001 + 1 + i % 25) for i in range(150)]
+    kind = "struct<start:int,end:int,said:string>"
+    frame = spark.createDataFrame([(values, spans, others), ([], [], others), ([5], spans[:1], [])], f"v array<int>, s array<{kind}>, o array<struct<start:int,end:int>>")
+    row = frame.select(running(F.col("v"), F.lit(0), lambda a, b: a + b).alias("sums"), overlapped(F.col("s"), F.col("o"), kind).alias("over")).collect()
+    assert row[0]["sums"] == np.cumsum(values).tolist() and row[1]["sums"] == [] and row[2]["sums"] == [5]
+    assert [(tuple(r["span"]), r["known"]) for r in row[0]["over"]] == [(s, any(a < s[1] and s[0] < b for a, b in others)) for s in sorted(spans)]
+    assert row[1]["over"] == [] and [r["known"] for r in row[2]["over"]] == [False]
+
+
 def test_random_texts(spark):
     rng = np.random.default_rng(0)
     texts = ["".join(rng.choice(list("19+-. ()@aé_%"), rng.integers(0, 80))) for _ in range(400)]
