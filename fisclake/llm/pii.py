@@ -117,7 +117,9 @@ def labelled(documents: DataFrame, id_column: str = "doc_id", text: str = "text"
     content = F.col("text")
     # One step for the matches and one for their places: the places refer to the matches several times.
     rows = rows.withColumns({f"m_{k}": occurrences(content, p, content.rlike(BASE_HINT[k])) for k, p in BASE.items()} | {f"w_{k}": occurrences(content, p, content.rlike(HINT[k])) for k, p in WIDE.items()})
-    rows = rows.withColumns({k: F.filter(located(content, p, F.col(f"m_{k}")), _valid(k)) for k, p in BASE.items()} | {f"c_{k}": located(content, p, F.col(f"w_{k}")) for k, p in WIDE.items()})
+    patterns = [*BASE.values(), *WIDE.values()]
+    rows = rows.withColumn("places", located(content, patterns, [F.col(f"{c}_{k}") for c in "mw" for k in KINDS]))
+    rows = rows.withColumns({k: F.filter(F.col("places")[n], _valid(k)) for n, k in enumerate(KINDS)} | {f"c_{k}": F.col("places")[len(KINDS) + n] for n, k in enumerate(KINDS)})
     tagged = [F.transform(f"c_{k}", _of_kind(k)) for k in KINDS]
     rows = rows.withColumn("judged", let(F.concat(*tagged), lambda c: F.when(F.size(c) > 0, overlapped(c, F.concat(*KINDS), _CANDIDATE))))
 

@@ -170,7 +170,8 @@ def find_secrets(documents: DataFrame, id_column: str = "doc_id", text: str = "t
         return F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False)) if trigram_query(rule.pattern) is not None else None
 
     rows = rows.select("id", "text", *(occurrences(content, r.pattern, asked(r)).alias(f"m_{r.kind}") for r in rules))
-    return rows.select("id", *(_kept(located(content, r.pattern, F.col(f"m_{r.kind}")), r).alias(r.kind) for r in rules))
+    rows = rows.select("id", located(content, [r.pattern for r in rules], [F.col(f"m_{r.kind}") for r in rules]).alias("places"))
+    return rows.select("id", *(_kept(F.col("places")[n], r).alias(r.kind) for n, r in enumerate(rules)))
 
 
 def _kept(spans: Column, rule: Rule) -> Column:

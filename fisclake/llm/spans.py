@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,15 +47,19 @@ def occurrences(text: Column, pattern: str, only_if: Column | None = None) -> Co
     return found if only_if is None else F.when(only_if, found).otherwise(F.array().cast("array<string>"))
 
 
-def located(text: Column, pattern: str, found: Column) -> Column:
-    """Spans of ``found``, what ``occurrences`` gave: the lengths of what stands between the matches say where they are."""
+def located(text: Column, patterns: Sequence[str], found: Sequence[Column]) -> Column:
+    """For each pattern, in one array, the spans of what ``occurrences`` gave: the lengths of what stands between the matches say where they are."""
+    none = F.array().cast("array<string>")
 
-    def placed(found: Column) -> Column:
-        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-        ends = running(F.zip_with(gaps, found, lambda gap, said: F.char_length(gap) + F.char_length(said)), F.lit(0), lambda a, b: a + b)
-        return F.zip_with(found, ends, lambda said, end: F.struct((end - F.char_length(said)).alias("start"), end.alias("end"), said.alias("said")))
+    def parted(pattern: str, found: Column) -> Column:
+        return F.struct(found.alias("found"), F.when(F.size(found) > 0, F.split(text, pattern, -1)).otherwise(none).alias("gaps"))
 
-    return let(found, lambda f: F.when(F.size(f) > 0, placed(f)).otherwise(F.array().cast(f"array<{SPAN}>"))).cast(f"array<{SPAN}>")
+    def placed(pair: Column) -> Column:
+        gaps = F.slice(pair["gaps"], F.lit(1), F.size(pair["found"]))
+        ends = running(F.zip_with(gaps, pair["found"], lambda gap, said: F.char_length(gap) + F.char_length(said)), F.lit(0), lambda a, b: a + b)
+        return F.zip_with(pair["found"], ends, lambda said, end: F.struct((end - F.char_length(said)).alias("start"), end.alias("end"), said.alias("said")))
+
+    return F.transform(F.array(*map(parted, patterns, found)), placed).cast(f"array<array<{SPAN}>>")
 
 
 def named(kind: str, spans: Column) -> Column:
