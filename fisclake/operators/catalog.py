@@ -26,8 +26,15 @@ def create_table(spark: SparkSession, name: str, path: str, partition: str = PAR
 
 
 def replace_table(spark: SparkSession, name: str, path: str, partition: str = PARTITION) -> None:
-    """Define the table anew. The old one stays until the new definition has been built and its partitions found."""
+    """Define the table anew. The old one stays until the new definition has been built and its partitions found.
+
+    A run that was cut off between dropping and renaming left only the new definition: it gets the name first, so that there is a table while
+    the definition is built again.
+    """
     building = f"{name}_building"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(building):
+        spark.sql(f"ALTER TABLE {building} RENAME TO {name}")
+        discover_partitions(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {building}")
     try:
         create_table(spark, building, path, partition)

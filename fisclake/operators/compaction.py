@@ -87,14 +87,16 @@ def compact(spark: SparkSession, path: str, key: str = "chave", partition: str =
             inventory: DataFrame | None = None) -> DataFrame:
     """Rewrite the unhealthy partitions of a table in one job, verify them all, then swap each in by renaming.
 
-    Healthy partitions are not read. Returns the plan. Old folders wait outside the table until the new ones are in place; what a failed
+    Healthy partitions are not read. Returns the plan that was carried out. Old folders wait outside the table until the new ones are in place; what a failed
     run left there is put right first.
     """
     replaced = f"{path}_replaced"
     for name in child_folders(spark, replaced):
         recover(spark, f"{path}/{name}", f"{replaced}/{name}")
-    sizes = plan(inventory if inventory is not None else partition_inventory(spark, path, [partition]))
-    planned = sizes.filter("NOT healthy").select(partition, "ideal_files").collect()  # one row per partition
+    found = plan(inventory if inventory is not None else partition_inventory(spark, path, [partition]))
+    rows = found.collect()  # one row per partition; the listing would be read again, and show other files, once they are swapped
+    sizes = spark.createDataFrame(rows, found.schema)
+    planned = [row for row in rows if not row.healthy]
     if planned:
         unhealthy = [row[partition] for row in planned]
         folders = [f"{path}/{partition}={value}" for value in unhealthy]

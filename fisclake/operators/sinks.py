@@ -11,7 +11,7 @@ from fisclake.functions.dates import timestamp, with_parsed_day
 from fisclake.functions.keys import PARTITION
 from fisclake.operators.repair import deduplicate, deduplication_report
 from fisclake.sources.scans import read_table
-from fisclake.sources.storage import existing_partitions, exists, move, remove
+from fisclake.sources.storage import existing_partitions, exists, move, publish_folders, remove
 
 DAY = ("year", "month", "day")
 
@@ -59,29 +59,36 @@ def write_once(df: DataFrame, path: str) -> bool:
 def archive_new_days(df: DataFrame, path: str, stamp: str = "DHPROC") -> None:
     """Append the days the archive lacks, under ``year=/month=/day=``; days it has are left alone.
 
-    Rows whose time is none go to ``<path>_rejected``, once each however often they are delivered.
+    New days are written beside the archive and moved into it whole, one after another: after a failure the archive holds a day completely
+    or not at all, and the next run brings the rest. Rows whose time is none go to ``<path>_rejected``, once each however often they are delivered.
     """
+    spark = df.sparkSession
     rejects = df.filter(timestamp(stamp).isNull())
-    if exists(df.sparkSession, f"{path}_rejected"):
-        rejects = rejects.exceptAll(df.sparkSession.read.schema(df.schema).parquet(f"{path}_rejected"))
+    if exists(spark, f"{path}_rejected"):
+        rejects = rejects.exceptAll(spark.read.schema(df.schema).parquet(f"{path}_rejected"))
     write_partitioned(rejects, f"{path}_rejected", ())
     dated = with_parsed_day(df, stamp)
-    present = existing_partitions(df.sparkSession, path, DAY)
+    present = existing_partitions(spark, path, DAY)
     if present is not None:  # older folders are called month=4, newer ones month=04
         padded = present.select("year", *(F.lpad(name, 2, "0").alias(name) for name in ("month", "day")))
         dated = dated.join(padded, list(DAY), "left_anti")
-    write_partitioned(dated, path, DAY)
+    staged = f"{path}_staged"
+    write_partitioned(dated, staged, DAY, mode="overwrite")
+    publish_folders(spark, staged, path, len(DAY))
 
 
-def hand_over(df: DataFrame, path: str, text_columns: Sequence[str] = TEXT_COLUMNS, rename: dict[str, str] | None = None,
+def hand_over(df: DataFrame, path: str, batch: str, text_columns: Sequence[str] = TEXT_COLUMNS, rename: dict[str, str] | None = None,
               stamp: str = "DHPROC") -> None:
     """Give a family's documents or events to the older day layout: keys as text, one write for all days.
 
-    Rows whose time is none have no place there; they go to ``<path>_rejected``.
+    ``batch`` names what is handed over (a day, a delivery): done once, it adds nothing when run again; see ``streaming.incremental.append_batch``. Rows whose time
+    is none have no place there; they go to ``<path>_rejected``.
     """
+    from fisclake.streaming.incremental import append_batch  # which itself writes by this module
+
     alike = harmonise(df, text_columns, rename)
-    write_partitioned(with_parsed_day(alike, stamp), path, DAY)
-    write_partitioned(alike.filter(timestamp(stamp).isNull()), f"{path}_rejected", ())
+    append_batch(with_parsed_day(alike, stamp), batch, path, f"{path}_handed", DAY)
+    append_batch(alike.filter(timestamp(stamp).isNull()), batch, f"{path}_rejected", f"{path}_handed_rejected", ())
 
 
 def harmonise(df: DataFrame, text_columns: Sequence[str], rename: dict[str, str] | None = None) -> DataFrame:

@@ -78,19 +78,34 @@ FOLDER_LINE = "Verificando diretório:"
 FILES_LINE = r"Quantidade de arquivos: *(\d+)"
 
 
-def log_metrics(log: DataFrame) -> DataFrame:
-    """One row of counts over an audit log (``at``, ``message``) and its outcome."""
+EMPTY_LINE = "A última pasta está VAZIA"
+
+
+def _metrics() -> list[Column]:
     message = F.col("message")
 
     def number(pattern: str) -> Column:
         return F.coalesce(F.sum(F.regexp_extract(message, pattern, 1).try_cast("bigint")), F.lit(0).cast("bigint"))
 
-    metrics = log.agg(
+    return [
         F.count_if(message.rlike(AUDITED_LINE)).alias("audited"),
         F.count_if(message.rlike(ERROR_LINE)).alias("errors"),
         number(MISSING_LINE).alias("missing"),
         F.count_if(message.rlike(REPEATED_LINE)).alias("repeated"),
         F.count_if(message.contains(FOLDER_LINE)).alias("folders"),
         number(FILES_LINE).alias("files"),
-    )
-    return metrics.withColumn("status", outcome(F.col("missing") + F.col("repeated") + F.col("errors")))
+    ]
+
+
+def log_metrics(log: DataFrame) -> DataFrame:
+    """One row of counts over an audit log (``at``, ``message``) and its outcome."""
+    return log.agg(*_metrics()).withColumn("status", outcome(F.col("missing") + F.col("repeated") + F.col("errors")))
+
+
+def section_metrics(log: DataFrame) -> DataFrame:
+    """The same for each section of a log (one per table or folder, whatever order its files and splits are read in), with its first and last time; what
+    stands before any section has the name ``''``."""
+    named = log.withColumn("section", F.coalesce("section", F.lit("")))
+    empty = F.count_if(F.col("message").contains(EMPTY_LINE)).alias("empty")
+    found = named.groupBy("section").agg(*_metrics(), empty, F.min("at").alias("begun"), F.max("at").alias("ended"))
+    return found.withColumn("status", outcome(F.col("missing") + F.col("repeated") + F.col("errors") + F.col("empty")))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs as filesystems
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,9 +60,9 @@ def partition_value(name: str, path: str | Column = "path") -> Column:
     return F.nullif(F.regexp_extract(path, rf"/{name}=([^/]*)/", 1), F.lit(""))
 
 
-def partition_inventory(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+def partition_inventory(spark: SparkSession, path: str, names: Sequence[str], glob: str = "*.parquet") -> DataFrame:
     """Per partition: number of files, bytes, newest modification time."""
-    keyed = files(spark, path).select("*", *(partition_value(name).alias(name) for name in names))
+    keyed = files(spark, path, glob).select("*", *(partition_value(name).alias(name) for name in names))
     return keyed.groupBy(*names).agg(
         F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.max("mtime").alias("mtime")
     )
@@ -81,6 +83,45 @@ def newest_folder(listing: DataFrame, depth: int = 1) -> DataFrame:
     return listing.groupBy(directory.alias("directory")).agg(F.max(folder).alias("newest"))
 
 
+_ENTRY = "directory string, name string, folder boolean, bytes long"
+
+
+def entries(spark: SparkSession, directories: Sequence[str]) -> DataFrame:
+    """What lies directly in each of some directories, folders too, which a listing of files can't see when they are empty.
+
+    One task per directory, by the file systems pyarrow knows; those it doesn't are asked from the driver, once per directory. A directory that
+    isn't there has no entries.
+    """
+    named = spark.createDataFrame([(d,) for d in directories], "directory string")
+    if not directories:
+        return spark.createDataFrame([], _ENTRY)
+    try:
+        filesystems.FileSystem.from_uri(directories[0])
+    except (ValueError, OSError):  # no path with a scheme, or none that pyarrow knows
+        if not directories[0].startswith("/"):
+            return spark.createDataFrame([(d, *entry) for d in directories for entry in _listed(spark, d)], _ENTRY)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for directory in batch.column("directory").to_pylist():
+                filesystem, root = filesystems.FileSystem.from_uri(directory)
+                for info in filesystem.get_file_info(filesystems.FileSelector(root, allow_not_found=True)):
+                    folder = info.type == filesystems.FileType.Directory
+                    rows.append({"directory": directory, "name": info.base_name, "folder": folder, "bytes": 0 if folder else info.size})
+            schema = pa.schema([("directory", pa.string()), ("name", pa.string()), ("folder", pa.bool_()), ("bytes", pa.int64())])
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return named.repartition(len(directories), "directory").mapInArrow(run, _ENTRY)
+
+
+def _listed(spark: SparkSession, directory: str) -> list[tuple[str, bool, int]]:
+    filesystem, hadoop_path = _filesystem(spark, directory)
+    if not filesystem.exists(hadoop_path):
+        return []
+    return [(status.getPath().getName(), status.isDirectory(), status.getLen()) for status in filesystem.listStatus(hadoop_path)]
+
+
 def publish(spark: SparkSession, staged: str, path: str, prefix: str) -> None:
     """Move the finished files below ``staged`` into a table, each under its folder and with ``prefix`` before its name.
 
@@ -98,6 +139,20 @@ def publish(spark: SparkSession, staged: str, path: str, prefix: str) -> None:
     remove(spark, staged)
 
 
+def publish_folders(spark: SparkSession, staged: str, path: str, depth: int) -> None:
+    """Move the folders ``depth`` levels below ``staged`` into a table that lacks them: each is there whole or not at all.
+
+    One that the table has is left there as it is. Lists folders only, level by level.
+    """
+    folders = [""]
+    for _ in range(depth):
+        folders = [f"{folder}/{name}" for folder in folders for name in child_folders(spark, staged + folder) if not name.startswith(("_", "."))]
+    for folder in folders:
+        if not exists(spark, path + folder):
+            move(spark, staged + folder, path + folder)
+    remove(spark, staged)
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """Make an empty folder: a durable sign that something happened."""
     filesystem, hadoop_path = _filesystem(spark, path)

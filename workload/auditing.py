@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 
 from fisclake.functions.dates import timestamp
 from fisclake.operators import audit
-from fisclake.operators.gaps import late_folders, missing_days, missing_hours, missing_recent_days, months_present
+from fisclake.operators.gaps import folder_alerts, late_folders, missing_days, missing_hours, missing_recent_days, months_present
 from fisclake.operators.gates import uniqueness
 from fisclake.operators.parse import documents
 from fisclake.operators.profile import empty_columns, mostly_null, null_profile
 from fisclake.operators.repair import deduplicate, deduplication_report
 from fisclake.plans.audits import audit_status, bronze_silver_audit, item_audit
 from fisclake.registry import AUDITED, CANCELLATIONS, DOCUMENTS, EVENTS, DocumentType
+from fisclake.session import shared_folder
 from fisclake.sources.jdbc import range_bounds
-from fisclake.sources.storage import newest_folder
+from fisclake.sources.storage import mark, newest_folder
 from workload.documents import ORDERS_SQL, bronze, bronze_events, sequence_of, table
 from workload.register import Register
 
@@ -461,6 +462,27 @@ def folder_freshness_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.count_by(folder_freshness(spark, sf_dir), "newest")
 
 
+@query(
+    """WITH n AS (SELECT event_type, max(strftime(ts, '%Y%m%d')) AS newest, count(DISTINCT strftime(ts, '%d')) AS days FROM events
+                  WHERE (event_type <> 'error' OR day(ts) < 20) AND (event_type <> 'signup' OR day(ts) < 30) GROUP BY 1),
+           m AS (SELECT event_type, CASE event_type WHEN 'view' THEN '20240131' WHEN 'signup' THEN '20240130' ELSE newest END AS newest FROM n)
+       SELECT event_type AS directory, newest, newest <> '20240130' AS wrong_date, event_type IN ('view', 'signup') AS empty,
+              event_type NOT IN ('view', 'signup') AS has_files FROM m
+       UNION ALL SELECT 'absent', NULL, true, false, false"""
+)
+def folder_alerts_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Real day folders per type: one type stopped early, one has an empty folder of today, one an empty one of yesterday, one directory is not there."""
+    root = shared_folder(spark, "folders")
+    events = table(spark, sf_dir, "events").filter("(event_type <> 'error' OR day(ts) < 20) AND (event_type <> 'signup' OR day(ts) < 30)")
+    events.withColumn("day", F.date_format("ts", "yyyyMMdd")).repartition("day").write.partitionBy("event_type", "day").parquet(root)
+    for kind, day in (("view", "20240131"), ("signup", "20240130")):
+        mark(spark, f"{root}/event_type={kind}/day={day}")
+    names = ["click", "error", "purchase", "signup", "view", "absent"]
+    found = folder_alerts(spark, [f"{root}/event_type={name}" for name in names], datetime.date(2024, 1, 31))
+    short = F.regexp_extract("directory", "event_type=(.*)$", 1)
+    return found.select(short.alias("directory"), F.right("newest", F.lit(8)).alias("newest"), "wrong_date", "empty", (F.col("files") > 0).alias("has_files"))
+
+
 @query(
     """SELECT CAST(min(o_orderkey) AS BIGINT) AS lower, CAST(max(o_orderkey) AS BIGINT) AS upper, CAST(20 AS BIGINT) AS partitions,
               CAST((max(o_orderkey) - min(o_orderkey)) // 20 AS BIGINT) AS stride FROM orders"""

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fisclake.functions.dates import SOURCE_FORMAT
+from fisclake.functions.dates import SOURCE_FORMAT, with_parsed_day
 from fisclake.operators import catalog, compaction
 from fisclake.operators.audit import missing_rows
 from fisclake.operators.mirror import mirror, verify_mirror
 from fisclake.operators.parse import documents, parse, select_bronze
 from fisclake.operators.sinks import (
+    DAY,
     archive_new_days,
     hand_over,
     harmonise,
@@ -25,13 +26,13 @@ from fisclake.operators.sinks import (
     write_once as write_folder_once,
     write_partitioned,
 )
-from fisclake.plans.audits import log_metrics
+from fisclake.plans.audits import log_metrics, section_metrics
 from fisclake.plans.load import Target, load, load_with_items
 from fisclake.registry import DOCUMENTS, ITEMS
 from fisclake.session import shared_folder
 from fisclake.sources import scans
 from fisclake.sources.auditlog import measured, read_log
-from fisclake.sources.storage import files, partition_inventory
+from fisclake.sources.storage import files, move, partition_inventory
 from workload.documents import ITEMS_SQL, ORDERS_SQL, access_key, bronze, exact_sum, table
 from workload.register import Register
 
@@ -158,6 +159,21 @@ def archive_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_day(spark.read.parquet(path))
 
 
+@query(BY_DAY)
+def archive_after_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that was cut off while it moved days into the archive; the next one brings the others, and each day is there once."""
+    path = shared_folder(spark, "archive")
+    source = event_documents(spark, sf_dir)
+    archive_new_days(source.filter("substring(DHPROC, 1, 2) <= '04'"), path)
+    later = source.filter("substring(DHPROC, 1, 2) > '04'")
+    write_partitioned(with_parsed_day(later, "DHPROC"), f"{path}_staged", DAY)
+    for day in ("05", "06", "07"):
+        move(spark, f"{path}_staged/year=2024/month=01/day={day}", f"{path}/year=2024/month=01/day={day}")
+    for _ in range(2):
+        archive_new_days(source, path)
+    return by_day(spark.read.parquet(path))
+
+
 @query("SELECT strftime(ts, '%Y%m') AS mes, count(*) AS documentos, CAST(2 AS BIGINT) AS arquivos FROM events GROUP BY 1")
 def month_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All day folders of a month into one folder with the least number of files."""
@@ -177,7 +193,7 @@ def month_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def legacy_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys become text, days zero-padded folders. The largest key is the largest as text."""
     path = shared_folder(spark, "legacy")
-    hand_over(event_documents(spark, sf_dir), path)
+    hand_over(event_documents(spark, sf_dir), path, "2024-01")
     schema = T.StructType(
         [T.StructField(name, T.StringType()) for name in ("NSUSVD", "DHPROC", "MODELO", "TPEMIS", "year", "month", "day")]
     )
@@ -187,6 +203,22 @@ def legacy_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, count(*) AS documentos,
+              count(DISTINCT event_id) AS nsus FROM events GROUP BY 1, 2, 3"""
+)
+def handover_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, each handed over twice: nothing is doubled."""
+    path = shared_folder(spark, "handed")
+    source = event_documents(spark, sf_dir)
+    for _ in range(2):
+        for name, part in (("first", source.filter("NSUSVD % 2 = 0")), ("second", source.filter("NSUSVD % 2 = 1"))):
+            hand_over(part, path, name)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in ("NSUSVD", "year", "month", "day")])
+    stored = spark.read.schema(schema).parquet(path)
+    return stored.groupBy("year", "month", "day").agg(F.count("*").alias("documentos"), F.count_distinct("NSUSVD").alias("nsus"))
+
+
 @query("SELECT typeof(CAST(1 AS VARCHAR)) = 'VARCHAR' AS texto, count(*) AS documentos, count(DISTINCT event_id) AS nsus FROM events")
 def type_harmonise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two folders whose keys have different types become one table."""
@@ -325,6 +357,32 @@ def compaction_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_month(scans.read_table(spark, path)).join(healthy, "chave_particao")
 
 
+@query(
+    f"""WITH {ORDERS_SQL} SELECT substr(chave, 3, 4) AS chave_particao, count(DISTINCT o_orderkey % 8) AS files, 1 AS ideal_files,
+        count(DISTINCT o_orderkey % 8) <= 1 AS healthy, count(*) AS documentos FROM orders_x GROUP BY 1"""
+)
+def compaction_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a compaction says it found, beside the rows of the table it left."""
+    path = shared_folder(spark, "scattered")
+    orders = silver_orders(spark, sf_dir)
+    orders.repartitionById(8, F.pmod("o_orderkey", F.lit(8)).cast("int")).write.partitionBy("chave_particao").parquet(path)
+    found = compaction.compact(spark, path).select("chave_particao", "files", "ideal_files", "healthy")
+    return by_month(scans.read_table(spark, path)).join(found, "chave_particao")
+
+
+@query(
+    f"""WITH {ORDERS_SQL} SELECT substr(chave, 3, 4) AS chave_particao, count(DISTINCT o_orderkey % 3) AS files,
+        CAST(sum(length(chave) + 1) AS BIGINT) AS bytes FROM orders_x GROUP BY 1"""
+)
+def inventory_known_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An inventory of text files, whose number and bytes follow from their lines."""
+    path = shared_folder(spark, "sized")
+    orders = silver_orders(spark, sf_dir).select("chave", "chave_particao", F.pmod("o_orderkey", F.lit(3)).alias("third"))
+    for third in range(3):
+        orders.filter(F.col("third") == third).drop("third").repartition("chave_particao").write.mode("append").partitionBy("chave_particao").text(path)
+    return partition_inventory(spark, path, ["chave_particao"], "*.txt").select("chave_particao", "files", "bytes")
+
+
 # --- tables -----------------------------------------------------------------------------------------------------
 
 
@@ -421,6 +479,18 @@ def xml_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(BY_MONTH)
+def replace_cut_off(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replacement that was cut off when the old table was gone and the new one had no name yet."""
+    name = f"silver_{uuid.uuid4().hex[:8]}"
+    path = stored_silver(spark, sf_dir, "table")
+    catalog.create_table(spark, f"{name}_building", path)
+    catalog.replace_table(spark, name, path)
+    if spark.catalog.tableExists(f"{name}_building"):
+        raise ValueError("the new definition is still there")
+    return spark.sql(f"SELECT chave_particao, count(*) AS documentos FROM {name} GROUP BY chave_particao")
+
+
 # --- audit log --------------------------------------------------------------------------------------------------
 
 
@@ -458,3 +528,34 @@ def audit_log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def audit_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_metrics(_log(spark, sf_dir))
+
+
+@query(
+    """WITH e AS (SELECT strftime(ts, '%d') AS dia, event_id, event_type, user_id, date_trunc('second', ts) AS instant,
+                   CASE WHEN event_type = 'click' THEN 'T' || CAST(user_id % 7 AS VARCHAR) END AS named FROM events),
+           s AS (SELECT *, coalesce(last_value(named IGNORE NULLS) OVER (PARTITION BY dia ORDER BY event_id ROWS UNBOUNDED PRECEDING), '') AS section FROM e)
+       SELECT section, count(*) FILTER (event_type = 'click') AS audited, 2 * count(*) FILTER (event_type = 'purchase') AS errors,
+              CAST(coalesce(sum(user_id) FILTER (event_type = 'error'), 0) AS BIGINT) AS missing, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS folders,
+              CAST(coalesce(sum(user_id) FILTER (event_type = 'view'), 0) AS BIGINT) AS files, count(*) FILTER (event_type = 'signup') AS empty,
+              strftime(min(instant), '%Y-%m-%d %H:%M:%S') AS begun, strftime(max(instant), '%Y-%m-%d %H:%M:%S') AS ended,
+              CASE WHEN coalesce(sum(user_id) FILTER (event_type = 'error'), 0) + count(*) FILTER (event_type IN ('purchase', 'signup')) > 0
+                   THEN 'ATENÇÃO' ELSE 'SUCESSO' END AS status
+       FROM s GROUP BY section"""
+)
+def audit_log_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log file per day, in which tables follow each other and errors go over several lines: counts, times and outcome of each table."""
+    path = shared_folder(spark, "log")
+    number = F.col("user_id").cast("string")
+    kinds = {
+        "click": F.concat(F.lit("Processando documento com NSU: T"), (F.col("user_id") % 7).cast("string")),
+        "error": F.concat(F.lit("Total de NSUs não encontrados no prata: "), number),
+        "view": F.concat(F.lit("Quantidade de arquivos: "), number),
+        "signup": F.lit("A última pasta está VAZIA"),
+        "purchase": F.concat(F.lit("ERRO ao ler\n    em "), number, F.lit("\njava.io.IOException: [fim]")),
+    }
+    message = F.coalesce(*(F.when(F.col("event_type") == kind, text) for kind, text in kinds.items()))
+    line = F.concat(F.lit("["), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("] "), message)
+    rows = table(spark, sf_dir, "events").select(F.date_format("ts", "dd").alias("dia"), "event_id", line.alias("value"))
+    rows.repartition("dia").sortWithinPartitions("dia", "event_id").drop("event_id").write.partitionBy("dia").text(path)
+    found = section_metrics(read_log(spark, path))
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("begun", "ended")})

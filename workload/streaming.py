@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fisclake.functions.dates import hour_parts
+from fisclake.operators.replay import rebuild_hours
+from fisclake.operators.sinks import write_partitioned
 from fisclake.registry import DOCUMENTS
 from fisclake.session import shared_folder
 from fisclake.sources import scans
@@ -16,8 +20,10 @@ from fisclake.streaming.incremental import (
     load_documents,
     load_new_keys,
     load_rows,
+    split_late,
     unique_within,
     write_counts,
+    write_counts_of_all,
 )
 from workload.documents import ORDERS_SQL, bronze, table
 from workload.register import Register
@@ -117,3 +123,66 @@ def stream_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         load_new_keys(file_stream(spark, f"{folder}/inbox", events.schema), path, checkpoint, ["event_id"], ["dia"])
     stored = scans.read_table(spark, path, ["dia"])
     return stored.groupBy("dia").agg(F.count("*").alias("documentos"), F.count_distinct("event_id").alias("nsus"))
+
+
+LATE_SQL = """w AS (SELECT *, (day(ts) > 20 AND event_id % 2 = 0) AS early FROM events),
+       d AS (SELECT *, coalesce(NOT early AND ts < (SELECT max(ts) - INTERVAL 2 DAY FROM w WHERE early), false) AS late FROM w)"""
+
+
+def _two_waves(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[DataFrame]:
+    """Half of the newest days comes first, everything else after it; what lies two days behind is late by then."""
+    events = table(spark, sf_dir, "events")
+    early = (F.dayofmonth("ts") > 20) & (F.col("event_id") % 2 == 0)
+    for wave in (early, ~early):
+        events.filter(wave).write.mode("append").parquet(f"{folder}/inbox")
+        inbox = file_stream(spark, f"{folder}/inbox", events.schema).withColumn("at", F.col("ts").cast("timestamp"))
+        split_late(inbox, "at", f"{folder}/on_time", f"{folder}/late", f"{folder}/checkpoint")
+        yield file_stream(spark, f"{folder}/on_time", inbox.schema)
+
+
+@query(
+    f"""WITH {LATE_SQL} SELECT date_trunc('hour', ts) AS hour, count(*) FILTER (NOT late) AS documents, count(*) FILTER (late) AS late,
+        count(*) AS delivered FROM d GROUP BY 1"""
+)
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by hour, and beside them the rows that came too late to be counted: together all that were delivered."""
+    folder = shared_folder(spark, "late_rows")
+    for on_time in _two_waves(spark, sf_dir, folder):
+        write_counts_of_all(hour_counts(on_time, "at"), f"{folder}/table", f"{folder}/counting")
+    hour = F.col("hour").cast("timestamp_ntz").alias("hour")
+    counted = latest_counts(spark, f"{folder}/table").select(hour, "documents", F.lit(0).cast("long").alias("late"))
+    late = spark.read.parquet(f"{folder}/late").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(F.count("*").alias("late"))
+    both = counted.unionByName(late.withColumn("documents", F.lit(0).cast("long"))).groupBy("hour").agg(F.sum("documents").alias("documents"), F.sum("late").alias("late"))
+    return both.withColumn("delivered", F.col("documents") + F.col("late"))
+
+
+@query(
+    f"""WITH {LATE_SQL} SELECT event_type, count(*) FILTER (NOT late) AS documentos, count(*) FILTER (late) AS atrasados FROM d GROUP BY 1"""
+)
+def stream_dedup_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplication within a watermark that loses no row: what is too late for it is filed."""
+    folder = shared_folder(spark, "late_keys")
+    for on_time in _two_waves(spark, sf_dir, folder):
+        load_rows(unique_within(on_time, "event_id", "at").select("event_id", "event_type"), f"{folder}/table", f"{folder}/loading", ["event_type"])
+    stored = spark.read.parquet(f"{folder}/table").groupBy("event_type").agg(F.count_distinct("event_id").alias("documentos"))
+    late = spark.read.parquet(f"{folder}/late").groupBy("event_type").agg(F.count("*").alias("atrasados"))
+    return stored.join(late, "event_type", "full").na.fill(0)
+
+
+@query(
+    """SELECT date_trunc('hour', ts) AS hour, count(*) AS documents, max(event_id) AS maior_nsu, hour(date_trunc('hour', ts)) % 5 = 0 AS rebuilt,
+              CAST(0 AS BIGINT) AS rebuilt_again FROM events GROUP BY 1"""
+)
+def rebuild_missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that lacks every fifth hour: only those are extracted again, and a second run finds nothing left to do."""
+    folder = shared_folder(spark, "rebuilt")
+    path, signs = f"{folder}/table", f"{folder}/signs"
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    loaded = events.filter("hour(ts) % 5 <> 0").withColumns(hour_parts("ts"))
+    write_partitioned(loaded, path, HOURS)
+    window = ("2024-01-01 00:00:00", "2024-01-31 00:00:00")
+    first = rebuild_hours(events, path, signs, "a", *window, "ts").filter("documents > 0").select("hour", F.lit(True).alias("rebuilt"))
+    second = rebuild_hours(events, path, signs, "a", *window, "ts").agg(F.count("*").alias("rebuilt_again"))
+    stored = scans.read_table(spark, path, HOURS).groupBy(F.to_timestamp_ntz(F.concat_ws("", *HOURS), F.lit("yyyyMMddHH")).alias("hour"))
+    counted = stored.agg(F.count("*").alias("documents"), F.max("event_id").alias("maior_nsu"))
+    return counted.join(first, "hour", "left").na.fill(False, ["rebuilt"]).crossJoin(F.broadcast(second))
