@@ -1,5 +1,8 @@
 """The corpus pipeline: toxic documents go, one of each group of near-duplicates stays, contaminated documents go, personal data is
-replaced, and the rest is encoded."""
+replaced, and the rest is encoded.
+
+Of every stage: no documents give no rows; repeated rows and ids are judged row by row; further columns pass through unchanged, whatever their
+names, up to the last stage; very long texts are judged whole. What null and empty texts give is said at each stage."""
 
 from __future__ import annotations
 
@@ -16,27 +19,27 @@ from fisclake.llm.toxicity import drop_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model trained on the labels doesn't reject."""
+    """Documents that the model trained on the labels doesn't reject; null and empty texts have no toxic sentence and stay."""
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id."""
+    """Of each group of near-duplicates the document with the smallest id. Null, empty and blank texts all have fingerprint zero: one of them stays."""
     return keep_one_of_each(docs, shingle=3, radius=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than 5 % of the words lie in passages of the benchmark."""
+    """Documents of which less than 5 % of the words lie in passages of the benchmark; null and empty texts have no words and stay."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"), window=13)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind; ``n_chars`` follows the text."""
+    """All documents, personal data replaced by its kind; ``n_chars`` follows the text. Null texts stay null, with a null ``n_chars``."""
     return redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document, and a digest of what they decode to."""
+    """The ids of each document, and a digest of what they decode to: no ids, and the digest of nothing, for null and empty texts."""
     back = decode(encode(docs.select("doc_id", "text")))
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
