@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from fisclake.functions.keys import PARTITION
 from fisclake.operators.audit import counts_side_by_side
-from fisclake.operators.sinks import ROW_GROUP_BYTES, ROWS_PER_FILE, VerificationError, recover, swap_folders
+from fisclake.operators.sinks import DAY, NO_VALUE, ROW_GROUP_BYTES, ROWS_PER_FILE, VerificationError, recover, swap_folders
 from fisclake.sources.scans import read_table
-from fisclake.sources.storage import child_folders, files, partition_inventory
+from fisclake.sources.storage import child_folders, exists, files, partition_inventory
 
 # Fixed values of the health test: megabytes per file, and how far the number of files may be off.
 TARGET_MB = 160
@@ -19,8 +19,6 @@ MAXIMUM_MB = 256
 TOLERANCE = 0.15
 ARCHIVE_MB = 300
 ARCHIVE_FILES = 2
-#: Folder value of a partition column that is NULL.
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _megabytes(size: str | Column) -> Column:
@@ -126,3 +124,41 @@ def consolidate_month(spark: SparkSession, folders: Sequence[str], target: str)
         listing = one if listing is None else listing.unionByName(one)
     count = listing.agg(archive_files(F.sum("bytes")).alias("files")).first().files
     spark.read.parquet(*folders).repartition(count).write.mode("overwrite").option("compression", "lz4").parquet(target)
+
+
+_JOURNAL = "year string, month string, day string, bytes long, state string"
+
+
+def rewrite_days(spark: SparkSession, path: str, journal: str, most: int | None = None, together: int = 10, keys: Sequence[str] = DAY) -> DataFrame:
+    """Rewrite the days of an archive with full files, each once; returns the journal of all runs.
+
+    ``together`` days are rewritten by one job, in which each file to be has a task; each day is then verified, swapped in by renaming and noted in the
+    ``journal`` with its new size. A run that is cut off, or ends after ``most`` days, is resumed by the next one: days noted with the size they have are
+    left alone, one that has grown since is rewritten again.
+    """
+    replaced = f"{path}_replaced"
+    inventory = partition_inventory(spark, path, list(keys))
+    sizes = {tuple(row[k] for k in keys): row for row in inventory.collect()}  # a row per day
+    for name in child_folders(spark, replaced):
+        recover(spark, f"{path}/{name.replace('+', '/')}", f"{replaced}/{name}")
+    finished = spark.createDataFrame([], _JOURNAL)
+    if exists(spark, journal):
+        finished = spark.read.schema(_JOURNAL).parquet(journal).filter("state = 'done'")
+    current = finished.join(inventory.select(*keys, "bytes"), [*keys, "bytes"], "left_semi")
+    planned = sorted(day_rewrite_plan(inventory, current, keys).collect(), key=lambda row: tuple(row[k] for k in keys))[:most]
+    for begin in range(0, len(planned), together):
+        part = planned[begin : begin + together]
+        folders = ["/".join(f"{k}={row[k]}" for k in keys) for row in part]
+        table = read_table(spark, path, list(keys), folders)
+        whole = F.concat_ws("/", *(F.col(k) for k in keys))
+        targets = spark.createDataFrame([("/".join(row[k] for k in keys), row.target_files) for row in part], "__day string, ideal_files int")
+        dealt = spread(table.withColumn("__day", whole), targets, sum(row.target_files for row in part), "", "__day").drop("__day")
+        staged = f"{path}_staged"
+        dealt.write.mode("overwrite").option("compression", "lz4").option("parquet.block.size", ROW_GROUP_BYTES).partitionBy(*keys).parquet(staged)
+        require_same_partition_rows(table.withColumn("__day", whole), read_table(spark, staged, list(keys)).withColumn("__day", whole), "__day")
+        stamps = {tuple(row[k] for k in keys): row.bytes for row in partition_inventory(spark, staged, list(keys)).collect()}
+        for row, folder in zip(part, folders, strict=True):
+            swap_folders(spark, f"{staged}/{folder}", f"{path}/{folder}", f"{replaced}/{folder.replace('/', '+')}")
+            day = tuple(row[k] for k in keys)
+            spark.createDataFrame([(*day, stamps[day], "done")], _JOURNAL).coalesce(1).write.mode("append").parquet(journal)
+    return spark.read.schema(_JOURNAL).parquet(journal) if sizes else spark.createDataFrame([], _JOURNAL)

@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,7 +90,7 @@ def load_batches(spark: SparkSession, batches: Iterable[Batch]) -> DataFrame:
         else:
             try:
                 load_new_files(spark, batch)
-            except (DuplicateBatchError, VerificationError, PySparkException) as error:
-                outcome, reason = "failed", str(error)[:500]
+            except (DuplicateBatchError, VerificationError, PySparkException, Py4JError, OSError) as error:
+                outcome, reason = "failed", str(error)
         report.append((batch.kind.silver, batch.path, outcome, reason))
     return spark.createDataFrame(report, "table string, path string, outcome string, reason string")

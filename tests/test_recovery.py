@@ -6,8 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from fisclake.operators import catalog, compaction, replay, sinks
+from fisclake.operators import mirror as mirrors
 from fisclake.operators.gaps import folder_alerts
+from fisclake.plans import batches
 from fisclake.plans.audits import section_metrics
+from fisclake.plans.load import Target
+from fisclake.registry import DOCUMENTS
 from fisclake.session import shared_folder
 from fisclake.sources.auditlog import read_log
 from fisclake.sources.storage import entries, exists, mark
@@ -177,3 +181,58 @@ def test_empty_folders_are_seen(spark, folder):
     assert folder_alerts(spark, [], datetime.date(2024, 1, 4)).collect() == []
     assert {(r.name, r.folder) for r in entries(spark, [f"{folder}/a"]).collect()} == {("20240101", True), ("20240103", True)}
     assert not exists(spark, f"{folder}/d")
+
+
+def test_mirror_finds_a_changed_value_and_a_lost_partition(spark, folder):
+    rows = [(n, None if n == 3 else f"x{n}", str(n % 3) if n % 3 else None) for n in range(30)]
+    frame = spark.createDataFrame(rows, "n int, t string, chave_particao string")
+    sinks.write_partitioned(frame, f"{folder}/a")
+    swapped = frame.withColumn("t", F.when(F.col("n") == 4, "x7").when(F.col("n") == 7, "x4").otherwise(F.col("t")))  # equal counts, equal values by column
+    lost = frame.limit(2).withColumn("chave_particao", F.lit("9"))
+    sinks.write_partitioned(swapped.unionByName(lost).repartition(3), f"{folder}/b")
+    found = {r.chave_particao: (r.source_rows, r.target_rows, r.equal) for r in mirrors.compare_mirror(spark, f"{folder}/a", f"{folder}/b").collect()}
+    assert found == {None: (10, 10, True), "1": (10, 10, False), "2": (10, 10, True), "9": (0, 2, False)}
+    assert {tuple(r) for r in mirrors.synchronise(spark, f"{folder}/a", f"{folder}/b").collect()} == {("1", "copied"), ("9", "removed")}
+    assert mirrors.synchronise(spark, f"{folder}/a", f"{folder}/b").collect() == []
+    assert sorted(map(str, spark.read.parquet(f"{folder}/b").select("n", "t").collect())) == sorted(map(str, frame.select("n", "t").collect()))
+    assert {r.action for r in mirrors.synchronise(spark, f"{folder}/a", f"{folder}/c").collect()} == {"copied"}
+
+
+def test_day_rewrite_is_resumed(spark, folder, monkeypatch):
+    """Cut off in the middle of a job's swaps; every day ends up rewritten, and noted once."""
+    path, journal = f"{folder}/days", f"{folder}/journal"
+    rows = [(n, "2024", "01", f"{n % 6 + 1:02d}") for n in range(120)]
+    spark.createDataFrame(rows, "n int, year string, month string, day string").repartition(3).write.partitionBy(*sinks.DAY).parquet(path)
+    real, calls = compaction.swap_folders, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == 3:
+            raise OSError("cut off")
+        real(*args)
+
+    monkeypatch.setattr(compaction, "swap_folders", failing)
+    with pytest.raises(OSError, match="cut off"):
+        compaction.rewrite_days(spark, path, journal, together=4)
+    monkeypatch.undo()
+    for _ in range(2):
+        noted = compaction.rewrite_days(spark, path, journal, together=4).collect()
+    assert sorted(r.day for r in noted) == [f"{d:02d}" for d in range(1, 7)]
+    assert sorted(r.n for r in spark.read.parquet(path).collect()) == list(range(120))
+    spark.createDataFrame([(500,)], "n int").coalesce(1).write.mode("append").parquet(f"{path}/year=2024/month=01/day=02")
+    again = compaction.rewrite_days(spark, path, journal)
+    assert sorted(r.day for r in again.collect()) == ["01", "02", "02", "03", "04", "05", "06"] and spark.read.parquet(path).count() == 121
+
+
+def test_a_batch_that_fails_with_an_os_error_does_not_stop_the_others(spark, folder, monkeypatch):
+    spark.range(1).write.parquet(f"{folder}/inbox")
+    seen = []
+
+    def failing(session, batch):
+        seen.append(batch.path)
+        raise OSError("x" * 900)
+
+    monkeypatch.setattr(batches, "load_new_files", failing)
+    kind = DOCUMENTS["NFe"]
+    report = batches.load_batches(spark, [batches.Batch(kind, f"{folder}/inbox", Target(f"{folder}/t")) for _ in range(2)]).collect()
+    assert len(seen) == 2 and [(r.outcome, len(r.reason)) for r in report] == [("failed", 900)] * 2

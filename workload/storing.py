@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from fisclake.functions.dates import SOURCE_FORMAT, with_parsed_day
 from fisclake.operators import catalog, compaction
 from fisclake.operators.audit import missing_rows
-from fisclake.operators.mirror import mirror, verify_mirror
+from fisclake.operators.mirror import compare_mirror, mirror, synchronise, verify_mirror
 from fisclake.operators.parse import documents, parse, select_bronze
 from fisclake.operators.sinks import (
     DAY,
@@ -292,6 +292,47 @@ def mirror_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_mirror(spark, source, target)
 
 
+@query(
+    f"""WITH {ORDERS_SQL}, m AS (SELECT substr(chave, 3, 4) AS chave_particao, count(*) AS n FROM orders_x GROUP BY 1)
+        SELECT chave_particao, n AS source_rows, n AS target_rows, true AS equal,
+               CASE WHEN chave_particao < '9700' AND chave_particao > '9600' THEN 'copied' END AS action FROM m
+        UNION ALL SELECT '9999', 0, 0, true, 'removed'"""
+)
+def mirror_synchronised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mirror with changed values under equal counts in one year, and a month that the source has lost: only those are put right."""
+    source, target = stored_silver(spark, sf_dir, "source"), shared_folder(spark, "mirror")
+    orders = silver_orders(spark, sf_dir)
+    year = F.col("chave_particao").between("9600", "9700")
+    spoilt = orders.withColumn("o_totalprice", F.when(year, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    lost = orders.limit(7).withColumn("chave_particao", F.lit("9999"))
+    write_partitioned(spoilt.unionByName(lost), target)
+    done = synchronise(spark, source, target)
+    if synchronise(spark, source, target).count():
+        raise ValueError("a second run found differences")
+    after = compare_mirror(spark, source, target).select("chave_particao", "source_rows", "target_rows", "equal")
+    gone = after.join(done, "chave_particao", "full")
+    return gone.na.fill(0, ["source_rows", "target_rows"]).na.fill(True, ["equal"])
+
+
+@query(
+    """SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, count(*) AS documentos, CAST(1 AS BIGINT) AS files,
+              CAST(1 AS BIGINT) AS times, day(ts) <= 10 AS first_run FROM events GROUP BY 1, 2, 3, 7"""
+)
+def day_rewrite_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of many files rewritten: ten in a run that then ends, the others by the next one, none by a third."""
+    path = shared_folder(spark, "fragments")
+    with_parsed_day(event_documents(spark, sf_dir), "DHPROC").repartition(4).write.partitionBy(*DAY).parquet(path)
+    journal = f"{path}_journal"
+    first = {tuple(r[k] for k in DAY) for r in compaction.rewrite_days(spark, path, journal, most=10).collect()}
+    for _ in range(2):
+        noted = compaction.rewrite_days(spark, path, journal)
+    early = spark.createDataFrame(sorted(first), "year string, month string, day string").withColumn("first_run", F.lit(True))
+    times = noted.groupBy(*DAY).agg(F.count("*").alias("times"))
+    sizes = partition_inventory(spark, path, list(DAY)).select(*DAY, "files")
+    found = by_day(scans.read_table(spark, path, list(DAY))).join(sizes, list(DAY)).join(times, list(DAY))
+    return found.join(early, list(DAY), "left").na.fill(False, ["first_run"])
+
+
 # --- inventory and compaction -----------------------------------------------------------------------------------
 
 
