@@ -257,10 +257,10 @@ def _search(classes: DataFrame, queries: DataFrame, index: Index, most: int) ->
     return rows.select(*by, "ids", "vector").groupBy(*by).cogroup(asked.select(*by, "query", "vector").groupBy(*by)).applyInArrow(run, _FOUND)
 
 
-def _scan(classes: DataFrame, queries: DataFrame, blocks: int, most: int) -> DataFrame:
-    """The ``most`` best of each query among all rows, block by block."""
-    rows = classes.withColumn("block", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(blocks)).cast("int"))
-    asked = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+def _scan(classes: DataFrame, queries: DataFrame, blocks: int, groups: int, most: int) -> DataFrame:
+    """The ``most`` best of each query among all rows: each block of rows meets each group of queries in a task of its own."""
+    rows = classes.withColumn("block", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(blocks)).cast("int")).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    asked = queries.withColumn("group", F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
@@ -271,7 +271,7 @@ def _scan(classes: DataFrame, queries: DataFrame, blocks: int, most: int) -> Dat
             best.look(np.arange(begin, min(begin + 256, len(queries))), np.arange(len(rows)))
         return _answer(left, right, best, most)
 
-    by = ["dim", "block"]
+    by = ["dim", "block", "group"]
     return rows.select(*by, "ids", "vector").groupBy(*by).cogroup(asked.select(*by, "query", "vector").groupBy(*by)).applyInArrow(run, _FOUND)
 
 
@@ -314,8 +314,8 @@ def nearest(
         reached = found.select("query", "vec_id").distinct().groupBy("query").agg(F.count("*").alias("n"))
         short = asked.join(reached, "query", "left").filter(F.coalesce("n", F.lit(0)) < F.element_at(reach, F.col("dim"))).select("query", "dim", "vector")
         short = stored(short, "short-queries")
-        if not short.isEmpty():
-            found = found.union(_scan(classes, short, -(-count // ROWS), most))
+        if n_short := short.count():
+            found = found.union(_scan(classes, short, -(-count // ROWS), -(-n_short // QUERIES), most))
     else:
         found = vectors.sparkSession.createDataFrame([], _FOUND)
     order = [F.desc("score"), F.asc("vec_id")]
