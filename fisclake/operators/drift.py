@@ -20,21 +20,39 @@ IGNORED = "signature"
 ELEMENT = "[]"
 
 
+def as_json(schema: Column) -> Column:
+    """The text of a variant's schema as JSON, an array as an object with one key. Its type names were replaced before (``LEAF``)."""
+    arrays = F.regexp_replace(schema, "ARRAY<", f"OBJECT<{ELEMENT}: ")
+    quoted = F.regexp_replace(arrays, "`([^`]+)`: ", '"$1": ')  # names with a prefix
+    names = F.regexp_replace(quoted, r"(<|, )([^`\":<>, ]+): ", '$1"$2": ')
+    return F.translate(F.replace(names, F.lit("OBJECT<"), F.lit("{")), ">", "}")
+
+
+# A type name in a schema text, where it is not the start of an object or array. VARIANT stands where values of different kinds meet.
+LEAF = r"(^|: |<)(?!OBJECT<|ARRAY<)[A-Z_]+(?:\(\d+,\d+\))?(?=[,>]|$)"
+
+
 def _shape(node: Column) -> Column:
     """Structure of one document as JSON, without its values: documents of the same structure become equal.
 
-    Where the elements of one array differ in kind their common structure is not known; then the document is kept with each of its
-    values replaced by null.
+    Values of different kinds in the elements of one array hide its structure. Then all values are made texts, which leaves only elements
+    that differ in structure; where there are such, the document is kept with each of its values replaced by null.
     """
+
+    def structure(schema: Column) -> Column:
+        return as_json(F.regexp_replace(schema, LEAF, "$1null"))
+
+    def valueless(value: str) -> Column:
+        texts = F.regexp_replace(F.to_json(node), r'(?<=[:\[,])"(?:[^"\\]|\\.)*+"(?=[,\]}])', value)
+        return F.regexp_replace(texts, r"(?<=[:\[,])(?:-?[0-9][0-9.eE+-]*+|true|false)(?=[,\]}])", value)
+
     schema = F.schema_of_variant(node)
-    untyped = F.regexp_replace(schema, r"(: |<)(?!OBJECT<|ARRAY<|VARIANT)[A-Z_]+(\(\d+,\d+\))?(?=[,>])", "$1null")
-    arrays = F.regexp_replace(untyped, "ARRAY<", f'OBJECT<{ELEMENT}: ')
-    quoted = F.regexp_replace(arrays, "`([^`]+)`: ", '"$1": ')  # names with a prefix
-    names = F.regexp_replace(quoted, r"(<|, )([^`\":<>, ]+): ", '$1"$2": ')
-    shape = F.translate(F.replace(names, F.lit("OBJECT<"), F.lit("{")), ">", "}")
-    texts = F.regexp_replace(F.to_json(node), r'(?<=[:\[,])"(?:[^"\\]|\\.)*+"(?=[,\]}])', "null")
-    valueless = F.regexp_replace(texts, r"(?<=[:\[,])(?:-?[0-9][0-9.eE+-]*+|true|false)(?=[,\]}])", "null")
-    return F.when(schema.contains("VARIANT"), valueless).otherwise(shape)
+    alike = F.schema_of_variant(F.parse_json(valueless('""')))
+    return (
+        F.when(~schema.contains("VARIANT"), structure(schema))
+        .when(~alike.contains("VARIANT"), structure(alike))
+        .otherwise(valueless("null"))
+    )
 
 
 def _descend(nodes: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fisclake.layouts.tree import leaf_paths
-from fisclake.operators import drift
+from fisclake.operators import drift, structures
 from fisclake.registry import DOCUMENTS, ITEMS, XML
+from fisclake.session import shared_folder
 from workload.documents import ORDERS_SQL, bronze, table
 from workload.register import Register
 
@@ -31,7 +32,19 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.filter("NOT path LIKE 'NFe.infNFe.det.%'")
 
 
-@query()
+# What a document of the generator holds of a layout with items, written down by hand.
+USED = ("protNFe.infProt.chNFe", "protNFe.infProt.cStat", "protNFe.infProt.dhRecbto", "NFe.infNFe._Id", "NFe.infNFe.ide.dhEmi",
+        "NFe.infNFe.ide.serie", "NFe.infNFe.det._nItem", "NFe.infNFe.det.prod.cProd", "NFe.infNFe.det.prod.CFOP",
+        "NFe.infNFe.det.prod.qCom", "NFe.infNFe.det.prod.vUnCom", "NFe.infNFe.det.prod.vProd",
+        "NFe.infNFe.det.imposto.ICMS.ICMS00.CST", "NFe.infNFe.det.imposto.ICMS.ICMS00.vBC", "NFe.infNFe.total.ICMSTot.vNF",
+        "NFe.infNFe.emit.CNPJ", "NFe.infNFe.dest.CNPJ", "NFe.infNFe.dest.enderDest.UF", "NFe.infNFe.pag.detPag.tPag",
+        "NFe.infNFe.pag.detPag.vPag")
+
+
+@query(
+    f"""SELECT 'NFeDet' AS document, path FROM (SELECT unnest({sorted(drift.official_paths(ITEMS["NFe"]))}) AS path)
+        WHERE lower(path) NOT IN {tuple(path.lower() for path in USED)} AND (SELECT count(*) FROM orders WHERE o_orderkey % 5 > 0) > 0"""
+)
 def schema_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of the item layout that no document has."""
     return drift.unused(spark, bronze(spark, sf_dir, "nfe"), ITEMS["NFe"])
@@ -92,3 +105,80 @@ def schema_ddl_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = batch.select(F.explode(F.array(F.from_xml(XML, restored))).alias("parsed"))
     same = F.lit(leaf_paths(restored) == leaf_paths(inferred)).alias("igual")
     return parsed.groupBy(same).agg(F.count("parsed.protNF3e.infProt.chNF3e").alias("documentos"))
+
+
+def sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sketch over all families, with faults in three: a new tag in the items of some NF-e, a text for an amount of some MDF-e, a repeated
+    group in some NF3-e."""
+
+    def changed(family: str, status: str, pattern: str, new: str) -> DataFrame:
+        batch = bronze(spark, sf_dir, family)
+        orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("decimal(38,0)").alias(batch.columns[0]), "o_orderstatus")
+        text = F.when(F.col("o_orderstatus") == status, F.regexp_replace(XML, pattern, new)).otherwise(F.col(XML))
+        return batch.join(orders, batch.columns[0]).withColumn(XML, text).drop("o_orderstatus")
+
+    faults = {
+        "nfe": ("F", "<prod>", "<prod><novo>1</novo>"),
+        "mdfe": ("O", "<vCarga>[^<]*", "<vCarga>isento"),
+        "nf3e": ("P", "(<ide>.*</ide>)", "$1$1"),
+    }
+    families = dict.fromkeys(kind.family for kind in DOCUMENTS.values())
+    parts = []
+    for family in families:
+        batch = changed(family, *faults[family]) if family in faults else bronze(spark, sf_dir, family)
+        parts.append(structures.sketch(batch, [kind for kind in DOCUMENTS.values() if kind.family == family]))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionAll(part)
+    folder = shared_folder(spark, "sketch")
+    whole.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+@query(
+    f"""WITH {ORDERS_SQL}, faults AS (
+          SELECT 'NFeDet' AS document, 'unknown' AS drift, 'NFe.infNFe.det.prod.novo' AS path, count(*) AS documents
+          FROM orders_x WHERE o_orderstatus = 'F' AND o_orderkey % 5 > 0
+          UNION ALL SELECT 'MDFe', 'type', 'MDFe.infMDFe.tot.vCarga', count(*) FROM orders_x
+          UNION ALL SELECT 'NF3e', 'repetition', 'NF3e.infNF3e.ide', count(*) FROM orders_x WHERE o_orderstatus = 'P')
+        SELECT 1 AS asked, * FROM faults UNION ALL SELECT 2, * FROM faults
+        UNION ALL SELECT 1, 'CTeSimp', 'unknown', 'protCTe.infProt.dhRecbto', count(*) FROM orders_x WHERE cte_kind = 'CTeSimp'"""
+)
+def schema_drift_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 13 variants from one parse per family against two versions of the official schemas: three kinds of fault are found in both, the
+    receipt time of simplified CT-e is new to the first version and known to the second."""
+    store = shared_folder(spark, "schemas")
+    for kind in DOCUMENTS.values():
+        layout = structures.layout_schema(kind.layout)
+        if kind.name in ITEMS:  # header and items are one document
+            layout = structures.joined(layout, structures.layout_schema(ITEMS[kind.name].layout))
+        structures.save_schema(spark, store, kind.name, 1, layout)
+        if kind.name == "CTeSimp":
+            receipt = T.StructType.fromDDL("protCTe struct<infProt: struct<dhRecbto: string>>")
+            structures.save_schema(spark, store, kind.name, 2, structures.joined(layout, receipt))
+    found = structures.elements(sketched(spark, sf_dir))
+    reports = [
+        structures.differences(found, structures.official_schemas(spark, store, version), structures.variants(spark))
+        .filter("drift <> 'unused'")
+        .select(F.lit(version).alias("asked"), "document", "drift", "path", "documents")
+        for version in (1, 2)
+    ]
+    return reports[0].unionAll(reports[1])
+
+
+@query(
+    """SELECT run, run < 3 AS parsed, count(*) AS documents
+       FROM orders, (SELECT unnest([1, 2, 3]) AS run) WHERE run > 1 OR o_orderstatus = 'F' GROUP BY run"""
+)
+def schema_sketch_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries and a run without one: each file is parsed once, and the sketch knows all documents delivered so far."""
+    inbox, store = shared_folder(spark, "inbox"), shared_folder(spark, "sketch")
+    batch = bronze(spark, sf_dir, "nf3e").withColumn("serie", F.regexp_extract(XML, "<serie>(.)", 1))
+    reports = []
+    for run, part in enumerate(("serie = 'F'", "serie <> 'F'", None), start=1):
+        if part:
+            batch.filter(part).write.mode("append").parquet(inbox)
+        files = structures.sketch_new_files(spark, store, inbox, [DOCUMENTS["NF3e"]])
+        known = structures.stored_sketch(spark, store).agg(F.coalesce(F.sum("documents"), F.lit(0)).alias("documents"))
+        reports.append(known.select(F.lit(run).alias("run"), F.lit(files > 0).alias("parsed"), "documents"))
+    return reports[0].unionAll(reports[1]).unionAll(reports[2])
