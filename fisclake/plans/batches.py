@@ -23,12 +23,13 @@ _FILES = "batch string, rule string, path string, bytes long, mtime long"
 
 @dataclass(frozen=True)
 class Batch:
-    """One inbox folder of one document type."""
+    """One inbox folder of one document type. Several batches may read the same inbox, each for a table of its own: headers, then items."""
 
     kind: DocumentType
     path: str
     target: Target
     where: str | None = None
+    clean: bool = False
 
 
 def batch_name(batch: Batch, files: Iterable[tuple[str, int, int]]) -> str:
@@ -36,14 +37,23 @@ def batch_name(batch: Batch, files: Iterable[tuple[str, int, int]]) -> str:
     return hashlib.sha256(f"{sorted(files)}|{batch.where or ''}".encode()).hexdigest()[:20]
 
 
-def begun(spark: SparkSession, batch: Batch) -> dict[str, set[tuple[str, int, int]]]:
-    """The files of each batch of this table that is ready or done. What was only staged counts for nothing: none of it is in the table."""
+def begun(spark: SparkSession, batch: Batch, present: set[tuple[str, int, int]]) -> dict[str, set[tuple[str, int, int]]]:
+    """The files of each batch of this table that is ready or done. What was only staged counts for nothing: none of it is in the table.
+
+    Of the batches that are done only the files that are ``present`` reach the driver, not all that were ever loaded.
+    """
     signs = batch.target.signs
     folders = set(child_folders(spark, signs))
+    over = [name.removesuffix("-done") for name in child_folders(spark, f"{signs}_rejected") if name.endswith("-done")]
     noted = [f"{signs}/{name}" for name in folders if name.endswith("-files") and name.replace("-files", "-ready") in folders]
     found: dict[str, set[tuple[str, int, int]]] = {}
     if noted:
-        for row in spark.read.schema(_FILES).parquet(*noted).filter(F.col("rule") == (batch.where or "")).collect():
+        listed = spark.read.schema(_FILES).parquet(*noted).filter(F.col("rule") == (batch.where or ""))
+        here = spark.createDataFrame(sorted(present), "path string, bytes long, mtime long")
+        finished = spark.createDataFrame([(name,) for name in over], "batch string")
+        cut_off = listed.join(finished, "batch", "left_anti")
+        known = listed.join(finished, "batch", "left_semi").join(here, ["path", "bytes", "mtime"], "left_semi")
+        for row in cut_off.unionByName(known).collect():
             found.setdefault(row.batch, set()).add((row.path, row.bytes, row.mtime))
     return found
 
@@ -60,9 +70,9 @@ def load_new_files(spark: SparkSession, batch: Batch) -> None:
 
     def load_files(name: str, files: set[tuple[str, int, int]]) -> None:
         part = inbox if files == present else inbox.filter(read_path().isin([path for path, _, _ in files]))
-        load(part, batch.kind, batch.target, where=batch.where, name=name)
+        load(part, batch.kind, batch.target, where=batch.where, name=name, clean=batch.clean)
 
-    for name, files in begun(spark, batch).items():
+    for name, files in begun(spark, batch, present).items():
         if not exists(spark, f"{signs}_rejected/{name}-done") and files & present:
             if not files <= present:
                 raise VerificationError(f"{batch.path}: a batch was cut off, and some of its files are gone: {sorted(files - present)[:3]}")

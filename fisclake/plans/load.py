@@ -1,4 +1,4 @@
-"""The load of one batch: gate, route, parse, write."""
+"""The load of one batch: gate, clean-up, route, parse, write."""
 
 from __future__ import annotations
 
@@ -6,13 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fisclake.functions.keys import PARTITION, partition_key
+from fisclake.functions.text import clean_xml
 from fisclake.operators.audit import count_by
 from fisclake.operators.gates import require_unique
 from fisclake.operators.parse import accepted, items, rejected
-from fisclake.operators.sinks import write_partitioned
-from fisclake.registry import DocumentType
+from fisclake.operators.sinks import new_items, write_partitioned
+from fisclake.registry import DOCUMENTS, ITEMS, XML, DocumentType
 from fisclake.sources.scans import read_table
 from fisclake.sources.storage import exists
 from fisclake.streaming.incremental import append_batch
@@ -33,12 +35,38 @@ class Target:
         return f"{self.path}_loaded"
 
 
+def cleaned(bronze: DataFrame, kind: DocumentType, xml: str = XML) -> DataFrame:
+    """The same rows with their XML as the source should have delivered it: no comments, no line breaks, nothing around the document.
+
+    A family's documents have several roots; the first that a text holds is taken. A text without any stays as it is, so that it is
+    rejected with what it says.
+    """
+    alike = [other for other in (*DOCUMENTS.values(), *ITEMS.values()) if other.family == kind.family]
+    roots = [kind.root] if kind.is_event else list(dict.fromkeys(other.root for other in alike))
+    return bronze.withColumn(xml, F.coalesce(clean_xml(xml, roots), xml))
+
+
+def new_details(batch: DataFrame, kind: DocumentType, target: Target) -> DataFrame:
+    """Items of a batch that their table lacks by (chave, nItem), looked up in the months the batch belongs to."""
+    details = items(batch, kind).filter("chave IS NOT NULL")
+    folders = touched_folders(batch, target)
+    return new_items(details, read_table(batch.sparkSession, target.path, folders=folders)) if folders else details
+
+
 def write_documents(batch: DataFrame, kind: DocumentType, target: Target, name: str | None = None) -> None:
-    """File every document of a batch: in its table or, if it cannot be, with its text beside it.
+    """File every document of a batch, or its items: in its table or, if it cannot be, with its text beside it.
 
-    A batch with a ``name`` is filed once: signs beside the table tell a second run, or one after a failure, what is done.
+    A batch with a ``name`` is filed once: signs beside the table tell a second run, or one after a failure, what is done. Items are filed
+    once by their key as well, whatever batch brings them again.
     """
-    if name is None:
+    if kind.has_items:
+        details = new_details(batch, kind, target)
+        if name is None:
+            write_partitioned(details, target.path)
+        else:
+            append_batch(details, name, target.path, target.signs)
+            append_batch(rejected(batch, kind), name, target.rejected, f"{target.signs}_rejected", ())
+    elif name is None:
         write_partitioned(accepted(batch, kind), target.path)
         write_partitioned(rejected(batch, kind), target.rejected, ())
     else:
@@ -47,13 +75,15 @@ def write_documents(batch: DataFrame, kind: DocumentType, target: Target, name:
 
 
 def load(bronze: DataFrame, kind: DocumentType, target: Target, gate: Sequence[str] | None = (),
-         where: str | None = None, name: str | None = None) -> DataFrame:
-    """Load one batch of one type and return the documents now in each partition it belongs to.
+         where: str | None = None, name: str | None = None, clean: bool = False) -> DataFrame:
+    """Load one batch of one type and return the documents (or items) now in each partition it belongs to.
 
-    ``gate``: columns that must be unique; None means whole rows, an empty list the sequence number. ``name``: see ``write_documents``.
+    ``gate``: columns that must be unique; None means whole rows, an empty list what the registry says for the type. ``name``: see
+    ``write_documents``. ``clean``: the XML comes as the source has it, see ``cleaned``.
     """
-    require_unique(bronze, [kind.sequence] if gate is not None and not gate else gate)
+    require_unique(bronze, kind.gate_columns if gate is not None and not gate else gate)
     batch = bronze.filter(where) if where else bronze
+    batch = cleaned(batch, kind) if clean else batch
     write_documents(batch, kind, target, name)
     folders = touched_folders(batch, target)
     if not folders:  # all of it was rejected, or there was none

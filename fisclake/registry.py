@@ -21,7 +21,8 @@ SOURCE_SWITCH = 1_000_000_000
 class DocumentType:
     """One kind of document and how to find and read it.
 
-    ``route`` is a SQL predicate over the bronze columns that picks this type out of its family's rows.
+    ``route`` is a SQL predicate over the bronze columns that picks this type out of its family's rows. ``gate`` says what must be unique in a
+    batch: its sequence numbers, its access keys (``key``) or whole rows (``row``).
     """
 
     name: str
@@ -32,6 +33,17 @@ class DocumentType:
     route: str | None = None
     metadata: tuple[str, ...] = HEADER_METADATA
     group: str = ""
+    gate: str = "sequence"
+
+    @property
+    def gate_columns(self) -> list[str] | None:
+        """Columns that must be unique together in a batch; None means whole rows."""
+        return {"sequence": [self.sequence], "key": ["CHAVE"], "row": None}[self.gate]
+
+    @property
+    def has_items(self) -> bool:
+        """Whether this type is the line items of its documents."""
+        return self.layout.item is not None
 
     @property
     def bronze(self) -> str:
@@ -64,8 +76,8 @@ def _freight(name: str, root: str, layout: Layout, route: str) -> DocumentType:
 DOCUMENTS = {
     entry.name: entry
     for entry in (
-        DocumentType("NFe", "nfe", "NSUDF", "nfeProc", goods.NFE, group="infNFe"),
-        DocumentType("NFCe", "nfce", "NSU", "nfeProc", goods.NFCE, group="infNFCe"),
+        DocumentType("NFe", "nfe", "NSUDF", "nfeProc", goods.NFE, group="infNFe", gate="key"),
+        DocumentType("NFCe", "nfce", "NSU", "nfeProc", goods.NFCE, group="infNFCe", gate="key"),
         _freight("CTe", "cteProc", freight.CTE, f"MODELO = 57 AND {XML} RLIKE '<cteProc'"),
         _freight("CTeSimp", "cteSimpProc", freight.CTE_SIMPLIFIED, f"MODELO = 57 AND {XML} RLIKE '<cteSimpProc'"),
         _freight("CTeOS", "cteOSProc", freight.CTE_OS, "MODELO = 67"),
@@ -79,8 +91,8 @@ DOCUMENTS = {
 }
 
 ITEMS = {
-    "NFe": DocumentType("NFeDet", "nfe", "NSUDF", "nfeProc", goods.ITEMS, metadata=ITEM_METADATA, group="det"),
-    "NFCe": DocumentType("NFCeDet", "nfce", "NSU", "nfeProc", goods.ITEMS, metadata=ITEM_METADATA, group="det"),
+    "NFe": DocumentType("NFeDet", "nfe", "NSUDF", "nfeProc", goods.ITEMS, metadata=ITEM_METADATA, group="det", gate="key"),
+    "NFCe": DocumentType("NFCeDet", "nfce", "NSU", "nfeProc", goods.ITEMS, metadata=ITEM_METADATA, group="det", gate="key"),
 }
 
 
@@ -96,15 +108,15 @@ _EVENT_FAMILIES = {
 }
 
 
-def _events(group: str, names: tuple[str, ...]) -> dict[str, DocumentType]:
+def _events(group: str, names: tuple[str, ...], gate: str) -> dict[str, DocumentType]:
     return {
-        name: DocumentType(name, *_EVENT_FAMILIES[name], metadata=EVENT_METADATA, group=group) for name in names
+        name: DocumentType(name, *_EVENT_FAMILIES[name], metadata=EVENT_METADATA, group=group, gate=gate) for name in names
     }
 
 
-CANCELLATIONS = _events("cancelamento", tuple(_EVENT_FAMILIES))
+CANCELLATIONS = _events("cancelamento", tuple(_EVENT_FAMILIES), gate="row")
 # NFC-e has cancellations but no other events.
-EVENTS = _events("evento", tuple(name for name in _EVENT_FAMILIES if name != "NFCe"))
+EVENTS = _events("evento", tuple(name for name in _EVENT_FAMILIES if name != "NFCe"), gate="sequence")
 
 # What the full audit compares: every kind of document, cancellation and event.
 AUDITED = (*DOCUMENTS.values(), *CANCELLATIONS.values(), *EVENTS.values())

@@ -15,6 +15,7 @@ from fisclake.operators.mirror import compare_mirror, mirror, synchronise, verif
 from fisclake.operators.parse import documents, parse, select_bronze
 from fisclake.operators.sinks import (
     DAY,
+    VerificationError,
     archive_new_days,
     hand_over,
     harmonise,
@@ -27,13 +28,14 @@ from fisclake.operators.sinks import (
     write_partitioned,
 )
 from fisclake.plans.audits import log_metrics, section_metrics
+from fisclake.plans.batches import Batch, load_batches
 from fisclake.plans.load import Target, load, load_with_items
-from fisclake.registry import DOCUMENTS, ITEMS
+from fisclake.registry import CANCELLATIONS, DOCUMENTS, ITEMS, XML, DocumentType
 from fisclake.session import shared_folder
 from fisclake.sources import scans
 from fisclake.sources.auditlog import measured, read_log
-from fisclake.sources.storage import files, move, partition_inventory
-from workload.documents import ITEMS_SQL, ORDERS_SQL, access_key, bronze, exact_sum, table
+from fisclake.sources.storage import exists, files, move, partition_inventory
+from workload.documents import ITEMS_SQL, ORDERS_SQL, access_key, bronze, bronze_events, exact_sum, table
 from workload.register import Register
 
 query = Register()
@@ -101,6 +103,76 @@ def document_load_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headers.join(lines)
 
 
+GATED = f"""WITH {ORDERS_SQL} SELECT table_name, outcome, CASE outcome WHEN 'loaded' THEN (SELECT count(*) FROM orders_x) ELSE 0 END AS documentos
+        FROM (SELECT unnest(['good', 'good', 'twice']) AS inbox, unnest(['{{0}}', '{{0}}', '{{0}}_twice']) AS table_name,
+                     unnest(['loaded', 'loaded', 'failed']) AS outcome)"""
+
+
+def _gated(spark: SparkSession, name: str, kind: DocumentType, good: DataFrame, twice: DataFrame) -> DataFrame:
+    """Load one inbox twice and one that the gate of the type refuses, and count what is in the tables."""
+    folder = shared_folder(spark, f"gate-{name}")
+    good.write.parquet(f"{folder}/good")
+    twice.write.parquet(f"{folder}/twice")
+    loads = [("good", name), ("good", name), ("twice", f"{name}_twice")]
+    batches = [Batch(kind, f"{folder}/{inbox}", Target(f"{folder}/{table_name}")) for inbox, table_name in loads]
+    report = load_batches(spark, batches).collect()
+    counts = {
+        table_name: spark.read.parquet(f"{folder}/{table_name}").count() if exists(spark, f"{folder}/{table_name}") else 0 for _, table_name in loads
+    }
+    rows = [(table_name, row.outcome, counts[table_name]) for (_, table_name), row in zip(loads, report, strict=True)]
+    return spark.createDataFrame(rows, "table_name string, outcome string, documentos long")
+
+
+@query(GATED.format("sequence"))
+def load_gate_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NF3-e, as most documents: a sequence number twice in a batch keeps all of it out."""
+    good = bronze(spark, sf_dir, "nf3e")
+    twice = good.withColumn("NSU", F.floor(F.col("NSU") / 2).cast("decimal(38,0)"))
+    return _gated(spark, "sequence", DOCUMENTS["NF3e"], good, twice)
+
+
+@query(GATED.format("key"))
+def load_gate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NFC-e: an access key twice in a batch keeps all of it out, though the sequence numbers differ."""
+    good = bronze(spark, sf_dir, "nfce")
+    again = good.withColumn("NSU", (F.col("NSU") + 10**12).cast("decimal(38,0)"))
+    return _gated(spark, "key", DOCUMENTS["NFCe"], good, good.unionByName(again))
+
+
+@query(GATED.format("row"))
+def load_gate_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cancellations: only whole rows must not repeat; two of one document may well have the same number."""
+    events = bronze_events(spark, sf_dir, "mdfe")
+    same_number = events.withColumn("NSU", F.lit(1).cast("decimal(38,0)"))
+    return _gated(spark, "row", CANCELLATIONS["MDFe"], same_number, events.unionAll(events))
+
+
+@query(
+    f"""WITH {ITEMS_SQL} SELECT (SELECT count(*) FROM orders_x) AS documentos, count(*) AS itens,
+          CAST(sum(CAST(vprod AS DECIMAL(18, 2))) AS DOUBLE) AS valor, CAST(0 AS BIGINT) AS recusados FROM items_x"""
+)
+def load_two_consumers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One inbox of texts as the source has them (comments, line breaks, something around the document), delivered in two parts, loaded for headers and
+    for items, twice after each delivery: each document and item arrives once, the second delivery bringing items of the first again."""
+    folder = shared_folder(spark, "consumers")
+    raw = F.concat(F.lit("<!-- lote -->\n<envelope>"), F.replace(XML, F.lit("<ide>"), F.lit("<!-- <x> -->\r\n<ide>")), F.lit("</envelope>"))
+    batch = bronze(spark, sf_dir, "nfe").withColumn(XML, raw)
+    header, detail = Target(f"{folder}/infNFe"), Target(f"{folder}/det")
+    consumers = [Batch(DOCUMENTS["NFe"], f"{folder}/inbox", header, clean=True), Batch(ITEMS["NFe"], f"{folder}/inbox", detail, clean=True)]
+    again = Batch(ITEMS["NFe"], f"{folder}/again", detail, clean=True)
+    for part in ("NSUDF % 2 = 0", "NSUDF % 2 = 1"):
+        batch.filter(part).write.mode("append").parquet(f"{folder}/inbox")
+        batch.filter(part).filter("NSUDF % 3 = 0").write.mode("append").parquet(f"{folder}/again")
+        for _ in range(2):
+            failed = load_batches(spark, [*consumers, again]).filter("outcome <> 'loaded'").collect()
+            if failed:
+                raise VerificationError(str(failed))
+    headers = spark.read.parquet(header.path).agg(F.count("*").alias("documentos"))
+    lines = spark.read.parquet(detail.path).agg(F.count("*").alias("itens"), exact_sum("vProd").alias("valor"))
+    refused = spark.read.parquet(header.rejected).agg(F.count("*").alias("recusados"))
+    return headers.join(lines).join(refused)
+
+
 @query(
     """SELECT count(*) AS linhas, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS chaves,
               CAST(0 AS BIGINT) AS segunda_carga FROM lineitem"""
