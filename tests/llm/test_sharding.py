@@ -3,7 +3,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from fisclake.llm.queries import table
-from fisclake.llm.sharding import assign_shards, shuffle_key
+from fisclake.llm.sharding import assign_shards, ranked, shuffle_key
 
 
 def check(rows, n_rows, n_shards):
@@ -45,3 +45,24 @@ def test_odd_rows(spark, odd_documents):
     assert [(r["size"], r["text_crc32"]) for r in rows if r["doc_id"] == 2] == [(1, 0)]
     assert assign_shards(odd_documents.limit(0), 4).collect() == []
     assert len(assign_shards(odd_documents.limit(2), 8).collect()) == 2
+
+
+def test_rows_alike_and_sources_of_one_row(spark):
+    """A third of the rows alike in all, and as many sources as rows: neither meets in one bin, and both are dealt out evenly."""
+    alike = spark.range(400).selectExpr("7L AS doc_id", "'t' AS text", "'hot' AS source")
+    single = spark.range(800).selectExpr("id + 100 AS doc_id", "concat('t', id) AS text", "concat('s', id) AS source")
+    rows = assign_shards(alike.unionAll(single), 8, rows_per_bin=50).collect()
+    check(rows, 1200, 8)
+    shares = Counter(r["shard"] for r in rows if r["source"] == "hot")
+    assert sum(shares.values()) == 400 and len({r["doc_id"] for r in rows}) == 801
+    together = assign_shards(alike.unionAll(single), 8).collect()
+    assert sorted(rows) == sorted(together)
+
+
+def test_no_bin_holds_what_many_rows_share(spark):
+    """Sources of one row all have fraction 0.5."""
+    rows = spark.range(2000).selectExpr("'x' AS g", "0.5D AS fraction", "concat('s', id) AS stratum", "1L AS copies")
+    placed = ranked(rows, ["g"], 20, ["fraction", "stratum"])
+    assert sorted(r["position"] for r in placed.collect()) == list(range(2000))
+    bins = rows.repartitionByRange(20, "g", "fraction", "stratum").groupBy(F.spark_partition_id()).count()
+    assert bins.agg(F.max("count")).first()[0] < 400
