@@ -7,10 +7,13 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fisclake.functions.keys import PARTITION
 from fisclake.operators.audit import distinct_keys_except, duplicate_keys, missing_in_silver
 from fisclake.operators.parse import route
+from fisclake.plans.load import Target, touched_folders
 from fisclake.registry import AUDITED, DocumentType
-from fisclake.sources.scans import in_month
+from fisclake.sources.scans import in_month, read_table
+from fisclake.sources.storage import child_folders
 
 
 def item_audit(bronze: DataFrame, header: DataFrame, items: DataFrame, item_key: Sequence[str] = ("chave", "nItem")) -> DataFrame:
@@ -40,13 +43,26 @@ def bronze_silver_audit(pairs: Iterable[tuple[DocumentType, DataFrame, DataFrame
     return result
 
 
+def silver_of(bronze: DataFrame, kind: DocumentType, path: str) -> DataFrame:
+    """The part of a silver table where the documents of ``bronze`` must be; all of it where sequence numbers are compared, which say
+    nothing of the partition, or where the table has no partitions."""
+    spark = bronze.sparkSession
+    by_key = kind.audit_keys[0] != kind.sequence
+    if not by_key or not any(name.startswith(f"{PARTITION}=") for name in child_folders(spark, path)):
+        return spark.read.parquet(path)
+    return read_table(spark, path, folders=touched_folders(bronze, Target(path)))
+
+
 def full_audit(spark: SparkSession, bronze_root: str, silver_root: str, year: int, month: int,
                kinds: Sequence[DocumentType] = AUDITED) -> DataFrame:
-    """The audit of one month over all tables, from the day archive and the silver folders."""
+    """The audit of one month over all tables, from the day archive and the silver folders.
+
+    Of a table compared by access key only the partitions its month's keys belong to are read: a key says where its row lies.
+    """
     pairs = []
     for kind in kinds:
         bronze = in_month(spark.read.parquet(f"{bronze_root}/{kind.bronze}"), year, month)
-        pairs.append((kind, bronze, spark.read.parquet(f"{silver_root}/{kind.silver}")))
+        pairs.append((kind, bronze, silver_of(route(bronze, kind), kind, f"{silver_root}/{kind.silver}")))
     return bronze_silver_audit(pairs)
 
 

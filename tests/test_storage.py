@@ -7,7 +7,7 @@ from fisclake.operators import catalog, compaction, drift, sinks
 from fisclake.operators.audit import reconcile_partitions
 from fisclake.operators.gates import DuplicateBatchError
 from fisclake.operators.mirror import mirror, verify_mirror
-from fisclake.plans.audits import full_audit
+from fisclake.plans.audits import full_audit, silver_of
 from fisclake.plans.batches import Batch, load_batches
 from fisclake.plans.load import Target, load
 from fisclake.registry import AUDITED, CANCELLATIONS, DOCUMENTS, ITEMS, XML
@@ -373,3 +373,20 @@ def test_load_reports_only_the_months_of_the_batch(spark, folder, sf_dir):
     load(batch.filter("substring(CHAVE, 3, 4) = '9701'"), DOCUMENTS["NFCom"], target)
     counts = load(batch.filter("substring(CHAVE, 3, 4) IN ('0003', '9702')"), DOCUMENTS["NFCom"], target)
     assert [row.chave_particao for row in counts.collect()] == ["0003", "9702"]
+
+
+def test_full_audit_reads_the_months_of_its_keys(spark, folder, sf_dir):
+    """Silver is pruned to the partitions of the keys, the one of NULL too; tables compared by sequence number are read whole."""
+    kind = DOCUMENTS["NFCom"]
+    batch = bronze(spark, sf_dir, "nfcom").select("NSU", "CHAVE")
+    filed = batch.select(F.col("CHAVE").alias("chave"), F.col("NSU").cast("string").alias("NSU"), F.substring("CHAVE", 3, 4).alias("chave_particao"))
+    gone = filed.filter("NSU % 7 <> 0").withColumn("chave_particao", F.when(F.col("NSU") % 11 > 0, F.col("chave_particao")))
+    gone.write.partitionBy("chave_particao").parquet(f"{folder}/silver")
+    asked = batch.filter("substring(CHAVE, 3, 4) IN ('9701', '9702')")
+    part = silver_of(asked, kind, f"{folder}/silver")
+    folders = {name.split("chave_particao=")[1].split("/")[0] for name in part.inputFiles()}
+    assert folders == {"9701", "9702", "__HIVE_DEFAULT_PARTITION__"}
+    missing = asked.join(part, asked.CHAVE == part.chave, "left_anti")
+    assert missing.count() == asked.filter("NSU % 7 = 0").count() > 0
+    event = CANCELLATIONS["NFCom"]
+    assert silver_of(asked, event, f"{folder}/silver").count() == gone.count()
