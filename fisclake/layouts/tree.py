@@ -141,10 +141,11 @@ class Layout:
 
     def parse_schema(self) -> T.StructType:
         """All-string schema for ``from_xml``, with a column that catches malformed documents."""
-        root = self.root
-        if self.item is not None:
-            root = _with_group(root, self.exploded, self.item)
-        return T.StructType([*root.struct().fields, T.StructField(CORRUPT, T.StringType())])
+        return T.StructType([*self.whole().struct().fields, T.StructField(CORRUPT, T.StringType())])
+
+    def whole(self) -> Group:
+        """The root with the items in their place."""
+        return self.root if self.item is None else _with_group(self.root, self.exploded, self.item)
 
 
 def _with_group(root: Group, path: tuple[str, ...], leaf: Group) -> Group:
