@@ -1,7 +1,7 @@
 """Secret scan with a trigram inverted index, with DataFrame functions only.
 
-Each rule's regular expression yields a Boolean query over trigrams. Postings (trigram, document) are intersected to candidates, and only
-those are verified by the expression; rules without mandatory trigrams scan everything.
+All trigrams of all texts are indexed once. Each rule's regular expression yields a Boolean query over trigrams, whose postings are intersected to
+candidates, and only those are verified by the expression; rules without mandatory trigrams scan everything. Rules added later ask the same index.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from fisclake.llm.spans import located, occurrences
 Query = frozenset[frozenset[str]] | None
 #: Strings that are followed up side by side while a query is derived.
 _MOST = 64
+#: Characters of a text whose trigrams are taken at a time.
+_PART = 32_768
 
 
 @dataclass(frozen=True)
@@ -135,45 +137,86 @@ def trigram_query(pattern: str) -> Query:
     return _demanded(_parser.parse(pattern))
 
 
-def _row_key(id_column: str) -> Column:
-    return F.xxhash64(id_column)
+@dataclass(frozen=True)
+class TrigramIndex:
+    """``rows`` (number, id, text) and the ``postings`` of every trigram of the lower-cased texts: trigram, ``word`` and ``bits``. Bit ``number % 64`` of
+    word ``number / 64`` stands for a row. Both are stored; postings are sorted by trigram, so that a lookup skips what it doesn't ask for."""
+
+    rows: DataFrame
+    postings: DataFrame
+
+
+def trigram_index(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> TrigramIndex:
+    """Numbers the rows as they lie, so that the 64 of a word are read by one task and their postings merge before the shuffle.
+
+    Null texts are empty; texts of less than three characters have no postings. Rows with the same or no id have numbers of their own.
+    Long texts are cut into parts that overlap by two characters. No rows: no postings.
+    """
+    own = documents.select(F.monotonically_increasing_id().alias("number"), F.col(id_column).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = stored(own, "secret-rows")
+    parts = F.regexp_extract_all(F.lower("text"), F.lit(f"(?s)(?=(.{{1,{_PART + 2}}}+)).{{1,{_PART}}}+"), F.lit(1))
+    each = rows.select("number", F.explode(parts).alias("part")).select("number", F.explode(F.array_distinct(F.regexp_extract_all("part", F.lit("(?s)(?=(.{3}))"), F.lit(1)))).alias("trigram"))
+    bit = F.expr("shiftleft(1L, cast(number & 63 AS int))")
+    postings = each.groupBy("trigram", F.expr("shiftright(number, 6)").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    return TrigramIndex(rows, stored(postings.sortWithinPartitions("trigram", "word"), "secret-postings"))
 
 
-def candidates(documents: DataFrame, rules: Iterable[Rule], id_column: str, text: str) -> DataFrame:
-    """``key`` of documents and the ``kinds`` of the rules whose trigram queries they meet: postings intersected clause by clause."""
+def candidates(index: TrigramIndex, rules: Iterable[Rule]) -> DataFrame:
+    """For each ``word`` with candidates one column per rule that has a trigram query, under its kind: the bits of the rows that meet it.
+
+    A clause intersects the postings of its trigrams, a rule unites its clauses. Words in which a trigram of a clause has no posting drop out.
+    """
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern)) is not None}
     wanted = sorted({t for q in queries.values() for c in q for t in c})
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    having = F.filter(F.array(*map(F.lit, wanted)).cast("array<string>"), lambda t: F.contains(F.col("low"), t))
-    postings = documents.select(_row_key(id_column).alias("key"), lowered.alias("low")).select("key", F.explode(having).alias("trigram"))
     clauses = [
         F.struct(F.lit(t).alias("trigram"), F.lit(kind).alias("kind"), F.lit(n).alias("clause"), F.lit(len(c)).alias("size"))
         for kind, q in queries.items() for n, c in enumerate(sorted(map(sorted, q))) for t in c
     ]
     none = "array<struct<trigram:string,kind:string,clause:int,size:int>>"
-    terms = documents.sparkSession.range(1).select(F.inline(F.array(*clauses).cast(none)))
-    met = postings.join(F.broadcast(terms), "trigram").groupBy("key", "kind", "clause", "size").agg(F.count_distinct("trigram").alias("n"))
-    return met.filter("n = size").groupBy("key").agg(F.collect_set("kind").alias("kinds"))
-
+    terms = index.rows.sparkSession.range(1).select(F.inline(F.array(*clauses).cast(none)))
+    met = index.postings.filter(F.col("trigram").isin(wanted)).join(F.broadcast(terms), "trigram")
+    both = met.groupBy("word", "kind", "clause", "size").agg(F.count("*").alias("n"), F.bit_and("bits").alias("bits")).filter("n = size AND bits <> 0")
+    bits = [F.bit_or(F.when(F.col("kind") == kind, F.col("bits"))).alias(kind) for kind in queries]
+    return both.groupBy("word").agg(F.count("*").alias("clauses"), *bits).drop("clauses")
 
-def find_secrets(documents: DataFrame, id_column: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
-    """Row by row: ``id`` and for each rule, under its kind, the spans it finds: code points, end exclusive, leftmost, not overlapping.
 
-    Null and empty texts have no spans. Documents are looked up in the index by a hash of their id: rows with the same or no id are
-    candidates together, and each is verified by itself. No rows: no rows. Other columns, whatever their names, are not looked at.
-    """
-    found = stored(candidates(documents, rules, id_column, text), "secret-candidates")
-    rows = documents.select(_row_key(id_column).alias("key"), F.col(id_column).alias("id"), F.coalesce(text, F.lit("")).alias("text")).join(found, "key", "left")
+def _verified(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """The spans of each rule in ``rows``: of those with a trigram query only where their bit is set."""
     content = F.col("text")
 
     def asked(rule: Rule) -> Column | None:
-        return F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False)) if trigram_query(rule.pattern) is not None else None
+        set_bit = F.expr(f"shiftright(`{rule.kind}`, cast(number & 63 AS int)) & 1L") == 1
+        return F.coalesce(set_bit, F.lit(False)) if trigram_query(rule.pattern) is not None else None
 
     rows = rows.select("id", "text", *(occurrences(content, r.pattern, asked(r)).alias(f"m_{r.kind}") for r in rules))
     rows = rows.select("id", located(content, [r.pattern for r in rules], [F.col(f"m_{r.kind}") for r in rules]).alias("places"))
     return rows.select("id", *(_kept(F.col("places")[n], r).alias(r.kind) for n, r in enumerate(rules)))
 
 
+def find_secrets(documents: DataFrame, id_column: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
+    """Row by row: ``id`` and for each rule, under its kind, the spans it finds: code points, end exclusive, leftmost, not overlapping.
+
+    Null and empty texts have no spans. Each row is indexed by itself, whatever its id. No rows: no rows. Other columns, whatever their
+    names, are not looked at.
+    """
+    return secrets_in(trigram_index(documents, id_column, text), rules)
+
+
+def secrets_in(index: TrigramIndex, rules: tuple[Rule, ...]) -> DataFrame:
+    """``find_secrets`` over texts that are indexed already. Candidates are joined by word: a few bytes for 64 rows, so they are broadcast for long."""
+    found = stored(candidates(index, rules), "secret-candidates")
+    return _verified(index.rows.withColumn("word", F.expr("shiftright(number, 6)")).join(found, "word", "left"), rules)
+
+
+def rows_with(index: TrigramIndex, rule: Rule) -> DataFrame:
+    """``id`` and spans of the rows in which ``rule`` finds any: for a rule that is thought of later. Only the postings of its trigrams are read, only the
+    texts of candidates verified; a rule without mandatory trigrams verifies all."""
+    rows = index.rows.withColumn("word", F.expr("shiftright(number, 6)"))
+    if trigram_query(rule.pattern) is not None:
+        rows = rows.join(candidates(index, [rule]), "word").filter(F.expr(f"shiftright(`{rule.kind}`, cast(number & 63 AS int)) & 1L = 1"))
+    return _verified(rows, (rule,)).filter(F.size(rule.kind) > 0)
+
+
 def _kept(spans: Column, rule: Rule) -> Column:
     own = spans if rule.keep is None else F.filter(spans, lambda s: rule.keep(s["said"]))
     return F.transform(own, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))

@@ -4,7 +4,8 @@ import numpy as np
 
 import brute
 from fisclake.llm.queries import table
-from fisclake.llm.secret_scan import ADDED, BASE, find_secrets, secrets_digest, trigram_query
+from fisclake.llm import secret_scan
+from fisclake.llm.secret_scan import ADDED, BASE, Rule, find_secrets, rows_with, secrets_digest, secrets_in, trigram_index, trigram_query
 
 TRICKY = [
     "token=secret", "Token = api_key=abcdefgh", "secret:token:abcdefgh", "PASSWORD\"  :  'hunter22' passwd:abc", "token==abc token===abcdef apikey=ABCDEF/.-", "api_key = x", "tok en=abcdef",
@@ -72,3 +73,30 @@ def test_odd_rows(spark, odd_documents):
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = find_secrets(table(spark, sf_dir, "documents"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_index_holds_every_trigram(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "_PART", 7)  # so that texts have several parts
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("abcAB1 \n") + ["é", "漢"], rng.integers(0, 40))) for _ in range(300)] + [None, "", "ab"]
+    frame = spark.createDataFrame([(i % 5, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    index = trigram_index(frame)
+    texts = {r["number"]: r["text"].lower() for r in index.rows.collect()}
+    held = {(r["trigram"], r["word"] * 64 + bit) for r in index.postings.collect() for bit in range(64) if r["bits"] >> bit & 1}
+    assert held == {(text[i : i + 3], n) for n, text in texts.items() for i in range(len(text) - 2)}
+
+
+def test_rule_added_later_reads_its_postings_only(spark):
+    texts = [f"row {n} " + ("ticket=XY-12345 " if n % 7 == 0 else "") + ("ticket=none" if n % 11 == 0 else "") for n in range(500)]
+    index = trigram_index(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+    rule = Rule("ticket", "ticket=XY-[0-9]{5}")
+    later = rows_with(index, rule)
+    found = {r["id"]: [texts[r["id"]][s["start"] : s["end"]] for s in r["ticket"]] for r in later.collect()}
+    assert found == {n: ["ticket=XY-12345"] for n in range(0, 500, 7)}
+    plan = later._jdf.queryExecution().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*In\(trigram", plan), [line for line in plan.splitlines() if "FileScan" in line]
+    candidates = secret_scan.candidates(index, [rule]).selectExpr("sum(bit_count(ticket)) AS n").first()["n"]
+    assert candidates == len(found)  # no text without the rule's trigrams is verified
+    assert {r["id"] for r in rows_with(index, Rule("digits", "[0-9]{5}")).collect()} == set(found)
+    assert {r["id"] for r in secrets_in(index, (rule,)).collect()} == set(range(500))
+    assert rows_with(index, Rule("never", "zzzqqq")).collect() == []
