@@ -12,6 +12,7 @@ from fisclake.functions.keys import PARTITION, partition_key
 from fisclake.functions.text import clean_xml
 from fisclake.operators.audit import count_by
 from fisclake.operators.gates import require_unique
+from fisclake.operators.keytables import KeyTable, add_keys
 from fisclake.operators.parse import accepted, items, rejected
 from fisclake.operators.sinks import new_items, write_partitioned
 from fisclake.registry import DOCUMENTS, ITEMS, XML, DocumentType
@@ -75,11 +76,12 @@ def write_documents(batch: DataFrame, kind: DocumentType, target: Target, name:
 
 
 def load(bronze: DataFrame, kind: DocumentType, target: Target, gate: Sequence[str] | None = (),
-         where: str | None = None, name: str | None = None, clean: bool = False) -> DataFrame:
+         where: str | None = None, name: str | None = None, clean: bool = False, keys: KeyTable | None = None) -> DataFrame:
     """Load one batch of one type and return the documents (or items) now in each partition it belongs to.
 
     ``gate``: columns that must be unique; None means whole rows, an empty list what the registry says for the type. ``name``: see
-    ``write_documents``. ``clean``: the XML comes as the source has it, see ``cleaned``.
+    ``write_documents``. ``clean``: the XML comes as the source has it, see ``cleaned``. ``keys``: the table that holds the keys of what is
+    filed; it is brought up to what the months of the batch hold, so that keys a run didn't get to are filed by the next.
     """
     require_unique(bronze, kind.gate_columns if gate is not None and not gate else gate)
     batch = bronze.filter(where) if where else bronze
@@ -88,7 +90,10 @@ def load(bronze: DataFrame, kind: DocumentType, target: Target, gate: Sequence[s
     folders = touched_folders(batch, target)
     if not folders:  # all of it was rejected, or there was none
         return batch.sparkSession.createDataFrame([], f"{PARTITION} string, documents bigint")
-    return count_by(read_table(batch.sparkSession, target.path, folders=folders), PARTITION, name="documents")
+    filed = read_table(batch.sparkSession, target.path, folders=folders)
+    if keys is not None:
+        add_keys(filed, keys)
+    return count_by(filed, PARTITION, name="documents")
 
 
 def touched_folders(batch: DataFrame, target: Target) -> list[str]:

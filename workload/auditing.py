@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from fisclake.functions.dates import timestamp
 from fisclake.operators import audit
 from fisclake.operators.gaps import folder_alerts, late_folders, missing_days, missing_hours, missing_recent_days, months_present
 from fisclake.operators.gates import uniqueness
+from fisclake.operators.keytables import KeyTable, add_keys, missing_keys
 from fisclake.operators.parse import documents
 from fisclake.operators.profile import empty_columns, mostly_null, null_profile
 from fisclake.operators.repair import deduplicate, deduplication_report
@@ -20,7 +22,7 @@ from fisclake.registry import AUDITED, CANCELLATIONS, DOCUMENTS, EVENTS, Documen
 from fisclake.session import shared_folder
 from fisclake.sources.jdbc import range_bounds
 from fisclake.sources.storage import mark, newest_folder
-from workload.documents import ORDERS_SQL, bronze, bronze_events, sequence_of, table
+from workload.documents import ORDERS_SQL, access_key, bronze, bronze_events, sequence_of, table
 from workload.register import Register
 
 query = Register()
@@ -136,6 +138,22 @@ def missing_in_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing.select("chave", "o_totalprice")
 
 
+@query(
+    """SELECT '53' || strftime(o_orderdate, '%y%m') || lpad(CAST(o_orderkey AS VARCHAR), 38, '0') AS chave, strftime(o_orderdate, '%y%m') AS chave_particao
+       FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"""
+)
+def stored_keys_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from key tables in buckets; the items arrive in two batches, of which the second repeats half of the first."""
+    root, mark = shared_folder(spark, "keys"), uuid.uuid4().hex[:12]
+    listed, filed = (KeyTable(f"{side}_{mark}", f"{root}/{side}", 4) for side in ("bronze_keys", "silver_keys"))
+    orders = table(spark, sf_dir, "orders").withColumn("chave", access_key())
+    lines = table(spark, sf_dir, "lineitem").join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "chave"), "l_orderkey")
+    add_keys(orders, listed)
+    add_keys(lines.filter("l_linenumber <= 2"), filed)
+    add_keys(lines.filter("l_linenumber <> 2"), filed)
+    return missing_keys(spark, listed, filed)
+
+
 @query(
     """SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem a WHERE l_linestatus = 'O' AND NOT EXISTS (
          SELECT 1 FROM lineitem b WHERE b.l_linestatus = 'F' AND b.l_partkey = a.l_partkey AND b.l_suppkey = a.l_suppkey)"""
