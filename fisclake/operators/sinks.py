@@ -179,7 +179,11 @@ def rewrite_deduplicated(spark: SparkSession, path: str, keys: Sequence[str], pa
 
 
 def new_items(df: DataFrame, table: DataFrame | None, keys: Sequence[str] = ("chave", "nItem")) -> DataFrame:
-    """Rows whose key the table does not have yet: loading a batch twice adds nothing."""
+    """Rows whose key the table does not have yet: loading a batch twice adds nothing.
+
+    The keys are looked up where they lie, task by task. Left to itself, Spark takes two of a wide table's hundreds of columns for next to
+    nothing and sends all keys through the driver to every executor.
+    """
     if table is None:
         return df
-    return df.join(table.select(*keys).distinct(), list(keys), "left_anti")
+    return df.join(table.select(*keys).distinct().hint("shuffle_hash"), list(keys), "left_anti")
