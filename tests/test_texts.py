@@ -5,8 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from fisclake.registry import XML
-from workload import documents
+from fisclake.registry import DOCUMENTS, XML
+from workload import documents, storing
 
 ORDERS = [
     (1, 7, "O", 1.005, "1996-01-02"), (14, 7, "P", float("nan"), "1996-01-02"), (3, None, None, None, None), (None, 3, "<&>\"'", -2.5, "1996-01-02"),
@@ -58,3 +58,15 @@ def test_the_writer_is_asked_for_odd_texts_only(orders, family):
     assert "lambdafunction" not in plan
     events = documents.bronze_events(spark, "", family, family == "nfce", orders)
     assert "to_xml" not in events._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_refused_inbox_is_made_of_the_stored_one(spark, sf_dir):
+    read = []
+
+    def twice(good):
+        read.extend(good.inputFiles())
+        return good.unionAll(good)
+
+    found = storing._gated(spark, "key", DOCUMENTS["NFCe"], documents.bronze(spark, sf_dir, "nfce").limit(20), twice).collect()
+    assert [(row.outcome, row.documentos) for row in found] == [("loaded", 20), ("loaded", 20), ("failed", 0)]
+    assert read and all("/good/" in path for path in read)

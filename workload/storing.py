@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,11 +109,11 @@ GATED = f"""WITH {ORDERS_SQL} SELECT table_name, outcome, CASE outcome WHEN 'loa
                      unnest(['loaded', 'loaded', 'failed']) AS outcome)"""
 
 
-def _gated(spark: SparkSession, name: str, kind: DocumentType, good: DataFrame, twice: DataFrame) -> DataFrame:
-    """Load one inbox twice and one that the gate of the type refuses, and count what is in the tables."""
+def _gated(spark: SparkSession, name: str, kind: DocumentType, good: DataFrame, twice: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Load one inbox twice and one that the gate of the type refuses, made of the stored rows of the first, and count what is in the tables."""
     folder = shared_folder(spark, f"gate-{name}")
     good.write.parquet(f"{folder}/good")
-    twice.write.parquet(f"{folder}/twice")
+    twice(spark.read.parquet(f"{folder}/good")).write.parquet(f"{folder}/twice")
     loads = [("good", name), ("good", name), ("twice", f"{name}_twice")]
     batches = [Batch(kind, f"{folder}/{inbox}", Target(f"{folder}/{table_name}")) for inbox, table_name in loads]
     report = load_batches(spark, batches).collect()
@@ -126,17 +127,15 @@ def _gated(spark: SparkSession, name: str, kind: DocumentType, good: DataFrame,
 @query(GATED.format("sequence"))
 def load_gate_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NF3-e, as most documents: a sequence number twice in a batch keeps all of it out."""
-    good = bronze(spark, sf_dir, "nf3e")
-    twice = good.withColumn("NSU", F.floor(F.col("NSU") / 2).cast("decimal(38,0)"))
-    return _gated(spark, "sequence", DOCUMENTS["NF3e"], good, twice)
+    half = F.floor(F.col("NSU") / 2).cast("decimal(38,0)")
+    return _gated(spark, "sequence", DOCUMENTS["NF3e"], bronze(spark, sf_dir, "nf3e"), lambda good: good.withColumn("NSU", half))
 
 
 @query(GATED.format("key"))
 def load_gate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NFC-e: an access key twice in a batch keeps all of it out, though the sequence numbers differ."""
-    good = bronze(spark, sf_dir, "nfce")
-    again = good.withColumn("NSU", (F.col("NSU") + 10**12).cast("decimal(38,0)"))
-    return _gated(spark, "key", DOCUMENTS["NFCe"], good, good.unionByName(again))
+    later = (F.col("NSU") + 10**12).cast("decimal(38,0)")
+    return _gated(spark, "key", DOCUMENTS["NFCe"], bronze(spark, sf_dir, "nfce"), lambda good: good.unionByName(good.withColumn("NSU", later)))
 
 
 @query(GATED.format("row"))
@@ -144,7 +143,7 @@ def load_gate_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cancellations: only whole rows must not repeat; two of one document may well have the same number."""
     events = bronze_events(spark, sf_dir, "mdfe")
     same_number = events.withColumn("NSU", F.lit(1).cast("decimal(38,0)"))
-    return _gated(spark, "row", CANCELLATIONS["MDFe"], same_number, events.unionAll(events))
+    return _gated(spark, "row", CANCELLATIONS["MDFe"], same_number, lambda _: events.unionAll(events))
 
 
 @query(
