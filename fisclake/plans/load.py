@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fisclake.functions.keys import PARTITION, partition_key
@@ -13,7 +13,7 @@ from fisclake.functions.text import clean_xml
 from fisclake.operators.audit import count_by
 from fisclake.operators.gates import require_unique
 from fisclake.operators.keytables import KeyTable, add_keys
-from fisclake.operators.parse import accepted, items, rejected
+from fisclake.operators.parse import Filing, accepted_filing, item_filing, names_in_use, rejected
 from fisclake.operators.sinks import new_items, write_partitioned
 from fisclake.registry import DOCUMENTS, ITEMS, XML, DocumentType
 from fisclake.sources.scans import read_table
@@ -47,11 +47,11 @@ def cleaned(bronze: DataFrame, kind: DocumentType, xml: str = XML) -> DataFrame:
     return bronze.withColumn(xml, F.coalesce(clean_xml(xml, roots), xml))
 
 
-def new_details(batch: DataFrame, kind: DocumentType, target: Target) -> DataFrame:
+def new_details(batch: DataFrame, kind: DocumentType, target: Target) -> Filing:
     """Items of a batch that their table lacks by (chave, nItem), looked up in the months the batch belongs to."""
-    details = items(batch, kind).filter("chave IS NOT NULL")
+    details = item_filing(batch, kind, names_in_use(batch, kind))
     folders = touched_folders(batch, target)
-    return new_items(details, read_table(batch.sparkSession, target.path, folders=folders)) if folders else details
+    return replace(details, rows=new_items(details.rows, read_table(batch.sparkSession, target.path, folders=folders))) if folders else details
 
 
 def write_documents(batch: DataFrame, kind: DocumentType, target: Target, name: str | None = None) -> None:
@@ -63,15 +63,19 @@ def write_documents(batch: DataFrame, kind: DocumentType, target: Target, name:
     if kind.has_items:
         details = new_details(batch, kind, target)
         if name is None:
-            write_partitioned(details, target.path)
+            write_partitioned(details.rows, target.path, columns=details.columns)
         else:
-            append_batch(details, name, target.path, target.signs)
+            append_batch(details.rows, name, target.path, target.signs, columns=details.columns)
             append_batch(rejected(batch, kind), name, target.rejected, f"{target.signs}_rejected", ())
-    elif name is None:
-        write_partitioned(accepted(batch, kind), target.path)
-        write_partitioned(rejected(batch, kind), target.rejected, ())
+        return
+    refused = Observation()
+    headers = accepted_filing(batch, kind, names_in_use(batch, kind), refused)
+    if name is None:
+        write_partitioned(headers.rows, target.path, columns=headers.columns)
+        others = rejected(batch, kind)  # looked for only if there are any
+        write_partitioned(others if refused.get["rows"] else others.filter(F.lit(False)), target.rejected, ())
     else:
-        append_batch(accepted(batch, kind), name, target.path, target.signs)
+        append_batch(headers.rows, name, target.path, target.signs, columns=headers.columns)
         append_batch(rejected(batch, kind), name, target.rejected, f"{target.signs}_rejected", ())
 
 
@@ -117,8 +121,8 @@ def load_with_items(bronze: DataFrame, header: DocumentType, detail: DocumentTyp
     """
     require_unique(bronze, gate)
     write_documents(bronze, header, header_target, name)
-    details = items(bronze, detail).filter("chave IS NOT NULL")
+    details = item_filing(bronze, detail, names_in_use(bronze, detail))
     if name is None:
-        write_partitioned(details, item_target.path)
+        write_partitioned(details.rows, item_target.path, columns=details.columns)
     else:
-        append_batch(details, name, item_target.path, item_target.signs)
+        append_batch(details.rows, name, item_target.path, item_target.signs, columns=details.columns)
