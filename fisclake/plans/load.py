@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -13,11 +14,11 @@ from fisclake.functions.text import clean_xml
 from fisclake.operators.audit import count_by
 from fisclake.operators.gates import require_unique
 from fisclake.operators.keytables import KeyTable, add_keys
-from fisclake.operators.parse import Filing, accepted_filing, item_filing, names_in_use, rejected
+from fisclake.operators.parse import Filing, accepted_filing, item_filing, names_in_use, read_once, rejected
 from fisclake.operators.sinks import new_items, write_partitioned
 from fisclake.registry import DOCUMENTS, ITEMS, XML, DocumentType
 from fisclake.sources.scans import read_table
-from fisclake.sources.storage import exists
+from fisclake.sources.storage import exists, remove
 from fisclake.streaming.incremental import append_batch
 
 
@@ -116,13 +117,23 @@ def load_with_items(bronze: DataFrame, header: DocumentType, detail: DocumentTyp
     """Load headers and items of one batch, which passes the gate once. With a ``name`` each of the three writes happens once, however
     often the batch is run.
 
-    Each table parses only its own groups and skips the others. Keeping one common parse on disk between the two writes
-    was slower: the parsed struct is far larger than the text, and both have to be read again.
+    Without a name the documents are parsed once for all three, by their short layout, and stored beside the table until they are filed: few
+    columns, and the text only of those that need it again.
     """
     require_unique(bronze, gate)
-    write_documents(bronze, header, header_target, name)
-    details = item_filing(bronze, detail, names_in_use(bronze, detail))
-    if name is None:
-        write_partitioned(details.rows, item_target.path, columns=details.columns)
-    else:
+    names = names_in_use(bronze, header)
+    if name is not None:
+        write_documents(bronze, header, header_target, name)
+        details = item_filing(bronze, detail, names)
         append_batch(details.rows, name, item_target.path, item_target.signs, columns=details.columns)
+        return
+    spark = bronze.sparkSession
+    folder = f"{header_target.path}_read-{uuid.uuid4().hex[:12]}"
+    try:
+        read_once(bronze, header, detail, names).write.option("compression", "lz4").parquet(folder)
+        parsed = spark.read.parquet(folder)
+        for filing, target in ((accepted_filing(parsed, header, names), header_target), (item_filing(parsed, detail, names), item_target)):
+            write_partitioned(filing.rows, target.path, columns=filing.columns)
+        write_partitioned(rejected(parsed, header), header_target.rejected, ())
+    finally:
+        remove(spark, folder)

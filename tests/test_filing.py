@@ -52,8 +52,12 @@ def test_every_text_gives_the_same_rows(bronze, names):
         (DOCUMENTS["NFe"], parse.accepted_filing, parse.accepted(bronze, DOCUMENTS["NFe"])),
         (ITEMS["NFe"], parse.item_filing, parse.items(bronze, ITEMS["NFe"]).filter("chave IS NOT NULL")),
     ):
-        found = filing(bronze, kind, parse.names_in_use(bronze, kind) if names is None else names)
-        alike(found.rows.selectExpr(*found.columns), expected)
+        used = parse.names_in_use(bronze, kind) if names is None else names
+        once = parse.read_once(bronze, DOCUMENTS["NFe"], ITEMS["NFe"], used)
+        for batch in (bronze, once):
+            found = filing(batch, kind, used)
+            alike(found.rows.selectExpr(*found.columns), expected)
+    alike(parse.rejected(once, DOCUMENTS["NFe"]), parse.rejected(bronze, DOCUMENTS["NFe"]))
 
 
 def test_names_are_those_of_a_hundredth_of_the_texts(spark):
