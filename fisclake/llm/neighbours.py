@@ -17,6 +17,10 @@ from fisclake.llm.shared import stored
 ROWS, QUERIES = 16_384, 16_384
 #: Vectors and queries of the sample that the index is fitted on.
 SAMPLE, SAMPLE_QUERIES = 8192, 256
+#: Numbers in one temporary array of a task: scores, cells visited, products of pairs. What a task holds doesn't grow with the cells.
+AT_ONCE = 1 << 20
+#: Rows by which a query that has found nothing yet gets its first bound, and rows of a batch that goes back to Spark.
+FIRST_ROWS, BATCH = 4096, 10_000
 
 
 @dataclass(frozen=True)
@@ -87,9 +91,16 @@ class Index:
 
     def visited(self, queries: np.ndarray, table: int) -> np.ndarray:
         """Keys of the cells that each query visits."""
-        cell, inside = self.cells(self.directions(queries), table)
-        order = np.argsort(self.ranks(inside), axis=1)[:, : self.probes]
-        return self.key(cell[:, None, :] + self.steps()[order])
+        keys, size = np.zeros((len(queries), self.probes), np.uint64), self.block()
+        for begin in range(0, len(queries), size):
+            cell, inside = self.cells(self.directions(queries[begin : begin + size]), table)
+            order = np.argsort(self.ranks(inside), axis=1)[:, : self.probes]
+            keys[begin : begin + size] = self.key(cell[:, None, :] + self.steps()[order])
+        return keys
+
+    def block(self) -> int:
+        """Queries whose steps are worked out at a time."""
+        return max(1, AT_ONCE // (self.k * 3**self.k))
 
 
 def normal(x: np.ndarray) -> np.ndarray:
@@ -143,13 +154,13 @@ def usable(vector: Column) -> Column:
 
 
 class Best:
-    """The ``most`` best rows of each query so far, and what ties with the last.
+    """The ``most`` best rows of each query so far; of rows that tie, those with the smallest ``ids``.
 
     Matrix products only preselect: their last bits depend on the shape. The scores given back are summed in one order everywhere.
     """
 
-    def __init__(self, queries: np.ndarray, rows: np.ndarray, most: int) -> None:
-        self.queries, self.rows, self.most = queries, rows, most
+    def __init__(self, queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, most: int) -> None:
+        self.queries, self.rows, self.ids, self.most = queries, rows, ids, most
         self.margin = 1e-12 * np.sqrt((queries**2).sum(axis=1)).max() * np.sqrt((rows**2).sum(axis=1)).max()
         self.least = np.full(len(queries), -np.inf)
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -157,28 +168,49 @@ class Best:
 
     def look(self, queries: np.ndarray, rows: np.ndarray) -> None:
         """Compares some queries with some rows, both by number; no pair may come twice."""
-        scores = self.queries[queries] @ self.rows[rows].T
-        q, r = np.nonzero(scores >= self.least[queries][:, None] - self.margin)
-        self.parts.append((queries[q], rows[r], scores[q, r]))
-        self.held += len(q)
-        if self.held > 4 * self.most * len(self.queries) + 500_000:
-            self.keep_best()
+        right = self.rows[rows].T
+        size = max(1, AT_ONCE // max(1, len(rows)))
+        for begin in range(0, len(queries), size):
+            own = queries[begin : begin + size]
+            scores = self.queries[own] @ right
+            first = scores[:, : max(FIRST_ROWS, self.most)]
+            if first.shape[1] >= self.most and np.isinf(self.least[own]).any():
+                bound = np.partition(first, first.shape[1] - self.most, axis=1)[:, first.shape[1] - self.most]
+                self.least[own] = np.maximum(self.least[own], bound - self.margin)  # the products' bound, not the sums'
+            q, r = np.nonzero(scores >= self.least[own][:, None] - self.margin)
+            self.parts.append((own[q], rows[r], scores[q, r]))
+            self.held += len(q)
+            if self.held > self.most * len(self.queries) + AT_ONCE:
+                self.keep_best()
+
+    def exact(self, q: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """Scores of pairs, each summed in the same order."""
+        found, size = np.zeros(len(q)), max(1, AT_ONCE // self.rows.shape[1])
+        for begin in range(0, len(q), size):
+            pair = slice(begin, begin + size)
+            found[pair] = (self.queries[q[pair]] * self.rows[r[pair]]).sum(axis=1)
+        return found
 
     def keep_best(self) -> None:
         if not self.parts:
             self.parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         q, r, score = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        self.parts = []
         order = np.lexsort((-score, q))
         q, r, score = q[order], r[order], score[order]
         last = np.flatnonzero(np.arange(len(q)) - np.searchsorted(q, q) == self.most - 1)
-        self.least[q[last]] = score[last]
-        kept = score >= self.least[q] - self.margin
+        self.least[q[last]] = np.maximum(self.least[q[last]], score[last] - self.margin)
+        near = score >= self.least[q] - self.margin
+        q, r = q[near], r[near]
+        score = self.exact(q, r)
+        order = np.lexsort((self.ids[r], -score, q))
+        q, r, score = q[order], r[order], score[order]
+        kept = np.arange(len(q)) - np.searchsorted(q, q) < self.most
         self.parts, self.held = [(q[kept], r[kept], score[kept])], int(kept.sum())
 
     def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         self.keep_best()
-        q, r, _ = self.parts[0]
-        return q, r, (self.queries[q] * self.rows[r]).sum(axis=1)
+        return self.parts[0]
 
 
 _FOUND = "query long, vec_id long, score double"
@@ -186,18 +218,30 @@ _FOUND = "query long, vec_id long, score double"
 
 def _answer(left: pa.Table, right: pa.Table, best: Best, most: int) -> pa.Table:
     """The ``most`` best ids of each query; ``left`` are the rows, each with the ids it stands for."""
-    q, r, score = best.result()
+    whole = best.result()
     ids = left["ids"].combine_chunks()
-    offsets = np.asarray(ids.offsets)
-    size = np.diff(offsets)[r]
-    flat = np.repeat(offsets[r] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    found = pa.table(
-        {"query": np.asarray(right["query"])[np.repeat(q, size)], "vec_id": np.asarray(ids.values)[flat] if len(flat) else np.zeros(0, np.int64), "score": np.repeat(score, size)}
-    )
-    found = found.sort_by([("query", "ascending"), ("score", "descending"), ("vec_id", "ascending")])
-    query = np.asarray(found["query"])
-    nth = np.arange(len(query)) - np.searchsorted(query, query)
-    return found.filter(pa.array(nth < most))
+    offsets, values, asked = np.asarray(ids.offsets), np.asarray(ids.values), np.asarray(right["query"])
+    step = max(1, AT_ONCE // most**2)
+    parts = []
+    for begin in range(0, len(asked), step):  # a row may stand for as many ids as are wanted
+        part = slice(*np.searchsorted(whole[0], (begin, begin + step)))
+        q, r, score = (x[part] for x in whole)
+        size = np.diff(offsets)[r]
+        flat = np.repeat(offsets[r] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        found = pa.table(
+            {"query": asked[np.repeat(q, size)], "vec_id": values[flat] if len(flat) else np.zeros(0, np.int64), "score": np.repeat(score, size)}
+        )
+        found = found.sort_by([("query", "ascending"), ("score", "descending"), ("vec_id", "ascending")])
+        query = np.asarray(found["query"])
+        nth = np.arange(len(query)) - np.searchsorted(query, query)
+        parts.append(found.filter(pa.array(nth < most)))
+    return pa.concat_tables(parts)
+
+
+def _first_ids(left: pa.Table) -> np.ndarray:
+    """The smallest id that each row stands for."""
+    ids = left["ids"].combine_chunks()
+    return np.asarray(ids.values)[np.asarray(ids.offsets)[:-1]]
 
 
 def _search(classes: DataFrame, queries: DataFrame, index: Index, most: int) -> DataFrame:
@@ -217,10 +261,11 @@ def _search(classes: DataFrame, queries: DataFrame, index: Index, most: int) ->
                             row, segment = np.nonzero(new)[0], segments[new]
                         else:
                             row, segment = np.arange(len(vectors)), index.segment(index.key(index.cells(index.lifted(vectors), t)[0]))
-                        part = rows.take(pa.array(row))
-                        yield pa.RecordBatch.from_arrays(
-                            [*(part.column(c) for c in columns), pa.array(np.full(len(row), t, np.int32)), pa.array(segment.astype(np.int32))], [*columns, "tab", "segment"]
-                        )
+                        for begin in range(0, len(row), BATCH):  # a query goes to many segments
+                            part, where = rows.take(pa.array(row[begin : begin + BATCH])), segment[begin : begin + BATCH].astype(np.int32)
+                            yield pa.RecordBatch.from_arrays(
+                                [*(part.column(c) for c in columns), pa.array(np.full(len(where), t, np.int32)), pa.array(where)], [*columns, "tab", "segment"]
+                            )
 
         return run
 
@@ -243,14 +288,16 @@ def _search(classes: DataFrame, queries: DataFrame, index: Index, most: int) ->
         own = index.key(index.cells(index.lifted(rows), t)[0])
         order = np.argsort(own, kind="stable")
         keys, first = np.unique(own[order], return_index=True)
-        visited = index.visited(queries, t)
-        cell = np.searchsorted(keys, visited)
-        there = keys[np.minimum(cell, len(keys) - 1)] == visited
-        pairs = np.unique(cell[there] * len(queries) + np.nonzero(there)[0])  # a cell is visited once, whatever keys agree
-        best = Best(queries, rows, most)
-        for part in np.split(pairs, np.flatnonzero(np.diff(pairs // len(queries))) + 1) if len(pairs) else ():
-            c = int(part[0] // len(queries))
-            best.look(part % len(queries), order[first[c] : first[c + 1] if c + 1 < len(keys) else None])
+        best = Best(queries, rows, _first_ids(left), most)
+        step = max(1, AT_ONCE // index.probes)
+        for begin in range(0, len(queries), step):
+            visited = index.visited(queries[begin : begin + step], t)
+            cell = np.searchsorted(keys, visited)
+            there = keys[np.minimum(cell, len(keys) - 1)] == visited
+            pairs = np.unique(cell[there] * len(visited) + np.nonzero(there)[0])  # a cell is visited once, whatever keys agree
+            for part in np.split(pairs, np.flatnonzero(np.diff(pairs // len(visited))) + 1) if len(pairs) else ():
+                c = int(part[0] // len(visited))
+                best.look(begin + part % len(visited), order[first[c] : first[c + 1] if c + 1 < len(keys) else None])
         return _answer(left, right, best, most)
 
     by = [*cell, "part", "group"]
@@ -266,9 +313,8 @@ def _scan(classes: DataFrame, queries: DataFrame, blocks: int, groups: int, most
         if not len(left) or not len(right):
             return pa.table({"query": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         queries, rows = matrix(right["vector"]), matrix(left["vector"])
-        best = Best(queries, rows, most)
-        for begin in range(0, len(queries), 256):
-            best.look(np.arange(begin, min(begin + 256, len(queries))), np.arange(len(rows)))
+        best = Best(queries, rows, _first_ids(left), most)
+        best.look(np.arange(len(queries)), np.arange(len(rows)))
         return _answer(left, right, best, most)
 
     by = ["dim", "block", "group"]

@@ -1,9 +1,10 @@
 import inspect
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from fisclake.llm.neighbours import fit, nearest
+from fisclake.llm.neighbours import Best, Index, fit, nearest
 from fisclake.llm.queries import QUERIES, table
 
 
@@ -79,3 +80,48 @@ def test_few_vectors_in_many_copies(spark):
 
 def test_recall_wanted_of_the_sample():
     assert {inspect.signature(f).parameters["wanted"].default for f in (fit, nearest)} == {0.97}
+
+
+def held_by(compare):
+    """Most bytes that arrays took meanwhile, and the result."""
+    tracemalloc.start()
+    try:
+        result = compare()
+        return tracemalloc.get_traced_memory()[1], result
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_cell_that_holds_everything_is_compared_in_parts():
+    rng = np.random.default_rng(3)
+    queries, rows = rng.standard_normal((4096, 8)), rng.standard_normal((8192, 8))
+    rows[4000:] = rows[:4192]  # every score twice
+    ids = rng.permutation(8192)
+
+    def compare():
+        best = Best(queries, rows, ids, 5)
+        best.look(np.arange(4096), np.arange(4000))
+        best.look(np.arange(4096), np.arange(4000, 8192))
+        return best.result()
+
+    most, (q, r, score) = held_by(compare)
+    assert most < 150e6  # a score each would be 268 MB
+    exact = np.array([(query * rows).sum(axis=1) for query in queries[:50]])
+    for n in range(50):
+        assert r[q == n].tolist() == np.lexsort((ids, -exact[n]))[:5].tolist()
+        assert score[q == n].tolist() == exact[n][r[q == n]].tolist()
+    assert np.bincount(q).tolist() == [5] * 4096
+
+
+def test_rows_that_all_tie_are_not_all_held():
+    most, (_, r, _) = held_by(lambda: (best := Best(np.ones((2048, 4)), np.ones((4096, 4)), np.arange(4096)[::-1], 3), best.look(np.arange(2048), np.arange(4096)), best.result())[2])
+    assert most < 300e6
+    assert r.reshape(2048, 3).tolist() == [[4095, 4094, 4093]] * 2048
+
+
+def test_cells_are_visited_in_blocks():
+    index = Index(5, 1.0, 1, 243, 1.0, {8: 1.0})
+    queries = np.random.default_rng(4).standard_normal((8192, 8))
+    most, keys = held_by(lambda: index.visited(queries, 0))
+    assert most < 80e6 and keys.shape == (8192, 243)
+    assert (keys[5000:5003] == index.visited(queries[5000:5003], 0)).all()
