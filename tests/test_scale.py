@@ -88,3 +88,27 @@ def test_audit_input_is_joined_once(spark, sf_dir):
         for df in (batch, silver):
             plan = df._jdf.queryExecution().optimizedPlan().toString()
             assert "Join" not in plan and "Repartition" not in plan
+
+
+def test_skeletons_are_counted_by_hash(spark):
+    """With a text beside the count Spark would sort every skeleton."""
+    df = spark.createDataFrame([(text, name) for text in LIKE for name in "ab"], f"{XML} string, f string")
+    found = structures.sketch(df, [DOCUMENTS["NF3e"]], F.col("f"))
+    row = found.first()
+    assert (row.documents, row.first_file, row.last_file) == (2 * len(LIKE), "a", "b")
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.rindex("HashAggregate(") > plan.rindex("SortAggregate(")  # the lowest one
+
+
+def test_a_status_is_joined_to_orders_and_not_to_their_texts(spark, sf_dir, tmp_path):
+    few = documents.table(spark, sf_dir, "orders").limit(20)
+    odd = few.limit(3).union(few.limit(1).withColumn("o_orderstatus", F.lit("X"))).union(few.limit(2).withColumn("o_orderkey", F.lit(None).cast("long")))
+    few.union(odd.select(few.columns)).write.parquet(str(tmp_path / "orders.parquet"))
+    orders = documents.orders_with_status(spark, str(tmp_path))
+    batch = documents.bronze(spark, str(tmp_path), "mdfe", orders=orders)
+    plain = documents.bronze(spark, str(tmp_path), "mdfe")
+    status = documents.table(spark, str(tmp_path), "orders").select(F.col("o_orderkey").cast("decimal(38,0)").alias("NSU"), F.col("o_orderstatus").alias("status"))
+    former = plain.join(status, "NSU").select(*batch.columns)
+    assert batch.exceptAll(former).count() == former.exceptAll(batch).count() == 0
+    plan = batch._jdf.queryExecution().optimizedPlan().toString()
+    assert "mdfeProc" in plan[: plan.index("Join")] and "mdfeProc" not in plan[plan.index("Join"):]  # the text is made above
