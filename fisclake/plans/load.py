@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -48,9 +49,9 @@ def cleaned(bronze: DataFrame, kind: DocumentType, xml: str = XML) -> DataFrame:
     return bronze.withColumn(xml, F.coalesce(clean_xml(xml, roots), xml))
 
 
-def new_details(batch: DataFrame, kind: DocumentType, target: Target) -> Filing:
+def new_details(batch: DataFrame, kind: DocumentType, target: Target, refused: Observation | None = None) -> Filing:
     """Items of a batch that their table lacks by (chave, nItem), looked up in the months the batch belongs to."""
-    details = item_filing(batch, kind, names_in_use(batch, kind))
+    details = item_filing(batch, kind, names_in_use(batch, kind), refused)
     folders = touched_folders(batch, target)
     return replace(details, rows=new_items(details.rows, read_table(batch.sparkSession, target.path, folders=folders))) if folders else details
 
@@ -61,23 +62,35 @@ def write_documents(batch: DataFrame, kind: DocumentType, target: Target, name:
     A batch with a ``name`` is filed once: signs beside the table tell a second run, or one after a failure, what is done. Items are filed
     once by their key as well, whatever batch brings them again.
     """
+    refused = Observation()
     if kind.has_items:
-        details = new_details(batch, kind, target)
+        details = new_details(batch, kind, target, refused if name is not None else None)
         if name is None:
             write_partitioned(details.rows, target.path, columns=details.columns)
         else:
-            append_batch(details.rows, name, target.path, target.signs, columns=details.columns)
-            append_batch(rejected(batch, kind), name, target.rejected, f"{target.signs}_rejected", ())
+            computed = append_batch(details.rows, name, target.path, target.signs, columns=details.columns)
+            append_batch(refusals(batch, kind, refused if computed else None), name, target.rejected, f"{target.signs}_rejected", ())
         return
-    refused = Observation()
     headers = accepted_filing(batch, kind, names_in_use(batch, kind), refused)
     if name is None:
         write_partitioned(headers.rows, target.path, columns=headers.columns)
-        others = rejected(batch, kind)  # looked for only if there are any
-        write_partitioned(others if refused.get["rows"] else others.filter(F.lit(False)), target.rejected, ())
+        write_partitioned(refusals(batch, kind, refused), target.rejected, ())
     else:
-        append_batch(headers.rows, name, target.path, target.signs, columns=headers.columns)
-        append_batch(rejected(batch, kind), name, target.rejected, f"{target.signs}_rejected", ())
+        computed = append_batch(headers.rows, name, target.path, target.signs, columns=headers.columns)
+        append_batch(refusals(batch, kind, refused if computed else None), name, target.rejected, f"{target.signs}_rejected", ())
+
+
+def refusals(batch: DataFrame, kind: DocumentType, refused: Observation | None) -> DataFrame:
+    """The rows of ``rejected``, which parses every document again, unless the write that ``refused`` observed has seen that there are none.
+
+    A run that finds the documents written has observed nothing, and a plan that turned out to have no rows has no count.
+    """
+    others = rejected(batch, kind)
+    try:
+        none = refused is not None and refused.get.get("rows") == 0
+    except Py4JError:
+        none = False
+    return others.filter(F.lit(False)) if none else others
 
 
 def load(bronze: DataFrame, kind: DocumentType, target: Target, gate: Sequence[str] | None = (),

@@ -10,12 +10,14 @@ from fisclake.operators import mirror as mirrors
 from fisclake.operators.gaps import folder_alerts
 from fisclake.plans import batches
 from fisclake.plans.audits import section_metrics
+from fisclake.plans import load as loads
 from fisclake.plans.load import Target
-from fisclake.registry import DOCUMENTS
+from fisclake.registry import DOCUMENTS, ITEMS, XML
 from fisclake.session import shared_folder
 from fisclake.sources.auditlog import read_log
 from fisclake.sources.storage import entries, exists, mark
 from fisclake.streaming import incremental
+from workload.documents import bronze
 
 SCHEMA = "n long, at timestamp, ano string, mes string, dia string, hora string"
 
@@ -236,3 +238,40 @@ def test_a_batch_that_fails_with_an_os_error_does_not_stop_the_others(spark, fol
     kind = DOCUMENTS["NFe"]
     report = batches.load_batches(spark, [batches.Batch(kind, f"{folder}/inbox", Target(f"{folder}/t")) for _ in range(2)]).collect()
     assert len(seen) == 2 and [(r.outcome, len(r.reason)) for r in report] == [("failed", 900)] * 2
+
+
+@pytest.mark.parametrize("kind", [DOCUMENTS["NFe"], ITEMS["NFe"]], ids=["headers", "items"])
+def test_documents_are_parsed_again_only_if_some_may_be_refused(spark, sf_dir, folder, monkeypatch, kind):
+    """Once for the table; a second time for what is refused if the first has seen any, or was in a run that was cut off before it was filed."""
+    parses = []
+    real = loads.append_batch
+
+    def counted(df, *rest, **options):
+        parses.append(df._jdf.queryExecution().optimizedPlan().toString().count("from_xml") > 0)
+        return real(df, *rest, **options)
+
+    def cut_off(df, name, path, *rest, **options):
+        if path.endswith("_rejected"):
+            raise OSError("no more")
+        return real(df, name, path, *rest, **options)
+
+    good = bronze(spark, sf_dir, "nfe").filter("NSUDF < 40")
+    broken = F.when(F.col("NSUDF") == 3, F.expr(f"left({XML}, 100)")).when(F.col("NSUDF") == 4, None)
+    bad = good.filter("NSUDF < 9").withColumn(XML, broken.when(F.col("NSUDF") == 6, F.replace(XML, F.lit("chNFe"), F.lit("outra"))).otherwise(F.col(XML)))
+    refused = lambda target: sorted((int(r.NSUDF), r.reason) for r in spark.read.parquet(target.rejected).collect())
+    found = [(3, "malformed"), (4, "malformed"), (6, "no key")]
+    monkeypatch.setattr(loads, "append_batch", counted)
+    target, late, none = (Target(f"{folder}/{name}") for name in ("table", "late", "none"))
+    loads.write_documents(good, kind, target, "a")
+    assert parses == [True, False] and refused(target) == []
+    loads.write_documents(bad, kind, target, "b")
+    assert parses[2:] == [True, True] and refused(target) == found
+    loads.write_documents(good.filter("NSUDF % 5 = 0"), kind, none, "c")  # items: documents without any
+    loads.write_documents(bad.filter("NSUDF IN (3, 4)"), kind, none, "d")  # no row for the table
+    assert refused(none) == found[:2]
+    monkeypatch.setattr(loads, "append_batch", cut_off)
+    with pytest.raises(OSError, match="no more"):
+        loads.write_documents(bad, kind, late, "b")
+    monkeypatch.setattr(loads, "append_batch", counted)
+    loads.write_documents(bad, kind, late, "b")
+    assert parses[-2:] == [True, True] and refused(late) == found
